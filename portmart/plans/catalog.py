@@ -74,7 +74,408 @@ def mart_priority_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_counts(joined, ["o_orderpriority"], "c_mktsegment", SEGMENTS, count_col="o_orderkey")
 
 
+
+
+# --- scalar functions (E1-E4, E8) -------------------------------------------------------------
+
+def sas_date_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half-days since 1998-01-01 of each order date used as a SAS day number, converted to an
+    ISO date (E1): exercises floor on .5 values, negatives and exact zeros (-> null)."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    half_days = F.datediff(F.col("o_orderdate").cast("date"), F.lit(SAS_ORIGIN).cast("date")).cast("double") / F.lit(2.0)
+    return orders.select("o_orderkey", half_days.alias("sas_day")).withColumn(
+        "arrival_date", sas_day_to_iso("sas_day"))
+
+
+def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order date as text -> date, year, month."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("string").alias("dt_text"))
+    dt = parse_date("dt_text")
+    return orders.select("o_orderkey", dt.alias("dt"), F.year(dt).alias("year"), F.month(dt).alias("month"))
+
+
+def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's whole text in Python title case."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.select("doc_id", py_title("text").alias("title"))
+
+
+# --- label lookups (A6, A7, E5-E8, C9, H9-H11) ------------------------------------------------
+
+def _write_label_text(spark: SparkSession, df: DataFrame, order_col: str, line: "F.Column", name: str) -> str:
+    """Write ``line`` of every row as a label text file set, in ``order_col`` order: ranges of the
+    key go to consecutive files (part numbers sort like the key), sorted inside each file."""
+    path = staging_path(spark, name)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.select(F.col(order_col).alias("_k"), line.alias("value"))
+       .repartitionByRange(n, "_k").sortWithinPartitions("_k").select("value")
+       .write.option("maxRecordsPerFile", 2_000_000).text(path))
+    return path
+
+
+def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Country-style lookup: ``  <custkey>  =  '<priority>'`` lines, one per order in order-key
+    order, read back as numbered lines; the last line of each code wins (H9 rules)."""
+    orders = _t(spark, sf_dir, "orders")
+    line = F.format_string("  %d  =  '%s'", F.col("o_custkey"), F.col("o_orderpriority"))
+    path = _write_label_text(spark, orders, "o_orderkey", line, "label-country")
+    return label_table(read_numbered_lines(spark, path), COUNTRY_RULE, "country_code", "country_name")
+
+
+def city_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Port-style lookup: ``\t'<partkey>'\t=\t'<name> <brand>, <type>'`` lines; the label is
+    cut at the first comma and title-cased (H10 rules)."""
+    part = _t(spark, sf_dir, "part")
+    line = F.format_string("\t'%d'\t=\t'%s %s, %s'", F.col("p_partkey"), F.col("p_name"), F.col("p_brand"),
+                           F.col("p_type"))
+    path = _write_label_text(spark, part, "p_partkey", line, "label-city")
+    return label_table(read_numbered_lines(spark, path), CITY_RULE, "city_code", "city_name")
+
+
+def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State-style lookup: codes keep inner spaces (tabs, then quotes stripped only), labels
+    are title-cased (H11 rules)."""
+    supplier = _t(spark, sf_dir, "supplier")
+    label = F.upper(F.concat_ws(" ", F.col("s_name"), F.lit("of nation"), F.col("s_nationkey").cast("string")))
+    line = F.format_string("\t'%d '\t=  '%s' ", F.col("s_suppkey"), label)
+    path = _write_label_text(spark, supplier, "s_suppkey", line, "label-state")
+    return label_table(read_numbered_lines(spark, path), STATE_RULE, "state_code", "state_name")
+
+
+# --- cleaning (B1-B6, C1, C2, H1-H3) -----------------------------------------------------------
+
+def _events_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with derived missing values: event type 'error' -> null; value > 10 -> null,
+    value < 1 -> NaN (NaN counts as missing too)."""
+    ev = _t(spark, sf_dir, "events")
+    value = F.when(F.col("value") > 10, F.lit(None).cast("double")) \
+             .when(F.col("value") < 1, F.lit(float("nan"))).otherwise(F.col("value"))
+    return ev.select("event_id", "ts", "user_id", F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"),
+                     value.alias("value"), "props")
+
+
+def dedup_first_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event per (user_id, event_type): the lowest event_id survives."""
+    return dedup_first(_t(spark, sf_dir, "events"), ["user_id", "event_type"], order_by=["event_id"])
+
+
+def dedup_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line item per (l_orderkey, l_linenumber); survivor = smallest by every other column."""
+    return dedup_first(_t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def distinct_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct (l_returnflag, l_linestatus, l_linenumber)."""
+    li = _t(spark, sf_dir, "lineitem")
+    return distinct_rows(select_columns(li, ["l_returnflag", "l_linestatus", "l_linenumber"]))
+
+
+def dropna_subset_then_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature-style cleaning (H2 order) of events: drop missing readings, one row per
+    (user_id, event_type), drop all-null rows."""
+    steps = H.temperature_steps(reading="value", keys=("user_id", "event_type"))
+    return H.apply_steps(_events_with_gaps(spark, sf_dir), steps)
+
+
+def dropna_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of derived, sparse order attributes; rows null in every column are dropped."""
+    o = _t(spark, sf_dir, "orders")
+    sparse = o.select(
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"),
+        F.when(F.col("o_totalprice") > 250000, F.col("o_totalprice")).alias("price"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority")).alias("priority"))
+    return drop_null_rows(sparse, how="all")
+
+
+# --- profiles (B8, B10, C3, C5-C7, C10, H19) --------------------------------------------------
+
+def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, nulls, rows, pct_missing) of events with derived gaps, pct_missing > 15."""
+    return missing_profile(_events_with_gaps(spark, sf_dir), limit=PROFILE_LIMIT)
+
+
+def null_profile_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same profile over the events written as two files: counted per file in one pass,
+    then added up (C6)."""
+    path = staging_path(spark, "events-halves")
+    (_events_with_gaps(spark, sf_dir).repartitionByRange(2, "event_id")
+        .write.parquet(path))
+    return missing_profile_over_files(spark.read.parquet(path), limit=PROFILE_LIMIT)
+
+
+def filter_count_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of 'click' events."""
+    return filter_count(_t(spark, sf_dir, "events"), F.col("event_type") == FILTER_EVENT_TYPE)
+
+
+def table_shape_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(table_name, n_rows, n_cols) of every driver table."""
+    out = None
+    for name in DRIVER_TABLES:
+        one = table_shape(_t(spark, sf_dir, name), name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+# --- projection, limits (B1-B3, B11) ----------------------------------------------------------
+
+PART_RENAMES = {"p_partkey": "part_id", "p_name": "part_name", "p_brand": "brand", "p_type": "part_type",
+                "p_size": "size"}
+
+
+def rename_project_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part with the price dropped, renamed (strict) and projected in a new order."""
+    part = drop_columns(_t(spark, sf_dir, "part"), ["p_retailprice", "not_a_column"])
+    return select_columns(rename_columns(part, PART_RENAMES), ["part_id", "brand", "part_type", "size", "part_name"])
+
+
+def limit_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First five orders by key (B11, a top-k)."""
+    return _t(spark, sf_dir, "orders").orderBy("o_orderkey").limit(5)
+
+
+# --- sources and sinks (A2-A5, A9-A11, H20) ---------------------------------------------------
+
+SUPPLIER_SCHEMA = T.StructType([
+    T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
+    T.StructField("s_nationkey", T.IntegerType()), T.StructField("s_acctbal", T.DoubleType())])
+
+ORDERS_SCHEMA_STATUS_LAST = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_totalprice", T.DoubleType()), T.StructField("o_orderdate", T.TimestampNTZType()),
+    T.StructField("o_orderpriority", T.StringType()), T.StructField("o_orderstatus", T.StringType())])
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier written as ';' CSV with a header and read back with its declared schema."""
+    path = staging_path(spark, "supplier-csv")
+    write_csv(_t(spark, sf_dir, "supplier"), path, sep=";")
+    return read_csv(spark, path, schema=SUPPLIER_SCHEMA, sep=";")
+
+
+def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written partitioned by status and read back (partition column comes last)."""
+    path = staging_path(spark, "orders-by-status")
+    write_partitioned(_t(spark, sf_dir, "orders"), path, ["o_orderstatus"])
+    return read_parquet(spark, path, schema=ORDERS_SCHEMA_STATUS_LAST)
+
+
+def month_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders stored by (year, month); one month is then refreshed with a new batch (here: only
+    its 'F' orders) by dynamic partition overwrite, and the whole table is read back (H20)."""
+    path = staging_path(spark, "orders-by-month")
+    o = _t(spark, sf_dir, "orders")
+    monthly = o.withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    write_partitioned(monthly, path, ["year", "month"])
+    new_batch = monthly.filter((F.col("year") == REFRESH_YEAR) & (F.col("month") == REFRESH_MONTH)
+                               & (F.col("o_orderstatus") == "F"))
+    refresh_partitions(new_batch, path, ["year", "month"])
+    schema = T.StructType(o.schema.fields + [T.StructField("year", T.IntegerType()),
+                                             T.StructField("month", T.IntegerType())])
+    return read_parquet(spark, path, schema=schema)
+
+
+# --- keys (B12) -------------------------------------------------------------------------------
+
+def surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a generated id: (rows, distinct ids, null ids) must be (n, n, 0)."""
+    keyed = with_surrogate_key(_t(spark, sf_dir, "orders").select("o_orderkey"), "order_id")
+    return keyed.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_distinct_ids"),
+                     F.count_if(F.col("order_id").isNull()).alias("n_null_ids"))
+
+
+def surrogate_key_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers numbered 1..n by c_custkey without a global window."""
+    return with_dense_key(_t(spark, sf_dir, "customer"), "customer_id", ["c_custkey"])
+
+
+# --- quality (G1-G5) --------------------------------------------------------------------------
+
+def _nullable(schema: T.StructType, not_null: tuple = ()) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, f.name not in not_null) for f in schema.fields])
+
+
+def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema and completeness checks, passing and failing ones."""
+    orders = _t(spark, sf_dir, "orders")
+    customer = _t(spark, sf_dir, "customer")
+    lineitem = _t(spark, sf_dir, "lineitem")
+    wrong_customer = T.StructType([T.StructField(f.name, T.DecimalType(12, 2) if f.name == "c_acctbal" else f.dataType)
+                                   for f in customer.schema.fields])
+    strict_lineitem = _nullable(lineitem.schema, ("l_orderkey",))
+    specs = [
+        CheckSpec("orders", orders, _nullable(orders.schema)),
+        CheckSpec("customer", customer, wrong_customer),
+        CheckSpec("lineitem", lineitem, strict_lineitem),
+        CheckSpec("lineitem_relaxed", lineitem, strict_lineitem, schema_mode="ignore_nullability"),
+    ]
+    report = run_checks(spark, specs)
+    return report.unionByName(completeness_check(orders.filter(F.col("o_totalprice") < 0), "orders_negative_price"))
+
+
+def step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(position, step, rows_in, rows_out) of a temperature-style cleaning run over events; the
+    counts ride on the staging write (G4)."""
+    counter = StepCounter("events_clean")
+    cleaned = counter.run(_events_with_gaps(spark, sf_dir),
+                          H.temperature_steps(reading="value", keys=("user_id", "event_type")))
+    cleaned.write.parquet(staging_path(spark, "events-clean"))
+    return counter.report(spark)
+
+
+# --- table builders (H5-H8) -------------------------------------------------------------------
+
+def orders_as_arrivals(orders: DataFrame) -> DataFrame:
+    """Orders in the shape of raw arrivals (the columns the fact needs)."""
+    arr = sas_day_of("o_orderdate")
+    return orders.select(
+        F.col("o_orderkey").cast("double").alias("cicid"),
+        F.year("o_orderdate").cast("double").alias("i94yr"),
+        F.month("o_orderdate").cast("double").alias("i94mon"),
+        F.col("o_orderpriority").alias("i94port"),
+        arr.alias("arrdate"),
+        F.floor(F.col("o_totalprice") / F.lit(100000.0)).cast("double").alias("i94mode"),
+        F.col("o_orderstatus").alias("i94addr"),
+        (arr + F.col("o_totalprice") / F.lit(10000.0)).alias("depdate"),
+        F.substring("o_orderpriority", 1, 1).cast("double").alias("i94visa"),
+        F.substring_index("o_orderpriority", "-", -1).alias("visatype"))
+
+
+def customers_as_arrivals(customer: DataFrame) -> DataFrame:
+    """Customers in the shape of raw arrivals (the columns the immigrant dimension needs)."""
+    return customer.select(
+        F.col("c_custkey").cast("double").alias("cicid"),
+        F.col("c_nationkey").cast("double").alias("i94cit"),
+        F.floor(F.col("c_acctbal") / F.lit(1000.0)).cast("double").alias("i94res"),
+        (F.lit(1950.0) + F.floor(F.col("c_acctbal") / F.lit(250.0))).cast("double").alias("biryear"),
+        F.col("c_mktsegment").alias("gender"))
+
+
+def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals cleaning (H1) and fact build (H5) on orders; the generated id is left out."""
+    raw = orders_as_arrivals(_t(spark, sf_dir, "orders"))
+    return H.build_fact(H.clean_arrivals(raw), with_id=False)
+
+
+def dim_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Immigrant dimension (H6) on customers; the generated id is left out."""
+    raw = customers_as_arrivals(_t(spark, sf_dir, "customer"))
+    return H.build_immigrant_dim(H.clean_arrivals(raw), with_id=False)
+
+
+def events_as_temperature(events: DataFrame) -> DataFrame:
+    return events.select(
+        F.date_format("ts", "yyyy-MM-dd").alias("dt"),
+        F.floor("value").cast("double").alias("AverageTemperature"),
+        F.lit(0.25).alias("AverageTemperatureUncertainty"),
+        F.col("event_type").alias("City"),
+        F.lit("ALL").alias("Country"))
+
+
+def temperature_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature dimension (H8) on events: distinct (day, type, reading), parsed date, year, month."""
+    return H.build_temperature(events_as_temperature(_t(spark, sf_dir, "events")))
+
+
+def lineitem_as_demographics(li: DataFrame) -> DataFrame:
+    """Line items in the shape of the demographics CSV (header names included)."""
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("City"),
+        F.col("l_returnflag").alias("State"),
+        F.col("l_discount").alias("Median Age"),
+        F.floor("l_quantity").cast("int").alias("Male Population"),
+        F.col("l_linenumber").alias("Female Population"),
+        (F.floor("l_quantity").cast("int") + F.col("l_linenumber")).alias("Total Population"),
+        F.floor(F.col("l_tax") * F.lit(100.0)).cast("int").alias("Number of Veterans"),
+        F.col("l_partkey").cast("int").alias("Foreign-born"),
+        F.col("l_tax").alias("Average Household Size"),
+        F.col("l_linestatus").alias("State Code"),
+        F.col("l_linenumber").cast("string").alias("Race"),
+        F.col("l_suppkey").cast("int").alias("Count"))
+
+
+def demographics_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demographics cleaning (H3) and city-demographics build (H7) on line items, id left out."""
+    raw = lineitem_as_demographics(_t(spark, sf_dir, "lineitem"))
+    return H.build_city_demographics(H.clean_demographics(raw), with_id=False)
+
+
+# --- star joins (D2-D6) -----------------------------------------------------------------------
+
+def star_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with order, customer, customer nation and region, supplier, and supplier
+    nation: the nation dimension is used twice under two names (D2-D4)."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    supplier = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = _t(spark, sf_dir, "nation")
+    region = _t(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("cust_region"))
+    cust_nation = lookup_join(nation.select("n_nationkey", F.col("n_name").alias("cust_nation"), "n_regionkey"),
+                              region, "n_regionkey", "r_regionkey").drop("n_regionkey")
+    supp_nation = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("supp_nation"))
+    out = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    out = out.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    out = lookup_join(out, cust_nation, "c_nationkey", "n_nationkey")
+    out = lookup_join(out, supplier, "l_suppkey", "s_suppkey")
+    out = lookup_join(out, supp_nation, "s_nationkey", "sn_key")
+    return out.select("l_orderkey", "l_linenumber", "o_orderstatus", "c_name", "cust_nation", "cust_region",
+                      "s_name", "supp_nation")
+
+
+def star_preaggregated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their line count: line items are aggregated per order before the join, so
+    each order stays one row (D5)."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    joined = preaggregated_join(orders, _t(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey",
+                                [F.count(F.lit(1)).alias("n_lines")])
+    return joined.select("o_orderkey", "o_orderstatus", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+
+
+def star_month_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders joined to a per-(status, year, month) reading taken from line items, on the
+    three-part key (D6)."""
+    li = _t(spark, sf_dir, "lineitem")
+    readings = (li.groupBy(F.col("l_linestatus").alias("r_status"), F.year("l_shipdate").alias("r_year"),
+                           F.month("l_shipdate").alias("r_month"))
+                  .agg(F.count(F.lit(1)).alias("month_lines")))
+    orders = _t(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    return month_join(orders, readings, [("o_orderstatus", "r_status"), ("year", "r_year"), ("month", "r_month")])
+
+
 QUERIES = {
     "mart_status_by_region": mart_status_by_region,
     "mart_priority_by_segment": mart_priority_by_segment,
+    "sas_date_iso": sas_date_iso,
+    "date_parts": date_parts,
+    "title_case": title_case,
+    "label_lookup": label_lookup,
+    "city_lookup": city_lookup,
+    "state_lookup": state_lookup,
+    "dedup_first": dedup_first_query,
+    "dedup_fanout": dedup_fanout,
+    "distinct_rows": distinct_rows_query,
+    "dropna_subset_then_dedup": dropna_subset_then_dedup,
+    "dropna_all": dropna_all,
+    "null_profile": null_profile,
+    "null_profile_by_file": null_profile_by_file,
+    "filter_count": filter_count_query,
+    "table_shape": table_shape_query,
+    "rename_project_drop": rename_project_drop,
+    "limit_ordered": limit_ordered,
+    "csv_roundtrip": csv_roundtrip,
+    "parquet_partitioned": parquet_partitioned,
+    "month_refresh": month_refresh,
+    "surrogate_key": surrogate_key,
+    "surrogate_key_dense": surrogate_key_dense,
+    "quality_report": quality_report,
+    "step_counts": step_counts,
+    "fact_build": fact_build,
+    "dim_build": dim_build,
+    "temperature_build": temperature_build,
+    "demographics_build": demographics_build,
+    "star_lookup": star_lookup,
+    "star_preaggregated": star_preaggregated,
+    "star_month_reading": star_month_reading,
 }

@@ -6,6 +6,7 @@ order-insensitive values). Usable from pytest and as a script:
 
 from __future__ import annotations
 
+import datetime
 import math
 import os
 import sys
@@ -35,8 +36,9 @@ def _norm(v):
         if math.isnan(v):
             return (0, "")
         return (1, float(f"{v:.10g}"))
-    if isinstance(v, pd.Timestamp):
-        return (1, v.to_pydatetime().replace(tzinfo=None))
+    if isinstance(v, (pd.Timestamp, datetime.date)):
+        # pandas turns DuckDB DATE into datetime64; compare dates and timestamps as timestamps
+        return (1, pd.Timestamp(v).to_pydatetime().replace(tzinfo=None))
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
         try:
             return _norm(v.item())
