@@ -40,7 +40,8 @@ def list_sas_files(spark: SparkSession, path: str) -> list[str]:
 class _SasReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.schema = schema
-        self.options = options
+        # option names arrive case-insensitively; keep them lower-case
+        self.options = {k.lower(): v for k, v in options.items()}
 
     def partitions(self):
         listed = self.options.get("files")
@@ -57,9 +58,9 @@ class _SasReader(DataSourceReader):
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        fmt = self.options.get("sasFormat", "sas7bdat").lower()
+        fmt = self.options.get("sasformat", "sas7bdat").lower()
         encoding = self.options.get("encoding", "ISO-8859-1")
-        chunk = int(self.options.get("chunkSize", "100000"))
+        chunk = int(self.options.get("chunksize", "100000"))
         arrow_schema = to_arrow_schema(self.schema)
         kinds = {f.name: f.dataType.typeName() for f in self.schema.fields}
         with pd.read_sas(_local(partition.path), format=fmt, encoding=encoding, chunksize=chunk) as it:

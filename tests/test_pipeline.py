@@ -1,0 +1,142 @@
+"""Whole jobs on hand-made raw files."""
+
+import math
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from portmart import schemas
+from portmart.plans import pipeline as P
+from portmart.plans.marts import arrivals_by_state_gender
+from portmart.sources.sas import read_sas
+from test_lookups import LABEL_LINES, CITY, COUNTRY, STATE
+from xport import write_xport
+
+ARR_COLS = [(f.name, "num" if f.dataType.typeName() == "double" else "char", 8 if f.dataType.typeName() == "double" else 10)
+            for f in schemas.RAW_ARRIVALS.fields]
+NAMES = [c[0] for c in ARR_COLS]
+
+
+def arrival(**kw):
+    base = {n: None for n in NAMES}
+    base.update({"i94yr": 2016.0, "i94mon": 4.0, "i94cit": 101.0, "i94res": 101.0, "i94port": "NYC",
+                 "i94mode": 1.0, "i94visa": 2.0, "visatype": "B2", "biryear": 1980.0, "count": 1.0})
+    base.update(kw)
+    return tuple(base[n] for n in NAMES)
+
+
+FILE1 = [
+    arrival(cicid=1.0, i94addr="NY", arrdate=20574.0, depdate=20580.0, gender="M"),
+    arrival(cicid=1.0, i94addr="NY", arrdate=20574.0, depdate=20580.0, gender="F"),   # dup cicid (T10)
+    arrival(cicid=2.0, i94addr="CA", arrdate=0.0, depdate=None, gender="F"),          # 0 -> null (T6)
+    arrival(cicid=3.0, i94addr=None, arrdate=1.9, depdate=-0.5, gender="M"),          # floor (T7), null state
+    arrival(cicid=None, i94addr="TX", arrdate=20575.0, gender="M"),                   # null key (T11)
+]
+FILE2 = [
+    arrival(cicid=None, i94addr="TX", arrdate=20576.0, gender="F"),
+    arrival(cicid=4.0, i94addr="", arrdate=float("nan"), gender="X", occup="ENG"),    # NaN (T8), empty state
+    tuple(None for _ in NAMES),                                                       # all-null row
+]
+
+TEMPERATURE_CSV = """dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,Latitude,Longitude
+2010-01-01,,1.0,Aarhus,Denmark,57.05N,10.33E
+2010-01-01,3.5,1.0,Aarhus,Denmark,57.05N,10.33E
+2010-1-1,4.5,1.0,Aarhus,Denmark,57.05N,10.33E
+nope,5.0,1.0,Aarhus,Denmark,57.05N,10.33E
+2010-02-01,NaN,1.0,Aarhus,Denmark,57.05N,10.33E
+"""
+
+DEMOGRAPHICS_CSV = """City;State;Median Age;Male Population;Female Population;Total Population;Number of Veterans;Foreign-born;Average Household Size;State Code;Race;Count
+Silver Spring;Maryland;33.8;40601;41862;82463;1562;30908;2.6;MD;Hispanic or Latino;25924
+Silver Spring;Maryland;33.8;40601;41862;82463;1562;30908;2.6;MD;Hispanic or Latino;25924
+Quincy;Massachusetts;41.0;44129;49500;93629;4147;32935;2.39;MA;White;58723
+;;;;;;;;;;;
+"""
+
+
+@pytest.fixture()
+def raw(tmp):
+    os.makedirs(f"{tmp}/arrivals")
+    write_xport(f"{tmp}/arrivals/i94_apr16_a.xpt", ARR_COLS, FILE1)
+    write_xport(f"{tmp}/arrivals/i94_apr16_b.xpt", ARR_COLS, FILE2)
+    with open(f"{tmp}/temperature.csv", "w") as fh:
+        fh.write(TEMPERATURE_CSV)
+    with open(f"{tmp}/demographics.csv", "w") as fh:
+        fh.write(DEMOGRAPHICS_CSV)
+    with open(f"{tmp}/labels.SAS", "w") as fh:
+        fh.write("\n".join(LABEL_LINES) + "\n")
+    return tmp
+
+
+def test_sas_scan_one_partition_per_file(spark, raw):
+    df = read_sas(spark, f"{raw}/arrivals", sas_format="xport", chunk_size=2)
+    assert df.rdd.getNumPartitions() == 2
+    rows = df.collect()
+    assert len(rows) == len(FILE1) + len(FILE2)
+    assert df.schema == schemas.RAW_ARRIVALS
+    by = {r["cicid"]: r for r in rows if r["cicid"] is not None}
+    assert by[2.0]["arrdate"] == 0.0            # IBM zero snapped back to 0
+    assert by[4.0]["arrdate"] is None            # SAS missing (NaN) arrives as null
+    assert by[1.0]["arrdate"] == 20574.0
+
+
+def test_whole_pipeline(spark, raw):
+    out = f"{raw}/tables"
+    res = P.run_all(spark, P.Inputs(labels=f"{raw}/labels.SAS", arrivals=f"{raw}/arrivals",
+                                    demographics=f"{raw}/demographics.csv", temperature=f"{raw}/temperature.csv",
+                                    sas_format="xport", country_lines=COUNTRY, city_lines=CITY,
+                                    state_lines=STATE), out, on_fail="raise")
+    assert all(r["passed"] for job in res.values() for r in job.checks)
+    # arrivals: 8 raw -> dedup (1, 2, 3, 4, null) -> drop the all-null survivor? (null key group keeps one row)
+    steps = res["arrivals"].steps
+    assert steps[0][2] == 8 and steps[1][3] == 5
+    fact = spark.read.parquet(f"{out}/fact_immigration")
+    got = {r["cic_id"]: r for r in fact.collect()}
+    assert got[1.0]["arrival_date"] == "2016-04-30"
+    assert got[2.0]["arrival_date"] is None and got[2.0]["departure_date"] is None
+    assert got[3.0]["arrival_date"] == "1960-01-02" and got[3.0]["departure_date"] == "1959-12-31"
+    assert got[4.0]["arrival_date"] is None
+    # null and empty partition values both come back as null
+    assert got[3.0]["state_code"] is None and got[4.0]["state_code"] is None
+    # the fact and the dimension were built from the same survivor of cicid 1
+    dim = spark.read.parquet(f"{out}/dim_immigrant_demographics")
+    assert {r["immigration_cic_id"]: r["gender"] for r in dim.collect()}[1.0] == "F"
+    # ids written are unique and non-null
+    assert fact.select("immigration_id").distinct().count() == fact.count()
+    # demographics: duplicate and all-null row removed (T5), State Code is the state_code
+    demo = spark.read.parquet(f"{out}/dim_city_demographics")
+    assert demo.count() == 2 and {r["state_code"] for r in demo.collect()} == {"MD", "MA"}
+    temp = spark.read.parquet(f"{out}/dim_temperature").collect()
+    # null and NaN readings dropped; two spellings of one date stay two rows (T12); bad text -> null date
+    assert len(temp) == 3
+    assert sorted(str(r["dt"]) for r in temp) == ["2010-01-01", "2010-01-01", "None"]
+    country = {r[0]: r[1] for r in spark.read.parquet(f"{out}/dim_country").collect()}
+    assert country["582"] == "MEXICO"
+    # mart over the written tables
+    mart = arrivals_by_state_gender(fact, dim, threshold=0).collect()
+    # GROUP BY keeps the null state as its own group; the null-cicid row never joins; X is filtered
+    assert {r["state_code"]: (r["F"], r["M"]) for r in mart} == {"NY": (1, None), "CA": (1, None), None: (None, 1)}
+
+
+def test_schema_check_fails_on_bad_table(spark, raw):
+    from portmart.operators.quality import schema_check
+    bad = spark.read.csv(f"{raw}/demographics.csv", header=True, sep=";")   # all strings
+    r = schema_check(spark, bad, "dim_city_demographics", schemas.DIM_CITY_DEMOGRAPHICS).first()
+    assert not r["passed"]
+
+
+def test_month_refresh_keeps_other_months(spark, tmp):
+    from portmart.plans.tables import build_fact
+    from portmart.sinks.writers import write_partitioned
+    base = spark.createDataFrame(
+        [arrival(cicid=float(i), i94mon=float(m), i94addr="NY", arrdate=20500.0 + i, gender="M")
+         for i, m in [(1, 3), (2, 3), (3, 4), (4, 4)]], schemas.RAW_ARRIVALS)
+    path = f"{tmp}/fact"
+    write_partitioned(build_fact(base), path, ["year", "month"], sort_within=["state_code"])
+    april = spark.createDataFrame([arrival(cicid=9.0, i94mon=4.0, i94addr="CA", arrdate=20600.0, gender="F")],
+                                  schemas.RAW_ARRIVALS)
+    P.refresh_arrivals_month(april, path)
+    got = sorted((r["month"], r["cic_id"]) for r in spark.read.parquet(path).collect())
+    # April is replaced as a whole: its NY rows are gone although the new batch has only CA
+    assert got == [(3.0, 1.0), (3.0, 2.0), (4.0, 9.0)]
