@@ -82,3 +82,34 @@ def test_lookup_and_preaggregated_joins_keep_fact_rows(spark):
     fm = fact.withColumns({"year": F.lit(2016), "month": F.lit(4)})
     mj = month_join(fm, readings, [("state_code", "city"), ("year", "y"), ("month", "m")])
     assert mj.count() == 3 and mj.filter("t is not null").count() == 1
+
+
+def test_star_relations_keep_one_row_per_fact_row(spark):
+    import datetime as dt
+    from portmart.plans import star
+    fact = spark.createDataFrame(
+        [(1.0, 2016.0, 4.0, "NYC", "NY"), (2.0, 2016.0, 4.0, "ZZZ", "CA"), (3.0, 2016.0, 5.0, "NYC", None)],
+        "cic_id double, year double, month double, city_code string, state_code string")
+    dim_state = spark.createDataFrame([("NY", "New York"), ("CA", "California")], "state_code string, state_name string")
+    dim_city = spark.createDataFrame([("NYC", "New York")], "city_code string, city_name string")
+    got = {r["cic_id"]: (r["state_name"], r["city_name"])
+           for r in star.fact_with_city_name(star.fact_with_state_name(fact, dim_state), dim_city).collect()}
+    assert got == {1.0: ("New York", "New York"), 2.0: ("California", None), 3.0: (None, "New York")}
+    demo = spark.createDataFrame(
+        [("Albany", "NY", 100, 10, 1, "White", 50), ("Albany", "NY", 100, 10, 1, "Asian", 20),
+         ("Buffalo", "NY", 200, 30, 2, "White", 150)],
+        "city_code string, state_code string, total_population int, foreign_born_num int, number_of_veterans int, race string, count int")
+    d5 = {r["cic_id"]: r["state_population"] for r in star.fact_with_state_demographics(fact, demo).collect()}
+    assert d5 == {1.0: 300, 2.0: None, 3.0: None}
+    temp = spark.createDataFrame(
+        [(dt.date(2016, 4, 1), "New York", "United States", 10.0, 0.5, 2016, 4),
+         (dt.date(2016, 4, 1), "New York", "Canada", -3.0, 0.5, 2016, 4)],
+        "dt date, city_name string, country_name string, avg_temperature double, avg_temperature_delta double, year int, month int")
+    d6 = {r["cic_id"]: r["avg_temperature"] for r in star.fact_with_temperature(fact, dim_city, temp).collect()}
+    assert d6 == {1.0: 10.0, 2.0: None, 3.0: None}
+    imm = spark.createDataFrame([(1.0, 101.0, 582.0), (2.0, None, float("nan"))],
+                                "immigration_cic_id double, country_of_birth double, country_of_residence double")
+    ctry = spark.createDataFrame([("101", "ALBANIA"), ("582", "MEXICO")], "country_code string, country_name string")
+    d4 = {r["immigration_cic_id"]: (r["birth_country"], r["residence_country"])
+          for r in star.immigrant_with_countries(imm, ctry).collect()}
+    assert d4 == {1.0: ("ALBANIA", "MEXICO"), 2.0: (None, None)}
