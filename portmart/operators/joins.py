@@ -1,8 +1,10 @@
 """Joins between the fact and its dimensions.
 
-Broadcast is used only behind a bounded row check (``limit(n + 1).count()``, a job that stops
-after n + 1 rows). A side over the bound is joined plainly, so the optimizer and AQE pick a
-sort-merge join, or a broadcast once the measured size is small, and split skewed partitions.
+A side is broadcast only with a proven bound: first the optimizer's size estimate (file sizes
+for scans, an upper bound after filters and aggregates; no job) must be small, then a bounded
+row count (``limit(n + 1).count()``) must come in under ``max_rows``. A side that fails either
+test is joined plainly, so the optimizer and AQE pick a sort-merge join, or a broadcast once the
+measured size at run time is small, and split skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,18 +14,35 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we broadcast without measuring anything else (rows). Lookup tables
+# Largest dimension we broadcast (rows, and estimated bytes on disk). Lookup tables
 # (countries, ports, states, months) are far below it; facts and big dims are far above it.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (an upper bound for scans, filters and
+    aggregates; what Spark's own broadcast threshold uses), or None where not available."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # e.g. a client without access to the plan
+        return None
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (bounded job; stops early)."""
+    """True when ``df`` has no more than ``max_rows`` rows (bounded job)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is proven under ``max_rows``, else ``df`` as is."""
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` is proven small, else ``df`` as is (AQE decides).
+
+    A large size estimate skips the counting job altogether, so a big table is never scanned
+    just to learn that it is big."""
+    est = estimated_bytes(df)
+    if est is not None and est > max_bytes:
+        return df
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
@@ -71,13 +90,16 @@ def preaggregated_join(fact: DataFrame, detail: DataFrame, fact_key: str, detail
 
 
 def month_join(fact: DataFrame, readings: DataFrame, keys: Sequence[tuple[str, str]],
-               how: str = "left", max_reading_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               how: str = "left", broadcast_readings: bool = False) -> DataFrame:
     """Fact joined to per-(place, year, month) readings on a composite key.
 
     ``keys`` pairs fact columns with reading columns. Readings must be unique on the key
-    (aggregate them first), which keeps one output row per fact row.
+    (aggregate them first), which keeps one output row per fact row. Readings are usually
+    derived by an aggregation, whose size is only known once it ran: AQE measures it and turns
+    the join into a broadcast when it is small, without computing the aggregate twice.
+    ``broadcast_readings=True`` applies the proven-size check instead (for stored readings).
     """
-    side = broadcast_if_small(readings, max_reading_rows)
+    side = broadcast_if_small(readings) if broadcast_readings else readings
     cond = None
     for fcol, rcol in keys:
         c = fact[fcol] == side[rcol]

@@ -12,12 +12,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from portmart.operators.joins import broadcast_if_small
+from portmart.operators.joins import broadcast_if_small, estimated_bytes
+
+# Largest number of splits whose offset table (a few narrow columns per split) is broadcast.
+MAX_BROADCAST_SPLITS = 1_000_000
+
+
+def _split_bound(spark: SparkSession, text: DataFrame) -> int | None:
+    """Upper bound on the number of text splits, from file count and total size (no job): a
+    split is never smaller than min(maxPartitionBytes, openCostInBytes) unless it ends a file."""
+    total = estimated_bytes(text)
+    if total is None:
+        return None
+    conf = spark.conf
+    smallest = min(int(conf.get("spark.sql.files.maxPartitionBytes").rstrip("b") or 0) or 134217728,
+                   int(conf.get("spark.sql.files.openCostInBytes").rstrip("b") or 0) or 4194304)
+    return len(text.inputFiles()) + total // max(smallest, 1) + 1
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, pos, line) for every line of every file under ``path``."""
-    raw = spark.read.text(path).select(
+    text = spark.read.text(path)
+    raw = text.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -25,7 +41,10 @@ def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     splits = raw.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
     in_file = Window.partitionBy("file").orderBy("_block")
     splits = splits.withColumn("_off", F.sum("_n").over(in_file) - F.col("_n")).drop("_n")
-    lines = raw.join(broadcast_if_small(splits, 1_000_000), ["file", "_block"])
+    bound = _split_bound(spark, text)
+    # one row per split: broadcast when the split count is proven small, else a plain join
+    side = F.broadcast(splits) if bound is not None and bound <= MAX_BROADCAST_SPLITS else splits
+    lines = raw.join(side, ["file", "_block"])
     return lines.select("file", (F.col("_off") + F.col("_mid") - F.col("_mid0")).alias("pos"), "line")
 
 
