@@ -56,20 +56,38 @@ def rows_of(df: pd.DataFrame) -> list[tuple]:
                   key=lambda r: repr(r))
 
 
+# Spark type -> DuckDB type name, for the schema part of the comparison.
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "double": "DOUBLE", "float": "FLOAT",
+               "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+               "array<float>": "FLOAT[]"}
+
+
+def spark_types(df) -> dict:
+    return {f.name: _DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+
+
 def compare(spark, key: str, fn, sql: str | None, sf_dir: str, con=None) -> dict:
     t0 = time.time()
-    got = fn(spark, sf_dir).toPandas()
+    sdf = fn(spark, sf_dir)
+    got_types = spark_types(sdf)
+    got = sdf.toPandas()
     spark_sec = time.time() - t0
     out = {"key": key, "spark_rows": len(got), "spark_sec": round(spark_sec, 2)}
     if sql is None:
         out["status"] = "no-oracle"
         return out
     con = con or duck(sf_dir)
-    want = con.execute(sql).df()
+    rel = con.sql(sql)
+    want_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    want = rel.df()
     out["oracle_rows"] = len(want)
     if sorted(got.columns) != sorted(want.columns):
         out["status"] = f"columns differ: {sorted(got.columns)} vs {sorted(want.columns)}"
         return out
+    if got_types != want_types:
+        diff = {c: (got_types[c], want_types.get(c)) for c in got_types if got_types[c] != want_types.get(c)}
+        out["status"] = f"types differ: {diff}"
+        return out
     a, b = rows_of(got), rows_of(want)
     if len(a) != len(b):
         out["status"] = "row count differs"
