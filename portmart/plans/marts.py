@@ -35,3 +35,30 @@ def arrivals_by_visa_gender(fact: DataFrame, dim: DataFrame, distinct: bool = Fa
     """(visa_type, F, M): arrivals per visa type and gender, no threshold."""
     joined = _fact_with_gender(fact, dim, ["visa_type"], distinct)
     return pivot_counts(joined, ["visa_type"], "gender", list(GENDERS), count_col="cic_id")
+
+
+def _sql_pivot(view: str, key: str, threshold: int | None) -> str:
+    having = f"HAVING count(cic_id) > {int(threshold)}" if threshold is not None else ""
+    return f"""
+        WITH pairs AS (
+          SELECT {key}, gender, count(cic_id) AS cnt FROM {view}
+          WHERE gender IN ('F', 'M') GROUP BY {key}, gender {having})
+        SELECT {key},
+               max(CASE WHEN gender = 'F' THEN cnt END) AS F,
+               max(CASE WHEN gender = 'M' THEN cnt END) AS M
+        FROM pairs GROUP BY {key}"""
+
+
+def arrivals_by_state_gender_sql(spark, fact: DataFrame, dim: DataFrame,
+                                 threshold: int | None = STATE_THRESHOLD, view: str = "immigration_data_view") -> DataFrame:
+    """H17 written as Spark SQL over a temp view of the join (A13), threshold and unstack
+    included, so nothing is finished in pandas. Same result as :func:`arrivals_by_state_gender`."""
+    _fact_with_gender(fact, dim, ["state_code"], distinct=False).createOrReplaceTempView(view)
+    return spark.sql(_sql_pivot(view, "state_code", threshold))
+
+
+def arrivals_by_visa_gender_sql(spark, fact: DataFrame, dim: DataFrame,
+                                view: str = "immigration_data_view") -> DataFrame:
+    """H18 as Spark SQL over the temp view (no threshold)."""
+    _fact_with_gender(fact, dim, ["visa_type"], distinct=False).createOrReplaceTempView(view)
+    return spark.sql(_sql_pivot(view, "visa_type", None))

@@ -113,3 +113,12 @@ def test_star_relations_keep_one_row_per_fact_row(spark):
     d4 = {r["immigration_cic_id"]: (r["birth_country"], r["residence_country"])
           for r in star.immigrant_with_countries(imm, ctry).collect()}
     assert d4 == {1.0: ("ALBANIA", "MEXICO"), 2.0: (None, None)}
+
+
+def test_sql_marts_equal_dataframe_marts(spark):
+    from portmart.plans.marts import arrivals_by_state_gender_sql, arrivals_by_visa_gender_sql
+    f, d = _fact_dim(spark)
+    for t in (0, 1, 2, 3):
+        assert sorted(arrivals_by_state_gender_sql(spark, f, d, threshold=t).collect()) == \
+            sorted(arrivals_by_state_gender(f, d, threshold=t).collect())
+    assert sorted(arrivals_by_visa_gender_sql(spark, f, d).collect()) == sorted(arrivals_by_visa_gender(f, d).collect())

@@ -140,3 +140,22 @@ def test_month_refresh_keeps_other_months(spark, tmp):
     got = sorted((r["month"], r["cic_id"]) for r in spark.read.parquet(path).collect())
     # April is replaced as a whole: its NY rows are gone although the new batch has only CA
     assert got == [(3.0, 1.0), (3.0, 2.0), (4.0, 9.0)]
+
+
+def test_csv_inference_and_declared_reads(spark, raw):
+    from portmart.sources.files import read_csv
+    inferred = read_csv(spark, f"{raw}/demographics.csv", sep=";", infer=True)
+    assert dict(inferred.dtypes)["Median Age"] == "double"
+    assert dict(inferred.dtypes)["Total Population"] == "int"
+    as_text = read_csv(spark, f"{raw}/demographics.csv", sep=";")
+    assert set(dict(as_text.dtypes).values()) == {"string"}
+    declared = read_csv(spark, f"{raw}/demographics.csv", schema=schemas.RAW_DEMOGRAPHICS, sep=";")
+    assert declared.schema == schemas.RAW_DEMOGRAPHICS
+
+
+def test_airports_cleaning(spark):
+    from portmart.plans.tables import clean_airports
+    rows = [("00A", "heliport", "Total Rf", 11.0, "NA", "US", "US-PA", "Bensalem", "00A", None, "00A", "-74.9, 40.0")] * 2
+    rows.append(tuple([None] * 12))
+    df = spark.createDataFrame(rows, schemas.RAW_AIRPORTS)
+    assert clean_airports(df).count() == 1
