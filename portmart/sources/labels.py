@@ -9,6 +9,8 @@ number of lines of the earlier splits (one row per split, a small table).
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,12 +26,19 @@ def _split_bound(spark: SparkSession, text: DataFrame) -> int | None:
     total = estimated_bytes(text)
     if total is None:
         return None
-    conf = spark.conf
-    smallest = min(int(conf.get("spark.sql.files.maxPartitionBytes").rstrip("b") or 0) or 134217728,
-                   int(conf.get("spark.sql.files.openCostInBytes").rstrip("b") or 0) or 4194304)
+    smallest = min(_conf_bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20),
+                   _conf_bytes(spark, "spark.sql.files.openCostInBytes", 4 << 20))
     return len(text.inputFiles()) + total // max(smallest, 1) + 1
 
 
+def _conf_bytes(spark: SparkSession, key: str, default: int) -> int:
+    """A byte-size setting ('134217728b', '128m', '128MB', '4194304') in bytes."""
+    m = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", str(spark.conf.get(key, str(default))), re.I)
+    if not m:
+        return default
+    return int(m.group(1)) << (10 * "_kmgtp".index(m.group(2).lower() or "_"))
+
+
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, pos, line) for every line of every file under ``path``."""
     text = spark.read.text(path)
