@@ -63,3 +63,26 @@ def staging_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized for a cluster run over ``input_bytes`` of input with ``total_cores`` cores.
+
+    Shuffle partitions start high (about one per ``target_partition_bytes`` of input, at least
+    three waves of tasks) so no reducer has to hold more than it can sort in memory; AQE
+    coalesces them down to the advisory size at run time and splits skewed join partitions
+    (one key may hold a third of the rows). Scans are split at the same target size.
+    """
+    by_size = -(-input_bytes // target_partition_bytes)
+    partitions = max(3 * total_cores, by_size)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
