@@ -24,18 +24,26 @@ def _rows(v: str) -> str:
     return f"_rows_{v}"
 
 
+def needs_rows(count_col: str | None, threshold: int | None) -> bool:
+    """Whether pair presence must be tracked apart from the count: only when a pair with a
+    count of 0 can still be shown (counting a nullable column, no threshold at or above 0)."""
+    return count_col is not None and (threshold is None or threshold < 0)
+
+
 def pivot_partial(df: DataFrame, group_keys: Sequence["str | Column"], pivot_col: str,
-                  values: Sequence[str], count_col: str | None = None) -> DataFrame:
+                  values: Sequence[str], count_col: str | None = None, track_rows: bool = True) -> DataFrame:
     """Per group: for every pivot value, the count of non-null ``count_col`` (rows when None)
-    and the number of rows (so that a value absent from a group stays distinguishable from a
-    count of 0)."""
+    and, with ``track_rows``, the number of rows (so that a value absent from a group stays
+    distinguishable from a count of 0). Leave ``track_rows`` off when :func:`needs_rows` says
+    so: it halves what crosses the shuffle."""
     pv = F.col(pivot_col)
     aggs = []
     for v in values:
         hit = pv == F.lit(v)
         target = F.lit(1) if count_col is None else F.col(count_col)
         aggs.append(F.count(F.when(hit, target)).alias(_cnt(v)))
-        aggs.append(F.count_if(hit).alias(_rows(v)))
+        if track_rows and count_col is not None:
+            aggs.append(F.count_if(hit).alias(_rows(v)))
     return df.filter(pv.isin(list(values))).groupBy(*group_keys).agg(*aggs)
 
 
@@ -44,11 +52,14 @@ def pivot_finish(partial: DataFrame, row_keys: Sequence[str], values: Sequence[s
     """Add partial counts up per ``row_keys``; a cell is null when its (row, value) pair has no
     rows or its count is at or under ``threshold``; rows with every cell null are dropped."""
     names = list(names or values)
+    # without a rows column the count itself tells whether the pair has rows
+    presence = {v: (_rows(v) if _rows(v) in partial.columns else _cnt(v)) for v in values}
     summed = partial.groupBy(*row_keys).agg(
-        *[F.sum(_cnt(v)).alias(_cnt(v)) for v in values], *[F.sum(_rows(v)).alias(_rows(v)) for v in values])
+        *[F.sum(_cnt(v)).alias(_cnt(v)) for v in values],
+        *[F.sum(presence[v]).alias(_rows(v)) for v in values if presence[v] != _cnt(v)])
     cells = []
     for v, name in zip(values, names):
-        keep = F.col(_rows(v)) > 0
+        keep = F.col(_rows(v) if presence[v] != _cnt(v) else _cnt(v)) > 0
         if threshold is not None:
             keep = keep & (F.col(_cnt(v)) > F.lit(threshold))
         cells.append(F.when(keep, F.col(_cnt(v))).alias(name))
@@ -65,7 +76,7 @@ def pivot_counts(df: DataFrame, row_keys: Sequence[str], pivot_col: str, values:
                  names: Sequence[str] | None = None) -> DataFrame:
     """``SELECT count(count_col), row_keys, pivot_col ... WHERE pivot_col IN values GROUP BY``,
     minus (row, value) pairs with count <= threshold, unstacked into one column per value."""
-    partial = pivot_partial(df, row_keys, pivot_col, values, count_col)
+    partial = pivot_partial(df, row_keys, pivot_col, values, count_col, needs_rows(count_col, threshold))
     return pivot_finish(partial, row_keys, values, threshold, names)
 
 

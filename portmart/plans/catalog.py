@@ -19,7 +19,7 @@ from portmart.operators.clean import (dedup_first, distinct_rows, drop_columns,
 from portmart.operators.joins import lookup_join, month_join, preaggregated_join
 from portmart.operators.keys import with_dense_key, with_surrogate_key
 from portmart.operators.lookups import CITY_RULE, COUNTRY_RULE, STATE_RULE, label_table
-from portmart.operators.pivot import pivot_counts, pivot_finish, pivot_partial
+from portmart.operators.pivot import needs_rows, pivot_counts, pivot_finish, pivot_partial
 from portmart.operators.profile import (filter_count, missing_profile, missing_profile_over_files,
                                         table_shape)
 from portmart.operators.quality import CheckSpec, StepCounter, completeness_check, run_checks
@@ -59,7 +59,8 @@ def mart_status_by_region(spark: SparkSession, sf_dir: str, threshold: int = REG
     customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    per_customer = pivot_partial(orders, ["o_custkey"], "o_orderstatus", STATUSES, count_col="o_orderkey")
+    per_customer = pivot_partial(orders, ["o_custkey"], "o_orderstatus", STATUSES, count_col="o_orderkey",
+                                 track_rows=needs_rows("o_orderkey", threshold))
     cust_region = lookup_join(lookup_join(customer, nation, "c_nationkey", "n_nationkey", how="inner"),
                               region, "n_regionkey", "r_regionkey", how="inner")
     joined = per_customer.join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
