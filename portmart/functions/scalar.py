@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # SAS counts days from this origin.
 SAS_EPOCH = _dt.date(1960, 1, 1)
+_MICROS_PER_DAY = 86_400_000_000.0
 
 # Characters Python's str.strip() removes (ASCII part).
 _WHITESPACE = " \t\n\r\f\u000b"
@@ -28,14 +29,19 @@ def _col(c: "Column | str") -> Column:
 def sas_day_to_iso(c: "Column | str", zero_is_null: bool = True) -> Column:
     """SAS day number (days since 1960-01-01, double) -> ISO date string ``yyyy-MM-dd``.
 
-    Fractions floor (1.9 -> 1960-01-02, -0.5 -> 1959-12-31). Null and NaN give null; day 0 gives
-    null unless ``zero_is_null=False`` (then 1960-01-01).
+    Fractions floor (1.9 -> 1960-01-02, -0.5 -> 1959-12-31) after rounding to the microsecond
+    (half-even), exactly as adding ``timedelta(days=x)`` to a date does, so values within half a
+    microsecond of a day boundary land where Python puts them. Null and NaN give null; day 0
+    gives null unless ``zero_is_null=False`` (then 1960-01-01).
     """
     x = _col(c).cast("double")
     ok = x.isNotNull() & ~F.isnan(x)
     if zero_is_null:
         ok = ok & (x != F.lit(0.0))
-    days = F.floor(x).try_cast("int")
+    # whole days stay exact; only the fraction is rounded to microseconds (as timedelta does)
+    whole = F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x))
+    frac_micros = F.bround((x - whole) * F.lit(_MICROS_PER_DAY), 0)
+    days = (whole + F.floor(frac_micros / F.lit(_MICROS_PER_DAY))).try_cast("int")
     return F.when(ok, F.date_add(F.lit(SAS_EPOCH), days).cast("string"))
 
 

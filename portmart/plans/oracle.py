@@ -41,9 +41,11 @@ def _title(expr: str) -> str:
 
 
 def _iso(x: str) -> str:
-    """SAS day number -> ISO text, null for null/NaN/0, floor for fractions."""
+    """SAS day number -> ISO text, null for null/NaN/0, floor after rounding to the microsecond."""
+    whole = f"trunc({x})"
+    days = f"({whole} + floor(round_even(({x} - {whole}) * 86400000000.0, 0) / 86400000000.0))"
     return (f"CASE WHEN {x} IS NOT NULL AND NOT isnan({x}) AND {x} <> 0 "
-            f"THEN CAST(DATE '1960-01-01' + CAST(floor({x}) AS INTEGER) AS VARCHAR) END")
+            f"THEN CAST(DATE '1960-01-01' + CAST({days} AS INTEGER) AS VARCHAR) END")
 
 
 EVENTS_WITH_GAPS = """

@@ -16,7 +16,7 @@ def reference_iso(x):
 
 
 def test_sas_day_to_iso_matches_udf_semantics(spark):
-    vals = [20574.0, 0.0, None, 1.9, -0.5, -1.0, 366.0]
+    vals = [20574.0, 0.0, None, 1.9, -0.5, -1.0, 366.0, 1.9999999999999, -1e-303, -1e-7, 2.5e-12, 20574.999999999996]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r[0] for r in df.select(sas_day_to_iso("x")).collect()]
     assert got == [reference_iso(v) if v is not None else None for v in vals]
