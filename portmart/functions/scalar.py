@@ -16,10 +16,12 @@ _MICROS_PER_DAY = 86_400_000_000.0
 # Characters Python's str.strip() removes (ASCII part).
 _WHITESPACE = " \t\n\r\f\u000b"
 
-# Runs of cased letters (upper, lower, title case) or runs of anything else. Python's
-# str.title() upper-cases the first cased character after an uncased one and lower-cases the
-# rest, which is initcap applied to each run of cased letters.
-_CASED_RUNS = r"([\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+)"
+# Runs of cased characters or runs of anything else. Python's str.title() upper-cases the
+# first cased character after an uncased one and lower-cases the rest, which is initcap applied
+# to each run of cased characters. "Cased" is the Unicode Lowercase/Uppercase/Titlecase
+# properties (so also e.g. ª, ʰ, ⓐ), as in Python, not only the Lu/Ll/Lt categories.
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
+_CASED_RUNS = f"([{_CASED}]+|[^{_CASED}]+)"
 
 
 def _col(c: "Column | str") -> Column:

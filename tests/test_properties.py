@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from portmart.functions import py_title, sas_day_to_iso
 from portmart.operators.clean import dedup_first
 
-ALPHABET = "abcxyzABCXYZéÉàÀüÜñÑçÇøØ  -'.,0123456789_/\tǆǅǄ中文"
+ALPHABET = "abcxyzABCXYZéÉàÀüÜñÑçÇøØ  -'.,0123456789_/\tǆǅǄ中文ªºʰⓐⒶΣσςЖж"
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
 
