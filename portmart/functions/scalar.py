@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 SAS_EPOCH = _dt.date(1960, 1, 1)
 _MICROS_PER_DAY = 86_400_000_000.0
 
-# Characters Python's str.strip() removes (ASCII part).
-_WHITESPACE = " \t\n\r\f\u000b"
+# Characters Python's str.strip() removes: every character Python calls whitespace
+# (all of them lie below U+3100).
+_WHITESPACE = "".join(chr(c) for c in range(0x3100) if chr(c).isspace())
 
 # Runs of cased characters or runs of anything else. Python's str.title() upper-cases the
 # first cased character after an uncased one and lower-cases the rest, which is initcap applied

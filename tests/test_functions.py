@@ -87,3 +87,10 @@ def test_pct(spark):
     df = spark.createDataFrame([(2014, 10000), (1, 0)], "a long, b long")
     got = [r[0] for r in df.select(pct("a", "b")).collect()]
     assert math.isclose(got[0], 20.14) and got[1] is None
+
+
+def test_strip_whitespace_is_pythons(spark):
+    from portmart.functions import strip_chars
+    vals = ["\xa0 MEXICO　", "\x1c\x1dX\x85", " \t'AL'\t "]
+    df = spark.createDataFrame([(v,) for v in vals], "s string")
+    assert [r[0] for r in df.select(strip_chars("s")).collect()] == [v.strip() for v in vals]
