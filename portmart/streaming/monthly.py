@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from portmart import schemas
-from portmart.operators.joins import broadcast_if_small
 from portmart.plans.pipeline import refresh_arrivals_month
 from portmart.session import staging_path
 
 MONTH_KEYS = ("i94yr", "i94mon")
+# Up to this many distinct months per micro-batch become a literal (prunable) filter; more (a
+# backfill) go through a semi-join with the same result.
+MAX_MONTHS_PER_BATCH = 240
 
 
 def _read_landing(spark: SparkSession, landing: str, schema: StructType, fmt: str) -> DataFrame:
@@ -40,12 +42,25 @@ def start_monthly_refresh(spark: SparkSession, landing: str, fact_path: str, che
     stream = reader.load(landing)
 
     def rebuild_months(batch: DataFrame, epoch_id: int) -> None:
-        months = batch.select(*MONTH_KEYS).distinct()
-        if months.isEmpty():
+        # the (year, month) pairs of one batch: a handful of values, so they are collected and
+        # turned into a literal filter, which prunes a landing folder partitioned by year and
+        # month to just those directories (else Parquet statistics skip row groups)
+        month_df = batch.select(*MONTH_KEYS).distinct()
+        months = [tuple(r) for r in month_df.limit(MAX_MONTHS_PER_BATCH + 1).collect()]
+        if not months:
             return
-        whole = _read_landing(batch.sparkSession, landing, schema, fmt)
-        touched = whole.join(broadcast_if_small(months, 10_000), list(MONTH_KEYS), "left_semi")
-        refresh_arrivals_month(touched, fact_path)
+        landed = _read_landing(batch.sparkSession, landing, schema, fmt)
+        if len(months) > MAX_MONTHS_PER_BATCH:
+            # a backfill: same result through a null-safe semi-join instead of a literal filter
+            keys = [landed[k].eqNullSafe(month_df[k]) for k in MONTH_KEYS]
+            refresh_arrivals_month(landed.join(month_df, keys[0] & keys[1], "left_semi"), fact_path)
+            return
+        cond = None
+        for y, m in months:
+            term = (F.col(MONTH_KEYS[0]) == y) & (F.col(MONTH_KEYS[1]) == m) if y is not None and m is not None \
+                else (F.col(MONTH_KEYS[0]).eqNullSafe(F.lit(y)) & F.col(MONTH_KEYS[1]).eqNullSafe(F.lit(m)))
+            cond = term if cond is None else cond | term
+        refresh_arrivals_month(landed.filter(cond), fact_path)
 
     writer = stream.writeStream.foreachBatch(rebuild_months).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
