@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -45,9 +45,10 @@ def dedup_first(df: DataFrame, keys: Iterable[str], order_by: Iterable[str] | No
     """One row per key with a deterministic survivor.
 
     The survivor is the smallest row by ``order_by`` then by every remaining column in column
-    order (nulls sort first, as in Spark struct comparison). It is computed as ``min(struct)``
-    in a grouped aggregation, so a hot key is reduced map-side before the shuffle instead of
-    landing whole in one task; the result does not depend on partitioning or task order.
+    order, nulls first. Written as ``row_number() = 1`` over the key, which Spark plans with a
+    partial group limit *before* the shuffle (each task keeps one row per key, so a key holding
+    a third of the rows leaves every task as one row) and a final one after it. The result does
+    not depend on partitioning or task order.
 
     ``drop_null_keys=True`` first removes rows with a null key; otherwise all null-key rows
     share one group, as with ``dropDuplicates``.
@@ -59,12 +60,10 @@ def dedup_first(df: DataFrame, keys: Iterable[str], order_by: Iterable[str] | No
         df = df.dropna(how="any", subset=keys)
     if not order and not rest:
         return df.select(*[F.col(_q(k)) for k in keys]).distinct()
-    tie = [f"_t{i}" for i in range(len(order) + len(rest))]
-    packed = F.struct(*[F.col(_q(c)).alias(t) for c, t in zip(order + rest, tie)])
-    best = df.groupBy(*[F.col(_q(k)) for k in keys]).agg(F.min(packed).alias("_best"))
-    names = dict(zip(order + rest, tie))
-    return best.select(*[F.col(_q(c)) if c in keys else F.col(f"_best.{names[c]}").alias(c)
-                         for c in df.columns])
+    rank = "_dedup_rank"
+    w = Window.partitionBy(*[F.col(_q(k)) for k in keys]).orderBy(
+        *[F.col(_q(c)).asc_nulls_first() for c in order + rest])
+    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) == 1).drop(rank)
 
 
 def dedup_any(df: DataFrame, keys: Iterable[str]) -> DataFrame:
