@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from portmart.functions import before_first, py_title, split_part, strip_chain
@@ -34,8 +34,12 @@ STATE_RULE = LabelRule(code_strip=["\t", "'"], label_strip=[None, "'"], title=Tr
 
 
 def last_per_key(df: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
-    """(key, value of the row that is last by ``order``) per key (C9); one hash aggregation."""
-    return df.groupBy(key).agg(F.max_by(F.col(value), F.struct(*[F.col(c) for c in order])).alias(value))
+    """(key, value of the row that is last by ``order``) per key (C9), as assignment into a dict
+    in file order would leave it. ``row_number() = 1`` over the key, newest first: Spark keeps
+    one row per key and task before the shuffle (partial group limit)."""
+    w = Window.partitionBy(key).orderBy(*[F.col(c).desc() for c in order])
+    return (df.select(key, value, *order).withColumn("_last", F.row_number().over(w))
+              .filter(F.col("_last") == 1).select(key, value))
 
 
 def parse_label_lines(lines: DataFrame, rule: LabelRule, line_col: str = "line") -> DataFrame:
