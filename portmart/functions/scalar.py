@@ -43,7 +43,7 @@ def sas_day_to_iso(c: "Column | str", zero_is_null: bool = True) -> Column:
         ok = ok & (x != F.lit(0.0))
     # whole days stay exact; only the fraction is rounded to microseconds (as timedelta does)
     whole = F.when(x >= 0, F.floor(x)).otherwise(F.ceil(x))
-    frac_micros = F.bround((x - whole) * F.lit(_MICROS_PER_DAY), 0)
+    frac_micros = F.rint((x - whole) * F.lit(_MICROS_PER_DAY))  # half-even, no BigDecimal
     days = (whole + F.floor(frac_micros / F.lit(_MICROS_PER_DAY))).try_cast("int")
     return F.when(ok, F.date_add(F.lit(SAS_EPOCH), days).cast("string"))
 

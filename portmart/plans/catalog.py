@@ -25,7 +25,7 @@ from portmart.operators.profile import (filter_count, missing_profile, missing_p
 from portmart.operators.quality import CheckSpec, StepCounter, completeness_check, run_checks
 from portmart.plans import tables as H
 from portmart.session import staging_path, table_path
-from portmart.sinks.writers import refresh_partitions, stage, write_csv, write_partitioned
+from portmart.sinks.writers import refresh_partitions, write_csv, write_partitioned
 from portmart.sources.files import read_csv, read_parquet
 from portmart.sources.labels import read_numbered_lines
 

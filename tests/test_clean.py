@@ -1,7 +1,6 @@
 """Cleaning operators: deterministic survivors, null handling, strict renames."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from portmart.operators.clean import dedup_first, drop_null_rows, rename_columns
 from portmart.plans import tables as H

@@ -4,7 +4,6 @@ import datetime as dt
 import math
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from portmart.functions import (after_first, before_first, parse_date, pct, py_title, sas_day_to_iso,
                                 split_part, strip_chain)

@@ -5,7 +5,7 @@ import os
 import pytest
 
 from oracle_check import compare, duck
-from conftest import SF001, SF0001
+from conftest import SF001
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF001), reason="driver tables not present")
 

@@ -1,10 +1,8 @@
 """Whole jobs on hand-made raw files."""
 
-import math
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from portmart import schemas
 from portmart.plans import pipeline as P
