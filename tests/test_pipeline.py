@@ -157,3 +157,17 @@ def test_airports_cleaning(spark):
     rows.append(tuple([None] * 12))
     df = spark.createDataFrame(rows, schemas.RAW_AIRPORTS)
     assert clean_airports(df).count() == 1
+
+
+def test_command_line(spark, raw, capsys):
+    from portmart.__main__ import main
+    out = f"{raw}/cli_tables"
+    # the default label ranges find nothing in the short fixture file: checks fail -> exit code 1
+    code = main(["run", "--labels", f"{raw}/labels.SAS", "--arrivals", f"{raw}/arrivals", "--demographics",
+                 f"{raw}/demographics.csv", "--temperature", f"{raw}/temperature.csv", "--out", out,
+                 "--sas-format", "xport", "--on-fail", "warn"], spark=spark)
+    assert code == 1
+    assert main(["mart", "state-gender", "--tables", out, "--threshold", "0"], spark=spark) == 0
+    printed = capsys.readouterr().out
+    assert "state_code" in printed and "NY" in printed
+    assert main(["profile", "--input", f"{raw}/demographics.csv", "--format", "csv;", "--limit", "10"], spark=spark) == 0
