@@ -79,9 +79,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from portmart.sources.sas import read_sas
         if args.format in ("sas", "xport"):
             from pyspark.sql import functions as F
-            df = read_sas(spark, args.input, schemas.RAW_ARRIVALS,
+            df = read_sas(spark, args.input, schemas.RAW_ARRIVALS, with_source_file=True,
                           sas_format="xport" if args.format == "xport" else "sas7bdat")
-            prof = missing_profile_over_files(df, args.limit, file_col=F.lit(args.input))
+            prof = missing_profile_over_files(df, args.limit, file_col=F.col("source_file"),
+                                              cols=schemas.RAW_ARRIVALS.fieldNames())
         elif args.format.startswith("csv"):
             df = read_csv(spark, args.input, sep=";" if args.format == "csv;" else ",")
             prof = missing_profile_over_files(df, args.limit)

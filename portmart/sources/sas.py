@@ -19,6 +19,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 FORMAT_NAME = "portmart_sas"
+# A column of this name in the requested schema is filled with each row's file path (the scan
+# has no ``_metadata`` column).
+SOURCE_FILE_COLUMN = "source_file"
 
 
 @dataclass
@@ -68,6 +71,9 @@ class _SasReader(DataSourceReader):
                 frame.columns = [str(c) for c in frame.columns]
                 cols = {}
                 for name, kind in kinds.items():
+                    if name == SOURCE_FILE_COLUMN and name not in frame.columns:
+                        cols[name] = pd.Series([partition.path] * len(frame), dtype=object)
+                        continue
                     src = frame[name] if name in frame.columns else pd.Series([None] * len(frame), dtype=object)
                     if kind in ("double", "float", "integer", "long"):
                         vals = pd.to_numeric(src, errors="coerce").astype("float64")
@@ -100,11 +106,17 @@ class SasDataSource(DataSource):
 
 
 def read_sas(spark: SparkSession, path: str, schema: StructType | None = None, sas_format: str = "sas7bdat",
-             encoding: str = "ISO-8859-1", chunk_size: int = 100_000) -> DataFrame:
-    """Scan every SAS file under ``path`` as one table with the declared ``schema`` (A1)."""
+             encoding: str = "ISO-8859-1", chunk_size: int = 100_000, with_source_file: bool = False) -> DataFrame:
+    """Scan every SAS file under ``path`` as one table with the declared ``schema`` (A1);
+    ``with_source_file`` adds the file path of each row (A12)."""
+    from pyspark.sql.types import StringType, StructField
+
     from portmart.schemas import RAW_ARRIVALS
     spark.dataSource.register(SasDataSource)
     files = list_sas_files(spark, path)
-    return (spark.read.format(FORMAT_NAME).schema(schema or RAW_ARRIVALS)
+    schema = schema or RAW_ARRIVALS
+    if with_source_file and SOURCE_FILE_COLUMN not in schema.fieldNames():
+        schema = StructType(schema.fields + [StructField(SOURCE_FILE_COLUMN, StringType())])
+    return (spark.read.format(FORMAT_NAME).schema(schema)
             .option("files", "\n".join(files)).option("sasFormat", sas_format)
             .option("encoding", encoding).option("chunkSize", str(chunk_size)).load())

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from portmart import schemas
 from portmart.plans import pipeline as P
@@ -77,6 +78,12 @@ def test_sas_scan_one_partition_per_file(spark, raw):
     assert by[2.0]["arrdate"] == 0.0            # IBM zero snapped back to 0
     assert by[4.0]["arrdate"] is None            # SAS missing (NaN) arrives as null
     assert by[1.0]["arrdate"] == 20574.0
+    # per-file view of the scan (A12): each row knows its file; profiles add up per file
+    from portmart.operators.profile import missing_counts_by_file
+    tagged = read_sas(spark, f"{raw}/arrivals", sas_format="xport", with_source_file=True)
+    per_file = {(r["source_file"].rsplit("/", 1)[-1], r["field"]): (r["nulls"], r["rows"]) for r in
+                missing_counts_by_file(tagged, F.col("source_file"), ["cicid"]).collect()}
+    assert per_file == {("i94_apr16_a.xpt", "cicid"): (1, 5), ("i94_apr16_b.xpt", "cicid"): (2, 3)}
 
 
 def test_whole_pipeline(spark, raw):
