@@ -3,7 +3,8 @@
 Each query is ``(spark, sf_dir) -> DataFrame`` and runs the library's operators over whole
 tables. The driver tables stand in for the reference's raw data: ``orders`` = arrivals (fact),
 ``customer`` = immigrant dimension, ``nation``/``region`` = lookups, ``events`` = temperature
-readings, ``lineitem`` = many-rows-per-key demographics, ``documents`` = label text.
+readings, ``lineitem`` = many-rows-per-key demographics, ``documents`` = free text for title
+case; label-description files are written from ``orders``, ``part`` and ``supplier`` rows.
 Queries that write (round trips, staging, refresh) write below the shared checkpoint folder.
 """
 
@@ -51,9 +52,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def mart_status_by_region(spark: SparkSession, sf_dir: str, threshold: int = REGION_THRESHOLD) -> DataFrame:
     """Orders per region and status (F, O); pairs at or under ``threshold`` blanked (H17 shape).
 
-    Orders are counted per customer before the join, so one row per customer (not per order)
-    crosses the customer join and a customer holding a third of all orders collapses map-side;
-    nation and region are broadcast behind a row-count check.
+    Orders are counted per customer before the join (partial aggregate: at most one row per
+    customer and task crosses the shuffle, and a customer holding a third of all orders
+    collapses map-side); that exchange by customer key also serves the customer join. Nation
+    and region are broadcast behind a proven size bound.
     """
     orders = _t(spark, sf_dir, "orders")
     customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
