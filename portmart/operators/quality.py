@@ -75,6 +75,7 @@ class CheckSpec:
     df: DataFrame
     expected_schema: T.StructType | None = None
     schema_mode: str = "strict"
+    completeness: bool = True
 
 
 def run_checks(spark: SparkSession, specs: Sequence[CheckSpec]) -> DataFrame:
@@ -83,7 +84,8 @@ def run_checks(spark: SparkSession, specs: Sequence[CheckSpec]) -> DataFrame:
     for s in specs:
         if s.expected_schema is not None:
             parts.append(schema_check(spark, s.df, s.table_name, s.expected_schema, s.schema_mode))
-        parts.append(completeness_check(s.df, s.table_name))
+        if s.completeness:
+            parts.append(completeness_check(s.df, s.table_name))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

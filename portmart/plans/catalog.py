@@ -447,6 +447,45 @@ def star_month_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
     return month_join(orders, readings, [("o_orderstatus", "r_status"), ("year", "r_year"), ("month", "r_month")])
 
 
+# --- whole job (H12, H1, H5, H6, G1-G4, H17) ---------------------------------------------------
+
+PIPELINE_THRESHOLD = 1000
+
+
+def orders_as_raw_arrivals(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Raw arrivals in the declared file schema, one per order: the customer's market segment
+    is the arrival state, the order status the gender (F -> F, O -> M, P -> missing)."""
+    from portmart.schemas import RAW_ARRIVALS
+    joined = orders.join(customer.select("c_custkey", "c_mktsegment", "c_nationkey"),
+                         F.col("o_custkey") == F.col("c_custkey"), "left")
+    arr = sas_day_of("o_orderdate")
+    given = {
+        "cicid": F.col("o_orderkey").cast("double"),
+        "i94yr": F.year("o_orderdate").cast("double"), "i94mon": F.month("o_orderdate").cast("double"),
+        "i94cit": F.col("c_nationkey").cast("double"), "i94res": F.col("c_nationkey").cast("double"),
+        "i94port": F.col("o_orderpriority"), "arrdate": arr, "i94addr": F.col("c_mktsegment"),
+        "depdate": arr + F.col("o_totalprice") / F.lit(10000.0),
+        "gender": F.when(F.col("o_orderstatus") == "F", "F").when(F.col("o_orderstatus") == "O", "M"),
+        "visatype": F.substring_index("o_orderpriority", "-", -1),
+    }
+    return joined.select(*[(given[f.name] if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in RAW_ARRIVALS.fields])
+
+
+def pipeline_state_gender(spark: SparkSession, sf_dir: str, threshold: int = PIPELINE_THRESHOLD) -> DataFrame:
+    """The arrivals job end to end on raw arrivals derived from orders and customers: clean,
+    stage once, write the partitioned fact and the immigrant dimension, enforce the schema and
+    completeness checks, then ask the state x gender mart of the written tables (H12 + H17)."""
+    from portmart.plans.marts import arrivals_by_state_gender
+    from portmart.plans.pipeline import process_arrivals
+    raw = orders_as_raw_arrivals(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"))
+    out = staging_path(spark, "arrivals-job")
+    res = process_arrivals(spark, "", out, raw=raw, on_fail="raise")
+    fact = spark.read.parquet(res.tables["fact_immigration"])
+    dim = spark.read.parquet(res.tables["dim_immigrant_demographics"])
+    return arrivals_by_state_gender(fact, dim, threshold=threshold)
+
+
 QUERIES = {
     "mart_status_by_region": mart_status_by_region,
     "mart_priority_by_segment": mart_priority_by_segment,
@@ -481,4 +520,5 @@ QUERIES = {
     "star_lookup": star_lookup,
     "star_preaggregated": star_preaggregated,
     "star_month_reading": star_month_reading,
+    "pipeline_state_gender": pipeline_state_gender,
 }

@@ -283,3 +283,18 @@ LEFT JOIN (SELECT l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(mon
                   count(*) AS month_lines FROM lineitem GROUP BY ALL) r
   ON o.o_orderstatus = r.l_linestatus AND o.year = r.y AND o.month = r.m
 """
+
+ORACLE_SQL["pipeline_state_gender"] = """
+WITH a AS (
+  SELECT c.c_mktsegment AS state_code,
+         CASE o.o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' END AS gender,
+         CAST(o.o_orderkey AS DOUBLE) AS cic_id
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+pairs AS (
+  SELECT state_code, gender, count(cic_id) AS cnt FROM a
+  WHERE gender IN ('F', 'M') GROUP BY state_code, gender HAVING count(cic_id) > 1000)
+SELECT state_code,
+       max(CASE WHEN gender = 'F' THEN cnt END) AS "F",
+       max(CASE WHEN gender = 'M' THEN cnt END) AS "M"
+FROM pairs GROUP BY state_code
+"""

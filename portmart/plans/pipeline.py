@@ -36,14 +36,14 @@ def _join(base: str, name: str) -> str:
 
 def _publish_and_check(spark: SparkSession, built: dict[str, DataFrame], paths: dict[str, str],
                        on_fail: str, result: JobResult) -> None:
-    """Check schemas on the frames as built (the declared schemas are what was written) and
-    completeness on the written copies (row counts from the files, not a recomputation)."""
+    """Check schemas on the frames as built (analysis only, no job; a Parquet read-back would
+    report every column nullable) and completeness on the written copies (counted from the
+    files, not by recomputing the build)."""
     specs = []
     for name, df in built.items():
-        written = spark.read.parquet(paths[name])
-        specs.append(CheckSpec(name, df, schemas.PUBLISHED[name]))
         result.tables[name] = paths[name]
-        specs.append(CheckSpec(name + "_written", written))
+        specs.append(CheckSpec(name, df, schemas.PUBLISHED[name], completeness=False))
+        specs.append(CheckSpec(name, spark.read.parquet(paths[name])))
     result.checks += enforce(run_checks(spark, specs), on_fail=on_fail)
 
 
