@@ -52,7 +52,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or _session()
 
     if args.cmd == "run":
-        from portmart.plans.pipeline import Inputs, run_all
+        from portmart.plans.jobs import Inputs, run_all
         res = run_all(spark, Inputs(labels=args.labels, arrivals=args.arrivals, demographics=args.demographics,
                                     temperature=args.temperature, sas_format=args.sas_format),
                       args.out, on_fail=args.on_fail)

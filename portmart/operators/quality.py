@@ -1,7 +1,7 @@
 """Data-quality checks that return rows instead of only logging.
 
 Every check yields rows of ``(table_name, check_name, passed, detail)``. ``enforce`` turns a
-report into an exception, so a pipeline can stop on a failed check instead of carrying on.
+report into an exception, so a job can stop on a failed check instead of carrying on.
 """
 
 from __future__ import annotations

@@ -449,7 +449,7 @@ def star_month_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- whole job (H12, H1, H5, H6, G1-G4, H17) ---------------------------------------------------
 
-PIPELINE_THRESHOLD = 1000
+JOB_THRESHOLD = 1000
 
 
 def orders_as_raw_arrivals(orders: DataFrame, customer: DataFrame) -> DataFrame:
@@ -472,12 +472,12 @@ def orders_as_raw_arrivals(orders: DataFrame, customer: DataFrame) -> DataFrame:
                            for f in RAW_ARRIVALS.fields])
 
 
-def pipeline_state_gender(spark: SparkSession, sf_dir: str, threshold: int = PIPELINE_THRESHOLD) -> DataFrame:
+def arrivals_job_state_gender(spark: SparkSession, sf_dir: str, threshold: int = JOB_THRESHOLD) -> DataFrame:
     """The arrivals job end to end on raw arrivals derived from orders and customers: clean,
     stage once, write the partitioned fact and the immigrant dimension, enforce the schema and
     completeness checks, then ask the state x gender mart of the written tables (H12 + H17)."""
     from portmart.plans.marts import arrivals_by_state_gender
-    from portmart.plans.pipeline import process_arrivals
+    from portmart.plans.jobs import process_arrivals
     raw = orders_as_raw_arrivals(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"))
     out = staging_path(spark, "arrivals-job")
     res = process_arrivals(spark, "", out, raw=raw, on_fail="raise")
@@ -520,5 +520,5 @@ QUERIES = {
     "star_lookup": star_lookup,
     "star_preaggregated": star_preaggregated,
     "star_month_reading": star_month_reading,
-    "pipeline_state_gender": pipeline_state_gender,
+    "arrivals_job_state_gender": arrivals_job_state_gender,
 }

@@ -284,7 +284,7 @@ LEFT JOIN (SELECT l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(mon
   ON o.o_orderstatus = r.l_linestatus AND o.year = r.y AND o.month = r.m
 """
 
-ORACLE_SQL["pipeline_state_gender"] = """
+ORACLE_SQL["arrivals_job_state_gender"] = """
 WITH a AS (
   SELECT c.c_mktsegment AS state_code,
          CASE o.o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' END AS gender,

@@ -1,7 +1,7 @@
 """Cleaning steps and table builders of the star schema.
 
 Builders are pure ``DataFrame -> DataFrame`` functions (compose them with ``.transform``);
-writing and checking belong to ``plans.pipeline``.
+writing and checking belong to ``plans.jobs``.
 """
 
 from __future__ import annotations

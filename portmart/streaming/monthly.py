@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from portmart import schemas
-from portmart.plans.pipeline import refresh_arrivals_month
+from portmart.plans.jobs import refresh_arrivals_month
 from portmart.session import staging_path
 
 MONTH_KEYS = ("i94yr", "i94mon")

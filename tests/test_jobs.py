@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from portmart import schemas
-from portmart.plans import pipeline as P
+from portmart.plans import jobs as P
 from portmart.plans.marts import arrivals_by_state_gender
 from portmart.sources.sas import read_sas
 from test_lookups import LABEL_LINES, CITY, COUNTRY, STATE
@@ -86,7 +86,7 @@ def test_sas_scan_one_partition_per_file(spark, raw):
     assert per_file == {("i94_apr16_a.xpt", "cicid"): (1, 5), ("i94_apr16_b.xpt", "cicid"): (2, 3)}
 
 
-def test_whole_pipeline(spark, raw):
+def test_all_jobs(spark, raw):
     out = f"{raw}/tables"
     res = P.run_all(spark, P.Inputs(labels=f"{raw}/labels.SAS", arrivals=f"{raw}/arrivals",
                                     demographics=f"{raw}/demographics.csv", temperature=f"{raw}/temperature.csv",

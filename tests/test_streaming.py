@@ -2,7 +2,7 @@
 
 from portmart import schemas
 from portmart.streaming.monthly import run_monthly_refresh
-from test_pipeline import arrival
+from test_jobs import arrival
 
 
 def test_stream_rebuilds_only_touched_months(spark, tmp):
