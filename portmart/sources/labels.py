@@ -65,7 +65,7 @@ def line_range(lines: DataFrame, start: int, end: int) -> DataFrame:
 def named_block(lines: DataFrame, name: str) -> DataFrame:
     """Lines of the ``value <name>`` block of each file, up to the closing ';' (no line numbers
     needed). The header line itself is left out."""
-    header = F.lower(F.trim(F.col("line"))).rlike(r"^value\s+\$?" + name.lower().lstrip("$") + r"\s*$")
+    header = F.lower(F.trim(F.col("line"))).rlike(r"^value\s+\$?" + re.escape(name.lower().lstrip("$")) + r"\s*$")
     starts = lines.filter(header).groupBy("file").agg(F.min("pos").alias("_start"))
     tagged = lines.join(broadcast_if_small(starts, 1_000_000), "file").filter(F.col("pos") > F.col("_start"))
     ends = (tagged.filter(F.trim(F.col("line")).startswith(";"))
