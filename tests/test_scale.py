@@ -72,3 +72,31 @@ def test_flagship_pushes_filter_and_prunes_columns(spark):
     plan = _plan(entry(spark))
     assert "PushedFilters: [In(o_orderstatus, [F,O])" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in plan
+
+
+def test_large_estimate_skips_the_counting_job(spark):
+    from portmart.operators.joins import broadcast_if_small, estimated_bytes
+    big = spark.read.parquet(f"{SF0001}/lineitem.parquet")
+    assert estimated_bytes(big) > 1000
+    sc = spark.sparkContext
+    sc.setJobGroup("size-guard-large", "size guard", False)
+    try:
+        assert broadcast_if_small(big, max_bytes=1000) is big
+    finally:
+        sc.setJobGroup("none", "none", False)
+    assert sc.statusTracker().getJobIdsForGroup("size-guard-large") == []
+    sc.setJobGroup("size-guard-small", "size guard", False)
+    try:
+        small = spark.read.parquet(f"{SF0001}/nation.parquet")
+        assert broadcast_if_small(small) is not small  # proven small: hinted
+    finally:
+        sc.setJobGroup("none", "none", False)
+    assert len(sc.statusTracker().getJobIdsForGroup("size-guard-small")) >= 1  # the bounded count ran
+
+
+def test_recommended_conf_sizes_partitions():
+    from portmart.session import recommended_conf
+    c = recommended_conf(100 * 2 ** 40, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(recommended_conf(10 * 2 ** 20, 64)["spark.sql.shuffle.partitions"]) == 192  # 3 waves
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
