@@ -100,3 +100,31 @@ def test_recommended_conf_sizes_partitions():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(recommended_conf(10 * 2 ** 20, 64)["spark.sql.shuffle.partitions"]) == 192  # 3 waves
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_hot_join_key_is_split_by_aqe(spark):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 90000
+        fact = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).alias("custkey"),
+            F.col("id").alias("orderkey"),
+            F.concat(F.lit("P"), (F.col("id") % 4).cast("string")).alias("priority"))
+        dim = spark.range(5000).select(F.col("id").alias("c_custkey"),
+                                       F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("segment"))
+        joined = fact.join(dim, F.col("custkey") == F.col("c_custkey"))
+        out = pivot_counts(joined, ["priority"], "segment", ["A", "B"], count_col="orderkey")
+        rows = {r["priority"]: (r["A"], r["B"]) for r in out.collect()}
+        final = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "skew=true" in final
+    assert sum((a or 0) + (b or 0) for a, b in rows.values()) == n  # absent pairs are null cells
