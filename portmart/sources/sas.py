@@ -33,10 +33,17 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-def list_sas_files(spark: SparkSession, path: str) -> list[str]:
+# Default file-name filters per format (None = every file).
+DEFAULT_GLOBS = {"sas7bdat": "*.sas7bdat", "xport": "*.xpt"}
+
+
+def list_sas_files(spark: SparkSession, path: str, file_glob: str | None = None) -> list[str]:
     """Files under ``path`` (a directory or glob, any Hadoop file system), names only: the
     binaryFile scan lists files and does not read content when only ``path`` is selected."""
-    rows = spark.read.format("binaryFile").load(path).select("path").collect()
+    reader = spark.read.format("binaryFile")
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    rows = reader.load(path).select("path").collect()
     return sorted(r["path"] for r in rows)
 
 
@@ -106,14 +113,19 @@ class SasDataSource(DataSource):
 
 
 def read_sas(spark: SparkSession, path: str, schema: StructType | None = None, sas_format: str = "sas7bdat",
-             encoding: str = "ISO-8859-1", chunk_size: int = 100_000, with_source_file: bool = False) -> DataFrame:
+             encoding: str = "ISO-8859-1", chunk_size: int = 100_000, with_source_file: bool = False,
+             file_glob: str | None = "default") -> DataFrame:
     """Scan every SAS file under ``path`` as one table with the declared ``schema`` (A1);
-    ``with_source_file`` adds the file path of each row (A12)."""
+    ``with_source_file`` adds the file path of each row (A12). Only files matching
+    ``file_glob`` are read (by default ``*.sas7bdat`` or ``*.xpt`` by format; None = all)."""
     from pyspark.sql.types import StringType, StructField
 
     from portmart.schemas import RAW_ARRIVALS
     spark.dataSource.register(SasDataSource)
-    files = list_sas_files(spark, path)
+    glob_ = DEFAULT_GLOBS.get(sas_format.lower()) if file_glob == "default" else file_glob
+    files = list_sas_files(spark, path, glob_)
+    if not files:
+        raise FileNotFoundError(f"no {sas_format} files under {path} matching {glob_!r}")
     schema = schema or RAW_ARRIVALS
     if with_source_file and SOURCE_FILE_COLUMN not in schema.fieldNames():
         schema = StructType(schema.fields + [StructField(SOURCE_FILE_COLUMN, StringType())])

@@ -59,6 +59,8 @@ def raw(tmp):
     os.makedirs(f"{tmp}/arrivals")
     write_xport(f"{tmp}/arrivals/i94_apr16_a.xpt", ARR_COLS, FILE1)
     write_xport(f"{tmp}/arrivals/i94_apr16_b.xpt", ARR_COLS, FILE2)
+    with open(f"{tmp}/arrivals/README.txt", "w") as fh:  # not a SAS file: must be skipped
+        fh.write("monthly arrivals\n")
     with open(f"{tmp}/temperature.csv", "w") as fh:
         fh.write(TEMPERATURE_CSV)
     with open(f"{tmp}/demographics.csv", "w") as fh:
