@@ -99,13 +99,19 @@ def process_temperature(spark: SparkSession, input_path: str, output_path: str,
 
 
 def process_labels(spark: SparkSession, input_path: str, output_path: str, country_lines=H.COUNTRY_LINES,
-                   city_lines=H.CITY_LINES, state_lines=H.STATE_LINES, on_fail: str = "warn") -> JobResult:
-    """Label description file -> ``dim_country``, ``dim_city``, ``dim_state``."""
+                   city_lines=H.CITY_LINES, state_lines=H.STATE_LINES, on_fail: str = "warn",
+                   blocks: dict | None = None) -> JobResult:
+    """Label description file -> ``dim_country``, ``dim_city``, ``dim_state``.
+
+    Blocks are taken by fixed line ranges, or by name when ``blocks`` maps ``country``,
+    ``city``, ``state`` to format names (e.g. ``{'country': 'i94cntyl', 'city': '$i94prtl',
+    'state': 'i94addrl'}``)."""
     result = JobResult()
     lines = read_numbered_lines(spark, input_path)
-    built = {"dim_country": H.build_country_dim(lines, country_lines),
-             "dim_city": H.build_city_dim(lines, city_lines),
-             "dim_state": H.build_state_dim(lines, state_lines)}
+    blocks = blocks or {}
+    built = {"dim_country": H.build_country_dim(lines, country_lines, blocks.get("country")),
+             "dim_city": H.build_city_dim(lines, city_lines, blocks.get("city")),
+             "dim_state": H.build_state_dim(lines, state_lines, blocks.get("state"))}
     paths = {k: _join(output_path, k) for k in built}
     for k, df in built.items():
         write_parquet(df, paths[k])
@@ -123,13 +129,14 @@ class Inputs:
     country_lines: tuple = H.COUNTRY_LINES
     city_lines: tuple = H.CITY_LINES
     state_lines: tuple = H.STATE_LINES
+    label_blocks: dict | None = None  # find blocks by format name instead of line ranges
 
 
 def run_all(spark: SparkSession, inputs: Inputs, output_path: str, on_fail: str = "warn") -> dict[str, JobResult]:
     """Labels, arrivals, demographics, temperature, in that order."""
     return {
         "labels": process_labels(spark, inputs.labels, output_path, inputs.country_lines, inputs.city_lines,
-                                 inputs.state_lines, on_fail=on_fail),
+                                 inputs.state_lines, on_fail=on_fail, blocks=inputs.label_blocks),
         "arrivals": process_arrivals(spark, inputs.arrivals, output_path, sas_format=inputs.sas_format,
                                      on_fail=on_fail),
         "demographics": process_demographics(spark, inputs.demographics, output_path, on_fail=on_fail),

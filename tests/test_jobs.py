@@ -180,3 +180,15 @@ def test_command_line(spark, raw, capsys):
     printed = capsys.readouterr().out
     assert "state_code" in printed and "NY" in printed
     assert main(["profile", "--input", f"{raw}/demographics.csv", "--format", "csv;", "--limit", "10"], spark=spark) == 0
+
+
+def test_label_job_by_block_names(spark, raw):
+    res = P.process_labels(spark, f"{raw}/labels.SAS", f"{raw}/by_name", on_fail="raise",
+                           blocks={"country": "i94cntyl", "city": "$i94prtl", "state": "i94addrl"})
+    city = {r[0]: r[1] for r in spark.read.parquet(res.tables["dim_city"]).collect()}
+    assert city["NYC"] == "New York" and city["ORD"] == "Chicago O'Hare"
+    state = {r[0]: r[1] for r in spark.read.parquet(res.tables["dim_state"]).collect()}
+    assert state["AL"] == "Alabama State" and "NY " in state
+    # by name the country block also takes its line without '=' as a reject, not a row
+    country = {r[0]: r[1] for r in spark.read.parquet(res.tables["dim_country"]).collect()}
+    assert country == {"582": "MEXICO", "236": "AFGHANISTAN", "101": "ALBANIA"}
