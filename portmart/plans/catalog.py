@@ -407,7 +407,13 @@ def demographics_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def star_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with order, customer, customer nation and region, supplier, and supplier
-    nation: the nation dimension is used twice under two names (D2-D4)."""
+    nation: the nation dimension is used twice under two names (D2-D4).
+
+    Orders are joined to their customers first (an orders-sized join), and that result to the
+    line items by order key, so the line-item-sized data is shuffled by order key and (when
+    the supplier table is too big to broadcast) by supplier key, never a third time by customer
+    key. The left joins may be grouped this way because the customer condition only reads
+    order columns."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     customer = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
@@ -417,9 +423,9 @@ def star_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust_nation = lookup_join(nation.select("n_nationkey", F.col("n_name").alias("cust_nation"), "n_regionkey"),
                               region, "n_regionkey", "r_regionkey").drop("n_regionkey")
     supp_nation = nation.select(F.col("n_nationkey").alias("sn_key"), F.col("n_name").alias("supp_nation"))
-    out = li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    out = out.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-    out = lookup_join(out, cust_nation, "c_nationkey", "n_nationkey")
+    order_side = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    order_side = lookup_join(order_side, cust_nation, "c_nationkey", "n_nationkey")
+    out = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     out = lookup_join(out, supplier, "l_suppkey", "s_suppkey")
     out = lookup_join(out, supp_nation, "s_nationkey", "sn_key")
     return out.select("l_orderkey", "l_linenumber", "o_orderstatus", "c_name", "cust_nation", "cust_region",
