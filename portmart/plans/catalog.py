@@ -63,8 +63,9 @@ def mart_status_by_region(spark: SparkSession, sf_dir: str, threshold: int = REG
     region = _t(spark, sf_dir, "region").select("r_regionkey", "r_name")
     per_customer = pivot_partial(orders, ["o_custkey"], "o_orderstatus", STATUSES, count_col="o_orderkey",
                                  track_rows=needs_rows("o_orderkey", threshold))
-    cust_region = lookup_join(lookup_join(customer, nation, "c_nationkey", "n_nationkey", how="inner"),
-                              region, "n_regionkey", "r_regionkey", how="inner")
+    # the two tiny lookups are joined once and size-checked and broadcast as one table
+    nation_region = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
+    cust_region = lookup_join(customer, nation_region, "c_nationkey", "n_nationkey", how="inner")
     joined = per_customer.join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
     return pivot_finish(joined, ["r_name"], STATUSES, threshold=threshold)
 
