@@ -44,13 +44,24 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only where none is configured."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext; use the session setting as is
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="portmart-ckpt-")
+        configured = tempfile.mkdtemp(prefix="portmart-ckpt-")  # tests / local runs only
+        if sc is None:
+            try:
+                spark.conf.set("spark.checkpoint.dir", configured)
+            except Exception:  # a static setting on some servers: the path is still returned
+                pass
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
