@@ -50,7 +50,7 @@ def _sql_pivot(view: str, key: str, threshold: int | None) -> str:
 
 
 def arrivals_by_state_gender_sql(spark, fact: DataFrame, dim: DataFrame,
-                                 threshold: int | None = STATE_THRESHOLD, view: str = "immigration_data_view") -> DataFrame:
+                                 threshold: int | None = STATE_THRESHOLD, view: str = "fact_with_gender") -> DataFrame:
     """H17 written as Spark SQL over a temp view of the join (A13), threshold and unstack
     included, so nothing is finished in pandas. Same result as :func:`arrivals_by_state_gender`."""
     _fact_with_gender(fact, dim, ["state_code"], distinct=False).createOrReplaceTempView(view)
@@ -58,7 +58,7 @@ def arrivals_by_state_gender_sql(spark, fact: DataFrame, dim: DataFrame,
 
 
 def arrivals_by_visa_gender_sql(spark, fact: DataFrame, dim: DataFrame,
-                                view: str = "immigration_data_view") -> DataFrame:
+                                view: str = "fact_with_gender") -> DataFrame:
     """H18 as Spark SQL over the temp view (no threshold)."""
     _fact_with_gender(fact, dim, ["visa_type"], distinct=False).createOrReplaceTempView(view)
     return spark.sql(_sql_pivot(view, "visa_type", None))

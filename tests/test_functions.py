@@ -9,16 +9,19 @@ from portmart.functions import (after_first, before_first, parse_date, pct, py_t
                                 split_part, strip_chain)
 
 
-def reference_iso(x):
-    """What the reference's row UDF returns (NaN excluded: it raises there)."""
-    return (dt.date(1960, 1, 1) + dt.timedelta(x)).isoformat() if x else None
+def python_days_to_iso(x):
+    """Specification: Python's own date arithmetic from the SAS origin; missing and day 0 give
+    no date (NaN is left out: Python raises on it)."""
+    if x is None or x == 0:
+        return None
+    return (dt.date(1960, 1, 1) + dt.timedelta(days=x)).isoformat()
 
 
 def test_sas_day_to_iso_matches_udf_semantics(spark):
     vals = [20574.0, 0.0, None, 1.9, -0.5, -1.0, 366.0, 1.9999999999999, -1e-303, -1e-7, 2.5e-12, 20574.999999999996]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     got = [r[0] for r in df.select(sas_day_to_iso("x")).collect()]
-    assert got == [reference_iso(v) if v is not None else None for v in vals]
+    assert got == [python_days_to_iso(v) for v in vals]
     assert got[:5] == ["2016-04-30", None, None, "1960-01-02", "1959-12-31"]
 
 

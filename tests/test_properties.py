@@ -21,17 +21,20 @@ def test_py_title_matches_python(spark, texts):
     assert got == [t.title() for t in texts]
 
 
-def reference(x):
-    return (dt.date(1960, 1, 1) + dt.timedelta(x)).isoformat() if x else None
+def python_days_to_iso(x):
+    """Specification: Python date arithmetic from the SAS origin; missing and 0 give no date."""
+    if x is None or x == 0:
+        return None
+    return (dt.date(1960, 1, 1) + dt.timedelta(days=x)).isoformat()
 
 
 @SETTINGS
 @given(st.lists(st.one_of(st.none(), st.floats(min_value=-50000, max_value=80000, allow_nan=False),
                           st.integers(min_value=-50000, max_value=80000).map(float)), min_size=1, max_size=300))
-def test_sas_day_matches_reference_udf(spark, days):
+def test_sas_day_matches_python_date_arithmetic(spark, days):
     df = spark.createDataFrame([(d,) for d in days], "x double")
     got = [r[0] for r in df.select(sas_day_to_iso("x")).collect()]
-    assert got == [reference(d) if d is not None else None for d in days]
+    assert got == [python_days_to_iso(d) for d in days]
 
 
 @SETTINGS
