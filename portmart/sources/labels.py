@@ -26,12 +26,12 @@ def _split_bound(spark: SparkSession, text: DataFrame) -> int | None:
     total = estimated_bytes(text)
     if total is None:
         return None
-    smallest = min(_conf_bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20),
-                   _conf_bytes(spark, "spark.sql.files.openCostInBytes", 4 << 20))
+    smallest = min(conf_bytes(spark, "spark.sql.files.maxPartitionBytes", 128 << 20),
+                   conf_bytes(spark, "spark.sql.files.openCostInBytes", 4 << 20))
     return len(text.inputFiles()) + total // max(smallest, 1) + 1
 
 
-def _conf_bytes(spark: SparkSession, key: str, default: int) -> int:
+def conf_bytes(spark: SparkSession, key: str, default: int) -> int:
     """A byte-size setting ('134217728b', '128m', '128MB', '4194304') in bytes."""
     m = re.fullmatch(r"\s*(\d+)\s*([kmgtp]?)i?b?\s*", str(spark.conf.get(key, str(default))), re.I)
     if not m:

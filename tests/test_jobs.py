@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from portmart import schemas
 from portmart.plans import jobs as P
 from portmart.plans.marts import arrivals_by_state_gender
-from portmart.sources.sas import read_sas
+from portmart.sources.sas import read_sas, xport_row_range
 from test_lookups import LABEL_LINES, CITY, COUNTRY, STATE
 from xport import write_xport
 
@@ -88,6 +88,41 @@ def test_sas_scan_one_partition_per_file(spark, raw):
     assert per_file == {("i94_apr16_a.xpt", "cicid"): (1, 5), ("i94_apr16_b.xpt", "cicid"): (2, 3)}
 
 
+def test_xport_row_ranges_cover_every_row_once():
+    # byte ranges of any size, aligned or not with the records, give disjoint row ranges whose
+    # union is every row
+    for record_start in (0, 80, 960):
+        for length in (8, 80, 104, 333):
+            for nobs in (0, 1, 7, 50):
+                size = record_start + nobs * length + 37
+                for split in (1, 50, 80, 81, 1000, size):
+                    got = []
+                    for lo_b in range(0, size, split):
+                        lo, hi = xport_row_range(record_start, length, nobs, lo_b, min(lo_b + split, size))
+                        assert 0 <= lo <= hi <= nobs
+                        got.extend(range(lo, hi))
+                    assert got == list(range(nobs))
+
+
+def test_large_xport_file_is_read_by_many_tasks(spark, tmp):
+    # one file holding all rows: byte-range splits decode it in many tasks, same rows as one task
+    os.makedirs(f"{tmp}/big")
+    rows = [arrival(cicid=float(i), i94addr=("NY", "CA", "TX")[i % 3], arrdate=20574.0 + i % 30,
+                    gender="MF"[i % 2]) for i in range(997)]
+    write_xport(f"{tmp}/big/i94_big.xpt", ARR_COLS, rows)
+    whole = read_sas(spark, f"{tmp}/big", sas_format="xport", chunk_size=64)
+    split = read_sas(spark, f"{tmp}/big", sas_format="xport", chunk_size=64, split_bytes=4_001,
+                     with_source_file=True)
+    assert whole.rdd.getNumPartitions() == 1
+    assert split.rdd.getNumPartitions() > 20
+    per_task = split.rdd.glom().map(len).collect()
+    assert max(per_task) < len(rows) // 10
+    a = sorted(tuple(r) for r in whole.collect())
+    b = sorted(tuple(r)[:-1] for r in split.collect())
+    assert len(b) == len(rows) and a == b
+    assert [r[0] for r in a] == [float(i) for i in range(997)]
+
+
 def test_all_jobs(spark, raw):
     out = f"{raw}/tables"
     res = P.run_all(spark, P.Inputs(labels=f"{raw}/labels.SAS", arrivals=f"{raw}/arrivals",
