@@ -37,15 +37,20 @@ def arrivals_by_visa_gender(fact: DataFrame, dim: DataFrame, distinct: bool = Fa
     return pivot_counts(joined, ["visa_type"], "gender", list(GENDERS), count_col="cic_id")
 
 
-def _sql_pivot(view: str, key: str, threshold: int | None) -> str:
-    having = f"HAVING count(cic_id) > {int(threshold)}" if threshold is not None else ""
+def sql_pivot_counts(view: str, key: str, category: str, values: tuple, count_col: str,
+                     threshold: int | None = None) -> str:
+    """Spark SQL for counts of ``count_col`` per (``key``, ``category``) over ``view``, one column
+    per category value; pairs at or under ``threshold`` are blanked (the SQL form of
+    :func:`pivot_counts`, A13)."""
+    having = f"HAVING count({count_col}) > {int(threshold)}" if threshold is not None else ""
+    listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    cols = ",\n".join(f"               max(CASE WHEN {category} = '{v}' THEN cnt END) AS `{v}`" for v in values)
     return f"""
         WITH pairs AS (
-          SELECT {key}, gender, count(cic_id) AS cnt FROM {view}
-          WHERE gender IN ('F', 'M') GROUP BY {key}, gender {having})
+          SELECT {key}, {category}, count({count_col}) AS cnt FROM {view}
+          WHERE {category} IN ({listed}) GROUP BY {key}, {category} {having})
         SELECT {key},
-               max(CASE WHEN gender = 'F' THEN cnt END) AS F,
-               max(CASE WHEN gender = 'M' THEN cnt END) AS M
+{cols}
         FROM pairs GROUP BY {key}"""
 
 
@@ -54,11 +59,11 @@ def arrivals_by_state_gender_sql(spark, fact: DataFrame, dim: DataFrame,
     """H17 written as Spark SQL over a temp view of the join (A13), threshold and unstack
     included, so nothing is finished in pandas. Same result as :func:`arrivals_by_state_gender`."""
     _fact_with_gender(fact, dim, ["state_code"], distinct=False).createOrReplaceTempView(view)
-    return spark.sql(_sql_pivot(view, "state_code", threshold))
+    return spark.sql(sql_pivot_counts(view, "state_code", "gender", GENDERS, "cic_id", threshold))
 
 
 def arrivals_by_visa_gender_sql(spark, fact: DataFrame, dim: DataFrame,
                                 view: str = "fact_with_gender") -> DataFrame:
     """H18 as Spark SQL over the temp view (no threshold)."""
     _fact_with_gender(fact, dim, ["visa_type"], distinct=False).createOrReplaceTempView(view)
-    return spark.sql(_sql_pivot(view, "visa_type", None))
+    return spark.sql(sql_pivot_counts(view, "visa_type", "gender", GENDERS, "cic_id"))

@@ -30,6 +30,8 @@ SELECT o_orderpriority,
 FROM pairs GROUP BY o_orderpriority
 """
 
+ORACLE_SQL["mart_priority_by_segment_sql"] = ORACLE_SQL["mart_priority_by_segment"]
+
 
 def _title(expr: str) -> str:
     """Python str.title() in DuckDB: runs of cased letters get their first letter upper-cased
