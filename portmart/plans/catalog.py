@@ -266,6 +266,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schema=SUPPLIER_SCHEMA, sep=";")
 
 
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier written as comma CSV with a header and read back with inferred types (A2, A4):
+    the inference pass reads the whole file, so keys that fit come back as int."""
+    path = staging_path(spark, "supplier-csv-inferred")
+    write_csv(_t(spark, sf_dir, "supplier"), path, sep=",")
+    return read_csv(spark, path, sep=",", infer=True)
+
+
 def parquet_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders written partitioned by status and read back (partition column comes last)."""
     path = staging_path(spark, "orders-by-status")
@@ -524,6 +532,7 @@ QUERIES = {
     "rename_project_drop": rename_project_drop,
     "limit_ordered": limit_ordered,
     "csv_roundtrip": csv_roundtrip,
+    "csv_inferred": csv_inferred,
     "parquet_partitioned": parquet_partitioned,
     "month_refresh": month_refresh,
     "surrogate_key": surrogate_key,

@@ -164,6 +164,12 @@ ORACLE_SQL["limit_ordered"] = "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5"
 
 ORACLE_SQL["csv_roundtrip"] = "SELECT * FROM supplier"
 
+# Spark's CSV inference gives int for whole numbers that fit in 32 bits (every key here).
+ORACLE_SQL["csv_inferred"] = """
+SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey, s_acctbal
+FROM supplier
+"""
+
 ORACLE_SQL["parquet_partitioned"] = """
 SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus FROM orders
 """
