@@ -72,6 +72,15 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base}/portmart-stage/{name}-{uuid.uuid4().hex}"
 
 
+def stable_path(spark: SparkSession, name: str, *parts: str) -> str:
+    """The same path below the shared checkpoint folder for the same ``name`` and ``parts``
+    (e.g. a stream's checkpoint, so a restarted job finds its progress again)."""
+    import hashlib
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    digest = hashlib.sha1("\0".join(parts).encode()).hexdigest()[:16]
+    return f"{base}/portmart-state/{name}-{digest}"
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

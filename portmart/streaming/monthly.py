@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 
 from portmart import schemas
 from portmart.plans.jobs import refresh_arrivals_month
-from portmart.session import staging_path
+from portmart.session import stable_path
 
 MONTH_KEYS = ("i94yr", "i94mon")
 # Up to this many distinct months per micro-batch become a literal (prunable) filter; more (a
@@ -32,8 +32,10 @@ def _read_landing(spark: SparkSession, landing: str, schema: StructType, fmt: st
 def start_monthly_refresh(spark: SparkSession, landing: str, fact_path: str, checkpoint: str | None = None,
                           schema: StructType = schemas.RAW_ARRIVALS, fmt: str = "parquet",
                           available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream; with ``available_now`` it processes what has landed and stops."""
-    checkpoint = checkpoint or staging_path(spark, "monthly-refresh-checkpoint")
+    """Start the stream; with ``available_now`` it processes what has landed and stops. Without
+    ``checkpoint`` the progress is kept below the shared checkpoint folder at a path fixed by
+    ``landing`` and ``fact_path``, so running the same job again resumes where it stopped."""
+    checkpoint = checkpoint or stable_path(spark, "monthly-refresh-checkpoint", landing, fact_path)
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
