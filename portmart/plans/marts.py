@@ -40,18 +40,24 @@ def arrivals_by_visa_gender(fact: DataFrame, dim: DataFrame, distinct: bool = Fa
 def sql_pivot_counts(view: str, key: str, category: str, values: tuple, count_col: str,
                      threshold: int | None = None) -> str:
     """Spark SQL for counts of ``count_col`` per (``key``, ``category``) over ``view``, one column
-    per category value; pairs at or under ``threshold`` are blanked (the SQL form of
-    :func:`pivot_counts`, A13)."""
-    having = f"HAVING count({count_col}) > {int(threshold)}" if threshold is not None else ""
+    per category value; pairs at or under ``threshold`` are blanked and keys with no pair left
+    are dropped (the SQL form of :func:`pivot_counts`, A13). One aggregation by ``key`` only,
+    so the data crosses one exchange (partial counts first). Without a threshold a pair exists
+    when it has rows, even if every ``count_col`` in them is null."""
+    def cnt(v: str, what: str) -> str:
+        return f"count(CASE WHEN {category} = '{v}' THEN {what} END)"
+
+    def present(v: str) -> str:
+        return f"{cnt(v, '1')} > 0" if threshold is None else f"{cnt(v, count_col)} > {int(threshold)}"
+
     listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-    cols = ",\n".join(f"               max(CASE WHEN {category} = '{v}' THEN cnt END) AS `{v}`" for v in values)
+    cols = ",\n".join(f"               CASE WHEN {present(v)} THEN {cnt(v, count_col)} END AS `{v}`" for v in values)
     return f"""
-        WITH pairs AS (
-          SELECT {key}, {category}, count({count_col}) AS cnt FROM {view}
-          WHERE {category} IN ({listed}) GROUP BY {key}, {category} {having})
         SELECT {key},
 {cols}
-        FROM pairs GROUP BY {key}"""
+        FROM {view} WHERE {category} IN ({listed})
+        GROUP BY {key}
+        HAVING {" OR ".join(present(v) for v in values)}"""
 
 
 def arrivals_by_state_gender_sql(spark, fact: DataFrame, dim: DataFrame,

@@ -122,3 +122,20 @@ def test_sql_marts_equal_dataframe_marts(spark):
         assert sorted(arrivals_by_state_gender_sql(spark, f, d, threshold=t).collect()) == \
             sorted(arrivals_by_state_gender(f, d, threshold=t).collect())
     assert sorted(arrivals_by_visa_gender_sql(spark, f, d).collect()) == sorted(arrivals_by_visa_gender(f, d).collect())
+
+
+def test_sql_pivot_keeps_pairs_whose_counted_column_is_null(spark):
+    # a pair with rows but only null ids counts 0 (shown), without a threshold; with one it is
+    # blanked, and a key left with no pair is dropped, exactly as pivot_counts does
+    from portmart.operators.pivot import pivot_counts
+    from portmart.plans.marts import sql_pivot_counts
+    df = spark.createDataFrame(
+        [("a", "F", None), ("a", "M", 1), ("a", "M", 2), ("b", "F", None), ("c", "X", 5), ("d", "F", 7)],
+        "k string, g string, id int")
+    df.createOrReplaceTempView("pivot_probe")
+    for t in (None, 0, 1):
+        want = sorted(pivot_counts(df, ["k"], "g", ["F", "M"], count_col="id", threshold=t).collect())
+        got = sorted(spark.sql(sql_pivot_counts("pivot_probe", "k", "g", ("F", "M"), "id", t)).collect())
+        assert got == want, t
+    rows = {r["k"]: (r["F"], r["M"]) for r in spark.sql(sql_pivot_counts("pivot_probe", "k", "g", ("F", "M"), "id")).collect()}
+    assert rows == {"a": (0, 2), "b": (0, None), "d": (1, None)}
