@@ -53,7 +53,7 @@ def write_xport(path: str, columns: list[tuple[str, str, int]], rows: list[tuple
     if len(names) % 80:
         names += b" " * (80 - len(names) % 80)
     obs = b"HEADER RECORD*******OBS     HEADER RECORD!!!!!!!000000000000000000000000000000  "
-    data = b""
+    data = bytearray()
     for row in rows:
         for (cname, kind, length), v in zip(columns, row):
             if kind == "num":
@@ -63,4 +63,4 @@ def write_xport(path: str, columns: list[tuple[str, str, int]], rows: list[tuple
     if len(data) % 80:
         data += b" " * (80 - len(data) % 80)
     with open(path, "wb") as fh:
-        fh.write(head + names + obs + data)
+        fh.write(head + names + obs + bytes(data))
