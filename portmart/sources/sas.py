@@ -11,6 +11,10 @@ SAS7BDAT files stay one partition per file (pandas cannot start such a file in t
 
 XPORT is proven by tests on hand-made files; SAS7BDAT goes through the same pandas entry point
 but no SAS7BDAT sample was available to test against.
+
+Files are listed through Spark (any Hadoop file system) but opened by pandas inside the tasks,
+so on a cluster every executor must be able to open the listed paths: a shared mount, or an
+object-store URI whose fsspec file system is installed on the executors.
 """
 
 from __future__ import annotations
