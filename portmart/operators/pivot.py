@@ -48,15 +48,21 @@ def pivot_partial(df: DataFrame, group_keys: Sequence["str | Column"], pivot_col
 
 
 def pivot_finish(partial: DataFrame, row_keys: Sequence[str], values: Sequence[str],
-                 threshold: int | None = None, names: Sequence[str] | None = None) -> DataFrame:
+                 threshold: int | None = None, names: Sequence[str] | None = None,
+                 grouped: bool = False) -> DataFrame:
     """Add partial counts up per ``row_keys``; a cell is null when its (row, value) pair has no
-    rows or its count is at or under ``threshold``; rows with every cell null are dropped."""
+    rows or its count is at or under ``threshold``; rows with every cell null are dropped.
+    ``grouped=True`` says ``partial`` already has one row per ``row_keys`` (it was counted by
+    exactly those keys), so nothing is added up again."""
     names = list(names or values)
     # without a rows column the count itself tells whether the pair has rows
     presence = {v: (_rows(v) if _rows(v) in partial.columns else _cnt(v)) for v in values}
-    summed = partial.groupBy(*row_keys).agg(
-        *[F.sum(_cnt(v)).alias(_cnt(v)) for v in values],
-        *[F.sum(presence[v]).alias(_rows(v)) for v in values if presence[v] != _cnt(v)])
+    if grouped:
+        summed = partial
+    else:
+        summed = partial.groupBy(*row_keys).agg(
+            *[F.sum(_cnt(v)).alias(_cnt(v)) for v in values],
+            *[F.sum(presence[v]).alias(_rows(v)) for v in values if presence[v] != _cnt(v)])
     cells = []
     for v, name in zip(values, names):
         keep = F.col(_rows(v) if presence[v] != _cnt(v) else _cnt(v)) > 0
@@ -77,7 +83,7 @@ def pivot_counts(df: DataFrame, row_keys: Sequence[str], pivot_col: str, values:
     """``SELECT count(count_col), row_keys, pivot_col ... WHERE pivot_col IN values GROUP BY``,
     minus (row, value) pairs with count <= threshold, unstacked into one column per value."""
     partial = pivot_partial(df, row_keys, pivot_col, values, count_col, needs_rows(count_col, threshold))
-    return pivot_finish(partial, row_keys, values, threshold, names)
+    return pivot_finish(partial, row_keys, values, threshold, names, grouped=True)
 
 
 def grouped_count(df: DataFrame, keys: Sequence[str], count_col: str, name: str = "count") -> DataFrame:
