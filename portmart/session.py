@@ -66,6 +66,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def ensure_importable(spark: SparkSession) -> None:
+    """Put this package's folder on the Python path of workers started from here on. That is all
+    a local session needs; on a cluster ship the package with ``--py-files``."""
+    try:
+        env = spark.sparkContext.environment
+    except Exception:  # Spark Connect: the server ships it
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(p for p in (root, known) if p)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder for a staged table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
