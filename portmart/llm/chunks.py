@@ -50,9 +50,9 @@ class Plan:
     def __init__(self, df: DataFrame, text_col: str):
         self.bytes = text_size(df, text_col)[1]
         self.partitions = partitions(df.sparkSession)
-        self.chunks = max(2 * self.partitions, -(-self.bytes // CHUNK_BYTES))
+        self.chunks = max(self.partitions, -(-self.bytes // CHUNK_BYTES))
         hashes = self.bytes // WORD_BYTES + 1
-        self.buckets = max(2 * self.partitions, -(-hashes // BUCKET_HASHES))
+        self.buckets = max(8, -(-hashes // BUCKET_HASHES))  # lists are chunks x buckets: by size alone
         # wide enough that few different windows share a value; what does is told apart later
         self.bits = min(56, max(24, hashes.bit_length() + 8))
 
