@@ -13,15 +13,17 @@ when 100 * |A and B| >= PERCENT * |A or B|. The join returns classes: all docume
    How many documents hold a shingle is counted over all of them, through ``chunks``.
 3. Equal sets become one class representative (its least id).
 4. Every slab member is verified against the slab's least member. Links found so contract the
-   members, so that a slab of near copies (of any size) is one class after as many checks as members.
+   members, so that a slab of near copies (of any size) is few classes after as many checks as members.
 5. Slabs that still hold several classes become R-trees: blocks of at most TREE points, bulk-loaded
    along sorted coordinates, inner nodes with the largest counts (and the least size) below them.
    Points outside a slab's largest class query all blocks; nodes and points whose summed minima
-   stay below the needed overlap are left. Surviving pairs of different classes are verified on
-   their whole sets.
+   stay below the needed overlap are left. First each query has only its BEST points of other
+   classes verified (those with the highest bound), and the links contract the classes: what
+   links at all mostly links here, and its other pairs need no check any more.
+6. The last pass verifies all surviving pairs of classes that are still apart, on their whole sets.
 
-Every link between different classes is found: step 5 leaves out only pairs already connected and pairs
-whose bound excludes a link.
+Every link between different classes is found: the last pass leaves out only pairs already connected
+and pairs whose bound excludes a link; the pass before only saves it work.
 
 Defined cases: null and empty texts have no shingles and no links; rows repeated with one id share its
 class; a null id is a class of its own and links nothing; an empty table gives an empty table; extra
@@ -44,8 +46,9 @@ from portmart.llm.staging import staged
 
 SHINGLE = 5
 PERCENT = 75
-GROUPS = 64
+GROUPS = 256
 TREE = 4096
+BEST = 2
 LEAF = 16
 TASK_ROWS = 50_000
 
@@ -80,6 +83,18 @@ def sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.nda
     return out
 
 
+def point(s: np.ndarray) -> bytes:
+    """Counts of a set per group, a byte each; what exceeds a byte is summed up in four more."""
+    counts = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    low = np.minimum(counts, 255)
+    return low.astype(np.uint8).tobytes() + np.array([(counts - low).sum()], "<u4").tobytes()
+
+
+def _read_points(data: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"".join(data), np.uint8).reshape(-1, GROUPS + 4)
+    return raw[:, :GROUPS], np.ascontiguousarray(raw[:, GROUPS:]).view("<u4")[:, 0].astype(np.int64)
+
+
 def _all_sets(rows: pa.Table) -> list[np.ndarray]:
     return sets(*C.texts(rows))
 
@@ -124,8 +139,7 @@ def _points(plan: C.Plan, docs: DataFrame) -> DataFrame:
             seen.add(digest)
             order = others[np.lexsort((s[others], count[at[others]]))]
             slabs = s[order[:len(others) - need + 1]].view(np.int64)
-            counts = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4")
-            out[i] = (ids[i], n, digest, slabs, counts.tobytes(), raw)
+            out[i] = (ids[i], n, digest, slabs, point(s), raw)
         types = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary())
         names = ("doc_id", "n_shingles", "digest", "slabs", "counts", "hashes")
         return pa.Table.from_arrays([pa.array([o[j] for o in out], t) for j, t in enumerate(types)], names=list(names))
@@ -156,53 +170,61 @@ class RTree:
     """Bulk-loaded R-tree over count vectors; a node keeps the largest count per group and the least
     size of what is below it."""
 
-    def __init__(self, counts: np.ndarray, size: np.ndarray):
-        order = np.arange(len(size))
-        order = order[np.lexsort((*counts.T[:3], size))] if len(size) else order
+    def __init__(self, counts: np.ndarray, excess: np.ndarray, size: np.ndarray):
+        order = np.lexsort((*counts.T[:3], size))
         for coordinate in range(3):  # sort-tile: slices of the order are ordered by further coordinates
             tile = LEAF * max(1, int(round((len(order) / LEAF) ** ((3 - coordinate) / 4))))
             order = order[np.lexsort((counts[order, coordinate], np.arange(len(order)) // tile))]
         self.order = order
-        self.levels = [(counts[order], size[order])]
-        while len(self.levels[-1][1]) > LEAF:
-            top, least = self.levels[-1]
+        self.levels = [(counts[order], excess[order], size[order])]
+        while len(self.levels[-1][2]) > LEAF:
+            top, more, least = self.levels[-1]
             heads = np.arange(0, len(least), LEAF)
-            self.levels.append((np.maximum.reduceat(top, heads), np.minimum.reduceat(least, heads)))
+            self.levels.append((np.maximum.reduceat(top, heads), np.maximum.reduceat(more, heads), np.minimum.reduceat(least, heads)))
 
-    def probe(self, counts: np.ndarray, size: int) -> np.ndarray:
-        """Points that may link with a set of these counts and size."""
-        nodes = np.arange(len(self.levels[-1][1]))
+    def probe(self, counts: np.ndarray, excess: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """(points that may link with a set of these counts and size, their bounds over the need)."""
+        nodes = np.arange(len(self.levels[-1][2]))
         for depth in range(len(self.levels) - 1, -1, -1):
-            top, least = self.levels[depth]
-            bound = np.minimum(top[nodes], counts).sum(axis=1)
-            nodes = nodes[bound >= needed(size, least[nodes].astype(np.int64))]
+            top, more, least = self.levels[depth]
+            bound = np.minimum(top[nodes], counts).sum(axis=1, dtype=np.int64) + np.minimum(more[nodes], excess)
+            need = needed(size, least[nodes])
+            nodes, spare = nodes[bound >= need], (bound - need)[bound >= need]
             if depth:
                 nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
-                nodes = nodes[nodes < len(self.levels[depth - 1][1])]
-        return self.order[nodes]
-
-
-def _probe_blocks(rows: pa.Table) -> pa.Table:
-    """Surviving pairs (a < b) of different classes within the (slab, block)s of one task."""
-    slab, block = rows.column("slab").to_numpy(), rows.column("block").to_numpy()
-    rep, part = rows.column("rep").to_numpy(), rows.column("component").to_numpy()
-    size, query = rows.column("n").to_numpy(), rows.column("query").to_numpy()
-    counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<u4").reshape(-1, GROUPS)
-    order = np.lexsort((query, block, slab))
-    key = np.flatnonzero(np.concatenate([[True], (np.diff(slab[order]) != 0) | (np.diff(block[order]) != 0)])) if len(order) else []
-    pairs = [np.zeros((0, 2), np.int64)]
-    for a, b in zip(key, [*key[1:], len(order)]):
-        mine = order[a:b]
-        points, queries = mine[~query[mine]], mine[query[mine]]
-        if not len(points) or not len(queries):
-            continue
-        tree = RTree(counts[points], size[points])
-        for q in queries:
-            near = points[tree.probe(counts[q], int(size[q]))]
-            near = near[part[near] != part[q]]
-            pairs.append(np.sort(np.stack([rep[near], np.full(len(near), rep[q])], axis=1), axis=1))
-    found = np.unique(np.concatenate(pairs), axis=0)
-    return pa.Table.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                nodes = nodes[nodes < len(self.levels[depth - 1][2])]
+        return self.order[nodes], spare
+
+
+def _probe_blocks(best: int | None):
+    """Group function: surviving pairs (a < b) of different classes within the (slab, block)s of one
+    task; of each query only the ``best`` ones, if given."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        slab, block = rows.column("slab").to_numpy(), rows.column("block").to_numpy()
+        rep, part = rows.column("rep").to_numpy(), rows.column("component").to_numpy()
+        size, query = rows.column("n").to_numpy(), rows.column("query").to_numpy()
+        counts, excess = _read_points(rows.column("counts").to_pylist())
+        order = np.lexsort((query, block, slab))
+        key = np.flatnonzero(np.concatenate([[True], (np.diff(slab[order]) != 0) | (np.diff(block[order]) != 0)]))
+        pairs = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(key, [*key[1:], len(order)]):
+            mine = order[a:b]
+            points, queries = mine[~query[mine]], mine[query[mine]]
+            if not len(points) or not len(queries):
+                continue
+            tree = RTree(counts[points], excess[points], size[points])
+            for q in queries:
+                near, spare = tree.probe(counts[q], int(excess[q]), int(size[q]))
+                near = points[near]
+                apart = part[near] != part[q]
+                near, spare = near[apart], spare[apart]
+                if best is not None and len(near) > best:
+                    near = near[np.lexsort((rep[near], -spare))[:best]]
+                pairs.append(np.sort(np.stack([rep[near], np.full(len(near), rep[q])], axis=1), axis=1))
+        found = np.unique(np.concatenate(pairs), axis=0)
+        return pa.Table.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+    return run
 
 
 def _labelled(reps: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -226,17 +248,23 @@ def link_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     near = slabs.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     links = staged(verified(near, points), "links")
     labels = components(links)
-    more = _tree_links(plan, slabs, reps, labels, points)
-    if more is not None:
-        labels = components(links.unionByName(more))
+    for best in (BEST, None):
+        more = _tree_links(plan, slabs, reps, labels, points, best)
+        if more is None:
+            break
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
     label = _labelled(reps, labels)
     named = classes.join(label, "rep").select("digest", "component")
     out = points.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     return out.select(F.col("doc_id").alias(id_col), "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _tree_links(plan: C.Plan, slabs: DataFrame, reps: DataFrame, labels: DataFrame | None, points: DataFrame) -> DataFrame | None:
-    """Links between different classes, from the R-trees of slabs with several classes."""
+def _tree_links(plan: C.Plan, slabs: DataFrame, reps: DataFrame, labels: DataFrame | None, points: DataFrame,
+                best: int | None) -> DataFrame | None:
+    """Links between different classes, from the R-trees of slabs with several classes; None if no
+    slab has."""
     of = slabs.select("slab", "rep", "m").join(_labelled(reps, labels), "rep")
     per = of.groupBy("slab", "component").agg(F.count(F.lit(1)).alias("c"))
     main = per.groupBy("slab").agg(F.max(F.struct("c", "component")).alias("_m"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
@@ -250,7 +278,7 @@ def _tree_links(plan: C.Plan, slabs: DataFrame, reps: DataFrame, labels: DataFra
     tasks = max(plan.partitions, -(-rows // TASK_ROWS))
     both = data.unionByName(asks).join(reps.select("rep", "n", "counts"), "rep")
     both = both.withColumn("task", F.pmod(F.xxhash64("slab", "block"), F.lit(tasks)).cast("int"))
-    pairs = both.groupBy("task").applyInArrow(_probe_blocks, "a long, b long").distinct()
+    pairs = both.groupBy("task").applyInArrow(_probe_blocks(best), "a long, b long").distinct()
     return staged(verified(pairs, points), "links")
 
 
