@@ -52,11 +52,13 @@ class _Units(dict):
     nothing (FIRST, at the start of a line), else a blank; or a line end."""
 
     def __init__(self, encoder: "WordEncoder"):
-        self.encoder = encoder
+        self.encoder, self.flat, self.starts = encoder, array("i"), array("q", [0])
 
     def __missing__(self, unit: str) -> int:
         word = unit[1:] if unit[:1] == FIRST else unit
-        if word == LINE_END:
+        if (ids := self.encoder.older.ids(unit)) is not None:
+            pass
+        elif word == LINE_END:
             ids = self.encoder.whole("\n")
         elif unit == FIRST:
             ids = []
@@ -64,9 +66,15 @@ class _Units(dict):
             raise _Gap
         else:
             ids = self.encoder.word(word if word is not unit else " " + word)
-        self[unit] = n = self.encoder.store(ids)
+        self.flat.extend(ids)
+        self.starts.append(len(self.flat))
+        self[unit] = n = len(self.starts) - 2
         return n
 
+    def ids(self, unit: str) -> list[int] | None:
+        n = self.get(unit)
+        return None if n is None else self.flat[self.starts[n]:self.starts[n + 1]].tolist()
+
 
 class WordEncoder:
     """``encode`` of a ``tokenizers`` file, remembering the ids of words."""
@@ -78,10 +86,12 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
-        self.clear()
+        self.older, self.known = _Units(self), _Units(self)
+        self.marks: dict[str, list[int]] = {}
 
-    def clear(self) -> None:
-        self.known, self.ids, self.starts = _Units(self), array("i"), array("q", [0])
+    def forget(self) -> None:
+        """Drop the words not met since the last call."""
+        self.older, self.known, self.marks = self.known, _Units(self), {}
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -94,20 +104,17 @@ class WordEncoder:
         if not letters.isalpha():
             return self.whole(unit)
         if core != unit:
-            n = self.known.get(letters if core[:1] == " " else FIRST + letters)
-            head = self.word(core) if n is None else self.ids[self.starts[n]:self.starts[n + 1]].tolist()
-            return head + self.whole(unit[len(core):])
+            head = self.known.ids(letters if core[:1] == " " else FIRST + letters)
+            tail = unit[len(core):]
+            if tail not in self.marks:
+                self.marks[tail] = self.whole(tail)
+            return (self.word(core) if head is None else head) + self.marks[tail]
         return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(_BYTE_LETTERS))]
 
-    def store(self, ids: list[int]) -> int:
-        self.ids.extend(ids)
-        self.starts.append(len(self.ids))
-        return len(self.starts) - 2
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts behind each other, their numbers)."""
         if len(self.known) > CACHE_WORDS:
-            self.clear()
+            self.forget()
         units, counts = [], []
         for text in texts:
             mine = (FIRST + text.replace("\n", f" {LINE_END} {FIRST}")).split(" ") if text else []
@@ -121,7 +128,7 @@ class WordEncoder:
                 return ids, np.array([len(ids)])
             parts = [self.encode([t]) for t in texts]
             return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        starts, flat = np.array(self.starts), np.array(self.ids, np.int32)
+        starts, flat = np.array(self.known.starts), np.array(self.known.flat, np.int32)
         sizes = starts[at + 1] - starts[at]
         ends = np.cumsum(sizes)
         ids = flat[np.repeat(starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
