@@ -62,7 +62,7 @@ class _Units(dict):
             ids = self.encoder.whole("\n")
         elif unit == FIRST:
             ids = []
-        elif not word or word[0].isspace() or word[-1].isspace() or FIRST in word or LINE_END in word:
+        elif not word or word[0].isspace() or word[-1].isspace():
             raise _Gap
         else:
             ids = self.encoder.word(word if word is not unit else " " + word)
@@ -117,7 +117,10 @@ class WordEncoder:
             self.forget()
         units, counts = [], []
         for text in texts:
-            mine = (FIRST + text.replace("\n", f" {LINE_END} {FIRST}")).split(" ") if text else []
+            if FIRST in text or LINE_END in text:  # such a text has no units; it goes whole
+                mine = [""]
+            else:
+                mine = (FIRST + text.replace("\n", f" {LINE_END} {FIRST}")).split(" ") if text else []
             units += mine
             counts.append(len(mine))
         try:
