@@ -51,6 +51,13 @@ def unescape(c: Column) -> Column:
     return _swap(c, ("\\2", "</turn>"), ("\\1", "###"), ("\\0", "\\"))
 
 
+def _match(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join by conversation and message; null is a value of its own."""
+    right = right.withColumnsRenamed({"conv_id": "_c", "message": "_m"})
+    on = F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("message").eqNullSafe(F.col("_m"))
+    return left.join(right, on, how).drop("_c", "_m")
+
+
 def fold_events(events: DataFrame) -> DataFrame:
     """Final messages ``(conv_id, message, role, text)`` of an event log.
 
@@ -63,10 +70,10 @@ def fold_events(events: DataFrame) -> DataFrame:
     # the last regeneration of any earlier message: a running maximum over the distinct messages
     latest = regen.groupBy("conv_id", F.col("_from").alias("message")).agg(F.max("_at").alias("_at"))
     marks = e.groupBy("conv_id", "message").agg(F.max(F.when(F.col("kind") != "delta", F.col("seq"))).alias("_reset"))
-    marks = marks.join(latest, ["conv_id", "message"], "left")
+    marks = _match(marks, latest, "left")
     before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
     marks = marks.withColumn("_cut", F.max("_at").over(before)).drop("_at")
-    live = e.join(marks, ["conv_id", "message"]).filter(
+    live = _match(e, marks, "inner").filter(
         (F.col("_cut").isNull() | (F.col("seq") > F.col("_cut"))) & (F.col("_reset").isNull() | (F.col("seq") >= F.col("_reset"))))
     # parts of a long streamed message are joined block by block as well
     part = F.floor(F.col("seq") / BLOCK)
