@@ -16,12 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _plain(v: str) -> str:
+    """``v`` as part of a column name that needs no quoting: bytes other than letters and digits as hex."""
+    return "".join(c if c.isalnum() and c.isascii() else f"_{ord(c):x}_" for c in v)
+
+
 def _cnt(v: str) -> str:
-    return f"_cnt_{v}"
+    return f"_cnt_{_plain(v)}"
 
 
 def _rows(v: str) -> str:
-    return f"_rows_{v}"
+    return f"_rows_{_plain(v)}"
 
 
 def needs_rows(count_col: str | None, threshold: int | None) -> bool:
@@ -72,7 +77,7 @@ def pivot_finish(partial: DataFrame, row_keys: Sequence[str], values: Sequence[s
     out = summed.select(*row_keys, *cells)
     any_cell = None
     for name in names:
-        c = F.col(f"`{name}`").isNotNull()
+        c = F.col("`" + name.replace("`", "``") + "`").isNotNull()
         any_cell = c if any_cell is None else any_cell | c
     return out.filter(any_cell)
 
@@ -84,13 +89,3 @@ def pivot_counts(df: DataFrame, row_keys: Sequence[str], pivot_col: str, values:
     minus (row, value) pairs with count <= threshold, unstacked into one column per value."""
     partial = pivot_partial(df, row_keys, pivot_col, values, count_col, needs_rows(count_col, threshold))
     return pivot_finish(partial, row_keys, values, threshold, names, grouped=True)
-
-
-def grouped_count(df: DataFrame, keys: Sequence[str], count_col: str, name: str = "count") -> DataFrame:
-    """``count(count_col)`` per key pair, long form (C4)."""
-    return df.groupBy(*keys).agg(F.count(F.col(count_col)).alias(name))
-
-
-def drop_at_or_under(df: DataFrame, count_col: str, threshold: int) -> DataFrame:
-    """Keep groups with count strictly above ``threshold``."""
-    return df.filter(F.col(count_col) > F.lit(threshold))

@@ -208,11 +208,10 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def null_profile_by_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same profile over the events written as two files: counted per file in one pass,
+    """The same profile over the events written as several files: counted per file in one pass,
     then added up (C6)."""
-    path = staging_path(spark, "events-halves")
-    (_events_with_gaps(spark, sf_dir).repartitionByRange(2, "event_id")
-        .write.parquet(path))
+    path = staging_path(spark, "events-parts")
+    _events_with_gaps(spark, sf_dir).repartitionByRange("event_id").write.parquet(path)
     return missing_profile_over_files(spark.read.parquet(path), limit=PROFILE_LIMIT)
 
 
@@ -510,7 +509,36 @@ def arrivals_job_state_gender(spark: SparkSession, sf_dir: str, threshold: int =
     return arrivals_by_state_gender(fact, dim, threshold=threshold)
 
 
+def arrivals_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact and the immigrant dimension published by month, then two months refreshed one after
+    the other with part of their arrivals: per state the arrivals, the distinct ids and the state x
+    gender mart of the refreshed tables (H20 with H12, H17)."""
+    from portmart import schemas
+    from portmart.plans.jobs import publish_arrivals_months, refresh_arrivals_months
+    from portmart.plans.marts import arrivals_by_state_gender
+    raw = orders_as_raw_arrivals(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"))
+    out = staging_path(spark, "arrivals-months")
+    paths = publish_arrivals_months(raw, out)
+    for month, gender in ((1, "F"), (2, "M")):
+        refresh_arrivals_months(raw.filter((F.col("i94yr") == 1995) & (F.col("i94mon") == month) & (F.col("gender") == gender)), out)
+    fact = read_parquet(spark, paths["fact_immigration"], schema=schemas.FACT_IMMIGRATION)
+    dim = spark.read.parquet(paths["dim_immigrant_demographics"])
+    mart = arrivals_by_state_gender(fact, dim, threshold=None)
+    ids = fact.groupBy("state_code").agg(F.count(F.lit(1)).alias("arrivals"), F.count_distinct("immigration_id").alias("ids"))
+    return ids.join(mart, "state_code", "left")
+
+
+def arrivals_by_visa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visa x gender mart over a fact and a dimension built from raw arrivals."""
+    from portmart.plans import tables as H
+    from portmart.plans.marts import arrivals_by_visa_gender
+    cleaned = H.clean_arrivals(orders_as_raw_arrivals(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")))
+    return arrivals_by_visa_gender(H.build_fact(cleaned), H.build_immigrant_dim(cleaned))
+
+
 QUERIES = {
+    "arrivals_refresh": arrivals_refresh,
+    "arrivals_by_visa": arrivals_by_visa,
     "mart_status_by_region": mart_status_by_region,
     "mart_priority_by_segment": mart_priority_by_segment,
     "mart_priority_by_segment_sql": mart_priority_by_segment_sql,

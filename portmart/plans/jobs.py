@@ -10,13 +10,14 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from portmart import schemas
 from portmart.operators.quality import CheckSpec, StepCounter, enforce, run_checks
 from portmart.plans import tables as H
-from portmart.sinks.writers import refresh_partitions, stage, write_parquet, write_partitioned
-from portmart.sources.files import read_csv
+from portmart.sinks.writers import drop_staged, stage, write_parquet, write_partitioned
+from portmart.sources.files import read_csv, read_parquet
 from portmart.sources.labels import read_numbered_lines
 from portmart.sources.sas import read_sas
 
@@ -43,7 +44,8 @@ def _publish_and_check(spark: SparkSession, built: dict[str, DataFrame], paths:
     for name, df in built.items():
         result.tables[name] = paths[name]
         specs.append(CheckSpec(name, df, schemas.PUBLISHED[name], completeness=False))
-        specs.append(CheckSpec(name, spark.read.parquet(paths[name])))
+        # read with the declared types, or an all-digit partition value would come back as a number
+        specs.append(CheckSpec(name, read_parquet(spark, paths[name], schema=schemas.PUBLISHED[name])))
     result.checks += enforce(run_checks(spark, specs), on_fail=on_fail)
 
 
@@ -54,8 +56,7 @@ def process_arrivals(spark: SparkSession, input_path: str, output_path: str, sas
     result = JobResult()
     raw = raw if raw is not None else read_sas(spark, input_path, schemas.RAW_ARRIVALS, sas_format=sas_format)
     counter = StepCounter("arrivals")
-    cleaned = stage(counter.run(raw, H.arrivals_steps(drop_null_keys=drop_null_keys)),
-                    _join(output_path, "_staging/arrivals_clean"), mode="overwrite")
+    cleaned = stage(counter.run(raw, H.arrivals_steps(drop_null_keys=drop_null_keys)))
     result.steps = counter.counts()
     fact = H.build_fact(cleaned)
     dim = H.build_immigrant_dim(cleaned)
@@ -63,6 +64,7 @@ def process_arrivals(spark: SparkSession, input_path: str, output_path: str, sas
              "dim_immigrant_demographics": _join(output_path, "dim_immigrant_demographics")}
     write_partitioned(fact, paths["fact_immigration"], list(fact_partition_by))
     write_parquet(dim, paths["dim_immigrant_demographics"])
+    drop_staged(spark, cleaned)
     _publish_and_check(spark, {"fact_immigration": fact, "dim_immigrant_demographics": dim}, paths, on_fail, result)
     return result
 
@@ -145,16 +147,48 @@ def run_all(spark: SparkSession, inputs: Inputs, output_path: str, on_fail: str
 
 
 MONTH_LAYOUT = ("year", "month")
-
-
-def refresh_arrivals_month(month_raw: DataFrame, fact_path: str, partition_by=MONTH_LAYOUT,
-                           sort_within=("state_code",)) -> None:
-    """Clean and build the arrivals of some month(s) and replace exactly those months in a fact
-    stored by (year, month) (H20); other months stay untouched.
-
-    Months are the partition leaves, so dynamic overwrite swaps a month as a whole (a state
-    absent from the new batch cannot linger). Rows are clustered by state inside the files, so
-    a state filter still skips row groups through Parquet statistics.
-    """
-    fact = H.build_fact(H.clean_arrivals(month_raw))
-    refresh_partitions(fact, fact_path, list(partition_by), sort_within=list(sort_within))
+MONTH_TABLES = ("fact_immigration", "dim_immigrant_demographics")
+
+
+def _write_months(month_raw: DataFrame, output_path: str, dynamic: bool) -> dict[str, str]:
+    spark = month_raw.sparkSession
+    cleaned = stage(H.clean_month_arrivals(month_raw))
+    paths = {name: _join(output_path, name) for name in MONTH_TABLES}
+    for name, built in (("fact_immigration", H.build_month_fact(cleaned)),
+                        ("dim_immigrant_demographics", H.build_month_immigrant_dim(cleaned))):
+        sort = ["state_code"] if name == "fact_immigration" else []
+        write_partitioned(built, paths[name], list(MONTH_LAYOUT), dynamic=dynamic, sort_within=sort)
+    drop_staged(spark, cleaned)
+    return paths
+
+
+def publish_arrivals_months(raw: DataFrame, output_path: str) -> dict[str, str]:
+    """Arrivals of any months -> fact and immigrant dimension stored by (year, month) (H12 in the
+    layout that :func:`refresh_arrivals_months` keeps up to date)."""
+    return _write_months(raw, output_path, dynamic=False)
+
+
+def refresh_arrivals_months(month_raw: DataFrame, output_path: str) -> dict[str, str]:
+    """Replace exactly the months of ``month_raw`` in the fact and the immigrant dimension.
+
+    An arrival is identified by (cicid, year, month): rows are deduplicated within a month and ids
+    derive from that key, so the tables are the same whether months come together or one by one,
+    and ids stay unique over refreshes. Months are the partition leaves, so dynamic overwrite swaps
+    a month as a whole. Rows are clustered by state inside the fact's files. A table stored in
+    another layout is refused."""
+    spark = month_raw.sparkSession
+    for name in MONTH_TABLES:
+        path = _join(output_path, name)
+        try:
+            files = spark.read.parquet(path).inputFiles()
+        except AnalysisException:  # nothing published yet
+            continue
+        if any("/year=" not in f or "/month=" not in f for f in files):
+            raise ValueError(f"{path} is not stored by (year, month); publish it with publish_arrivals_months")
+    return _write_months(month_raw, output_path, dynamic=True)
+
+
+def refresh_temperature_months(raw: DataFrame, path: str) -> None:
+    """Replace the months of ``raw`` readings in a temperature table stored by (year, month)."""
+    dim = H.build_temperature(H.clean_temperature(raw), distinct=False)
+    write_partitioned(dim, path, list(MONTH_LAYOUT), dynamic=True)

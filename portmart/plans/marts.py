@@ -18,8 +18,12 @@ def _fact_with_gender(fact: DataFrame, dim: DataFrame, cols: list[str], distinct
         # The reference's distinct over the whole joined rows: it removes nothing when both
         # sides carry unique ids, but forces a shuffle over every column.
         return equi_join(fact, dim, fact["cic_id"] == dim["immigration_cic_id"], distinct=True)
-    return equi_join(fact.select("cic_id", *cols), dim.select("immigration_cic_id", "gender"),
-                     F.col("cic_id") == F.col("immigration_cic_id"))
+    on = F.col("cic_id") == F.col("immigration_cic_id")
+    keys = [c for c in ("year", "month") if c in dim.columns]  # tables kept by month are keyed by it too
+    for c in keys:
+        on = on & (F.col(c) == F.col(f"_{c}"))
+    side = dim.select("immigration_cic_id", "gender", *[F.col(c).alias(f"_{c}") for c in keys])
+    return equi_join(fact.select("cic_id", *keys, *cols), side, on)
 
 
 def arrivals_by_state_gender(fact: DataFrame, dim: DataFrame, threshold: int | None = STATE_THRESHOLD,
@@ -44,20 +48,27 @@ def sql_pivot_counts(view: str, key: str, category: str, values: tuple, count_co
     are dropped (the SQL form of :func:`pivot_counts`, A13). One aggregation by ``key`` only,
     so the data crosses one exchange (partial counts first). Without a threshold a pair exists
     when it has rows, even if every ``count_col`` in them is null."""
+    def text(v: str) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
     def cnt(v: str, what: str) -> str:
-        return f"count(CASE WHEN {category} = '{v}' THEN {what} END)"
+        return f"count(CASE WHEN {category} = {text(v)} THEN {what} END)"
 
     def present(v: str) -> str:
-        return f"{cnt(v, '1')} > 0" if threshold is None else f"{cnt(v, count_col)} > {int(threshold)}"
+        rows = f"{cnt(v, '1')} > 0"
+        return rows if threshold is None else f"{rows} AND {cnt(v, count_col)} > {int(threshold)}"
+
+    def name(v: str) -> str:
+        return "`" + v.replace("`", "``") + "`"
 
-    listed = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-    cols = ",\n".join(f"               CASE WHEN {present(v)} THEN {cnt(v, count_col)} END AS `{v}`" for v in values)
+    listed = ", ".join(map(text, values))
+    cols = ",\n".join(f"               CASE WHEN {present(v)} THEN {cnt(v, count_col)} END AS {name(v)}" for v in values)
     return f"""
         SELECT {key},
 {cols}
         FROM {view} WHERE {category} IN ({listed})
         GROUP BY {key}
-        HAVING {" OR ".join(present(v) for v in values)}"""
+        HAVING {" OR ".join(f"({present(v)})" for v in values)}"""
 
 
 def arrivals_by_state_gender_sql(spark, fact: DataFrame, dim: DataFrame,

@@ -306,3 +306,18 @@ SELECT state_code,
        max(CASE WHEN gender = 'M' THEN cnt END) AS "M"
 FROM pairs GROUP BY state_code
 """
+
+ORACLE_SQL["arrivals_refresh"] = """
+    WITH a AS (
+        SELECT o_orderkey, c_mktsegment AS state_code,
+               CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' END AS gender, year(o_orderdate) AS y, month(o_orderdate) AS m
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+    k AS (SELECT * FROM a WHERE NOT (y = 1995 AND m IN (1, 2)) OR (m = 1 AND gender = 'F') OR (m = 2 AND gender = 'M'))
+    SELECT state_code, count(*) AS arrivals, count(DISTINCT o_orderkey) AS ids,
+           nullif(count(*) FILTER (gender = 'F'), 0) AS "F", nullif(count(*) FILTER (gender = 'M'), 0) AS "M"
+    FROM k GROUP BY state_code"""
+
+ORACLE_SQL["arrivals_by_visa"] = """
+    SELECT split_part(o_orderpriority, '-', -1) AS visa_type,
+           nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS "F", nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS "M"
+    FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1"""

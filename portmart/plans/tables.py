@@ -141,6 +141,32 @@ def build_immigrant_dim(df: DataFrame, unique_on_key: bool = True, with_id: bool
     return rename_columns(out, IMMIGRANT_RENAMES)
 
 
+def clean_month_arrivals(df: DataFrame) -> DataFrame:
+    """H1 for tables kept by month: one row per (cicid, i94yr, i94mon); rows without one of them
+    belong to no month and go."""
+    return dedup_first(drop_columns(df, ARRIVALS_SPARSE_COLUMNS), ["cicid", "i94yr", "i94mon"], drop_null_keys=True)
+
+
+def month_id(cicid: str, year: str, month: str):
+    """A unique id from the natural key: the month's number above 40 bits of cicid."""
+    key = F.col(cicid).cast("long")
+    fits = (key.cast("double") == F.col(cicid)) & key.between(0, (1 << 40) - 1)
+    number = (F.col(year) * 12 + F.col(month) - 1).cast("long")
+    return F.when(fits, F.shiftleft(number, 40) + key).otherwise(F.raise_error(F.lit("cicid is no whole number under 2^40")).cast("long"))
+
+
+def build_month_fact(df: DataFrame) -> DataFrame:
+    """H5 with ids from the natural key."""
+    return build_fact(df, with_id=False).withColumn("immigration_id", month_id("cic_id", "year", "month"))
+
+
+def build_month_immigrant_dim(df: DataFrame) -> DataFrame:
+    """H6 with ids from the natural key, and the year and month it is stored by."""
+    keyed = df.select("cicid", "i94cit", "i94res", "biryear", "gender", month_id("cicid", "i94yr", "i94mon").alias("immi_demographics_id"),
+                      F.col("i94yr").alias("year"), F.col("i94mon").alias("month"))
+    return rename_columns(keyed, IMMIGRANT_RENAMES)
+
+
 def build_city_demographics(df: DataFrame, with_id: bool = True) -> DataFrame:
     """Demographics -> ``dim_city_demographics`` (H7).
 

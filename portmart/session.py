@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured and sc is not None:
         configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and sc is not None and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="portmart-ckpt-")  # tests / local runs only
         if sc is None:

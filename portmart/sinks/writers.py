@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from portmart.session import staging_path
+from portmart.session import ensure_checkpoint_dir, staging_path
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -59,3 +59,12 @@ def stage(df: DataFrame, path: str | None = None, mode: str = "errorifexists",
     df.write.mode(mode).parquet(path)
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.parquet(path)
+
+
+def drop_staged(spark, staged: DataFrame) -> None:
+    """Delete a staged copy that is no longer read. Only files below the shared checkpoint folder go."""
+    base = ensure_checkpoint_dir(spark).split(":", 1)[-1].rstrip("/")
+    for path in {f.rsplit("/", 1)[0] for f in staged.inputFiles()}:
+        if "/portmart-stage/" in path and base.lstrip("/") in path:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -12,10 +11,12 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, s
     """CSV scan (A2 comma, A3 ';', A4 inference).
 
     With ``schema`` the columns come typed straight from the scan (no inference pass, no
-    all-string read); without one, ``infer=True`` samples the data, else every column is text.
+    all-string read), and a header that does not name them in this order fails the read; without
+    one, ``infer=True`` reads the data once more to find types, else every column is text.
     Malformed cells become null (PERMISSIVE).
     """
-    reader = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+    reader = (spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+              .option("enforceSchema", not header))
     if date_format:
         reader = reader.option("dateFormat", date_format)
     if schema is not None:
@@ -34,11 +35,6 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType | None = Non
     return reader.parquet(path)
 
 
-def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
-    """Tag each row of a file scan with the file it came from."""
-    return df.withColumn(name, F.col("_metadata.file_path"))
-
-
 def register_view(df: DataFrame, name: str) -> DataFrame:
     """Make ``df`` visible to ``spark.sql`` under ``name`` (A13); the view keeps the plan, not data."""
     df.createOrReplaceTempView(name)

@@ -15,13 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from portmart import schemas
-from portmart.plans.jobs import refresh_arrivals_month
+from portmart.plans.jobs import refresh_arrivals_months
 from portmart.session import stable_path
 
 MONTH_KEYS = ("i94yr", "i94mon")
-# Up to this many distinct months per micro-batch become a literal (prunable) filter; more (a
-# backfill) go through a semi-join with the same result.
-MAX_MONTHS_PER_BATCH = 240
 
 
 def _read_landing(spark: SparkSession, landing: str, schema: StructType, fmt: str) -> DataFrame:
@@ -29,13 +26,13 @@ def _read_landing(spark: SparkSession, landing: str, schema: StructType, fmt: st
     return reader.option("header", True).csv(landing) if fmt == "csv" else reader.format(fmt).load(landing)
 
 
-def start_monthly_refresh(spark: SparkSession, landing: str, fact_path: str, checkpoint: str | None = None,
+def start_monthly_refresh(spark: SparkSession, landing: str, tables_path: str, checkpoint: str | None = None,
                           schema: StructType = schemas.RAW_ARRIVALS, fmt: str = "parquet",
                           available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start the stream; with ``available_now`` it processes what has landed and stops. Without
     ``checkpoint`` the progress is kept below the shared checkpoint folder at a path fixed by
-    ``landing`` and ``fact_path``, so running the same job again resumes where it stopped."""
-    checkpoint = checkpoint or stable_path(spark, "monthly-refresh-checkpoint", landing, fact_path)
+    ``landing`` and ``tables_path``, so running the same job again resumes where it stopped."""
+    checkpoint = checkpoint or stable_path(spark, "monthly-refresh-checkpoint", landing, tables_path)
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -44,34 +41,20 @@ def start_monthly_refresh(spark: SparkSession, landing: str, fact_path: str, che
     stream = reader.load(landing)
 
     def rebuild_months(batch: DataFrame, epoch_id: int) -> None:
-        # the (year, month) pairs of one batch: a handful of values, so they are collected and
-        # turned into a literal filter, which prunes a landing folder partitioned by year and
-        # month to just those directories (else Parquet statistics skip row groups)
-        month_df = batch.select(*MONTH_KEYS).distinct()
-        months = [tuple(r) for r in month_df.limit(MAX_MONTHS_PER_BATCH + 1).collect()]
-        if not months:
-            return
+        # all landed rows of the months the batch touches; the months side is a few rows, which AQE
+        # broadcasts, and a landing folder partitioned by them is pruned at run time
+        months = batch.select(*MONTH_KEYS).distinct()
         landed = _read_landing(batch.sparkSession, landing, schema, fmt)
-        if len(months) > MAX_MONTHS_PER_BATCH:
-            # a backfill: same result through a null-safe semi-join instead of a literal filter
-            keys = [landed[k].eqNullSafe(month_df[k]) for k in MONTH_KEYS]
-            refresh_arrivals_month(landed.join(month_df, keys[0] & keys[1], "left_semi"), fact_path)
-            return
-        cond = None
-        for y, m in months:
-            term = (F.col(MONTH_KEYS[0]) == y) & (F.col(MONTH_KEYS[1]) == m) if y is not None and m is not None \
-                else (F.col(MONTH_KEYS[0]).eqNullSafe(F.lit(y)) & F.col(MONTH_KEYS[1]).eqNullSafe(F.lit(m)))
-            cond = term if cond is None else cond | term
-        refresh_arrivals_month(landed.filter(cond), fact_path)
+        refresh_arrivals_months(landed.join(months, list(MONTH_KEYS), "left_semi"), tables_path)
 
     writer = stream.writeStream.foreachBatch(rebuild_months).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def run_monthly_refresh(spark: SparkSession, landing: str, fact_path: str, **kw) -> None:
+def run_monthly_refresh(spark: SparkSession, landing: str, tables_path: str, **kw) -> None:
     """Process everything that has landed, then return."""
-    q = start_monthly_refresh(spark, landing, fact_path, available_now=True, **kw)
+    q = start_monthly_refresh(spark, landing, tables_path, available_now=True, **kw)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from portmart import schemas
 from portmart.plans import jobs as P
 from portmart.plans.marts import arrivals_by_state_gender
+from portmart.plans.tables import build_fact
+from portmart.sinks.writers import write_partitioned
 from portmart.sources.sas import read_sas, xport_row_range
 from test_lookups import LABEL_LINES, CITY, COUNTRY, STATE
 from xport import write_xport
@@ -168,20 +170,69 @@ def test_schema_check_fails_on_bad_table(spark, raw):
     assert not r["passed"]
 
 
+def _months(spark, *keys):
+    return spark.createDataFrame([arrival(cicid=float(i), i94mon=float(m), i94addr=s, arrdate=20500.0 + i, gender="M")
+                                  for i, m, s in keys], schemas.RAW_ARRIVALS)
+
+
 def test_month_refresh_keeps_other_months(spark, tmp):
-    from portmart.plans.tables import build_fact
-    from portmart.sinks.writers import write_partitioned
-    base = spark.createDataFrame(
-        [arrival(cicid=float(i), i94mon=float(m), i94addr="NY", arrdate=20500.0 + i, gender="M")
-         for i, m in [(1, 3), (2, 3), (3, 4), (4, 4)]], schemas.RAW_ARRIVALS)
-    path = f"{tmp}/fact"
-    write_partitioned(build_fact(base), path, ["year", "month"], sort_within=["state_code"])
-    april = spark.createDataFrame([arrival(cicid=9.0, i94mon=4.0, i94addr="CA", arrdate=20600.0, gender="F")],
-                                  schemas.RAW_ARRIVALS)
-    P.refresh_arrivals_month(april, path)
-    got = sorted((r["month"], r["cic_id"]) for r in spark.read.parquet(path).collect())
-    # April is replaced as a whole: its NY rows are gone although the new batch has only CA
-    assert got == [(3.0, 1.0), (3.0, 2.0), (4.0, 9.0)]
+    out = f"{tmp}/tables"
+    P.publish_arrivals_months(_months(spark, (1, 3, "NY"), (2, 3, "NY"), (3, 4, "NY"), (4, 4, "CA")), out)
+    P.refresh_arrivals_months(_months(spark, (9, 4, "CA"), (2, 4, "CA")), out)
+    fact = spark.read.parquet(f"{out}/fact_immigration").collect()
+    # April is replaced as a whole, March stays; an arrival number may come again in another month
+    assert sorted((r["month"], r["cic_id"]) for r in fact) == [(3.0, 1.0), (3.0, 2.0), (4.0, 2.0), (4.0, 9.0)]
+    assert len({r["immigration_id"] for r in fact}) == 4
+    dim = spark.read.parquet(f"{out}/dim_immigrant_demographics").collect()
+    assert sorted((r["month"], r["immigration_cic_id"]) for r in dim) == sorted((r["month"], r["cic_id"]) for r in fact)
+
+
+def test_months_together_equal_months_one_by_one(spark, tmp):
+    march, april = ((1, 3, "NY"), (1, 3, "NY"), (2, 3, "CA")), ((1, 4, "NY"), (5, 4, "CA"))
+    P.refresh_arrivals_months(_months(spark, *march, *april), f"{tmp}/together")
+    P.refresh_arrivals_months(_months(spark, *march), f"{tmp}/single")
+    P.refresh_arrivals_months(_months(spark, *april), f"{tmp}/single")
+    for name in P.MONTH_TABLES:
+        a, b = (sorted(map(str, spark.read.parquet(f"{tmp}/{d}/{name}").collect())) for d in ("together", "single"))
+        assert a == b and len(a) == 4
+
+
+def test_refresh_refuses_another_layout(spark, tmp):
+    write_partitioned(build_fact(_months(spark, (1, 3, "NY"))), f"{tmp}/t/fact_immigration", ["state_code"])
+    with pytest.raises(ValueError):
+        P.refresh_arrivals_months(_months(spark, (2, 3, "NY")), f"{tmp}/t")
+
+
+@pytest.mark.parametrize("header", ["dt,AverageTemperature,AverageTemperatureUncertainty,Country,City,Latitude,Longitude",
+                                    "dt,AverageTemperature,AverageTemperatureUncertainty,City,Land,Latitude,Longitude",
+                                    "dt,AverageTemperature,AverageTemperatureUncertainty,City,Country,Latitude"])
+def test_temperature_job_rejects_other_headers(spark, tmp, header):
+    import os
+    os.makedirs(f"{tmp}/in")
+    with open(f"{tmp}/in/t.csv", "w") as fh:
+        fh.write(header + "\n1990-01-01,1.5,0.2,Denmark,Aarhus,57N,10E\n")
+    with pytest.raises(Exception):
+        P.process_temperature(spark, f"{tmp}/in/t.csv", f"{tmp}/out", on_fail="raise")
+
+
+def test_all_digit_state_code_stays_text(spark, tmp):
+    raw = _months(spark, (1, 3, "01"))
+    res = P.process_arrivals(spark, "", f"{tmp}/tables", raw=raw)
+    from portmart.sources.files import read_parquet
+    fact = read_parquet(spark, res.tables["fact_immigration"], schema=schemas.FACT_IMMIGRATION)
+    assert [r["state_code"] for r in fact.collect()] == ["01"]
+
+
+def test_pivot_values_with_marks(spark):
+    from portmart.operators.pivot import pivot_counts
+    from portmart.plans.marts import sql_pivot_counts
+    values = ["a.b", "O'X", "q`t", "back\\slash"]
+    df = spark.createDataFrame([(1, v, 1) for v in values for _ in range(2)], "k int, v string, c int")
+    df.createOrReplaceTempView("marked")
+    one = pivot_counts(df, ["k"], "v", values, count_col="c", threshold=-1)
+    two = spark.sql(sql_pivot_counts("marked", "k", "v", tuple(values), "c", -1))
+    assert one.columns == two.columns == ["k", *values]
+    assert one.collect() == two.collect() and tuple(one.first()) == (1, 2, 2, 2, 2)
 
 
 def test_csv_inference_and_declared_reads(spark, raw):

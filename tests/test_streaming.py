@@ -12,13 +12,13 @@ def test_stream_rebuilds_only_touched_months(spark, tmp):
         arrival(cicid=2.0, i94mon=4.0, i94addr="NY", arrdate=20530.0, gender="F")]).coalesce(1) \
         .write.mode("append").parquet(land)
     run_monthly_refresh(spark, land, fact, checkpoint=ck)
-    first = sorted((r["month"], r["cic_id"]) for r in spark.read.parquet(fact).collect())
+    first = sorted((r["month"], r["cic_id"]) for r in spark.read.parquet(f"{fact}/fact_immigration").collect())
     assert first == [(3.0, 1.0), (4.0, 2.0)]
     # a second file for April lands: April is rebuilt from both files, March is untouched
     mk([arrival(cicid=3.0, i94mon=4.0, i94addr="CA", arrdate=20531.0, gender="M")]).coalesce(1) \
         .write.mode("append").parquet(land)
     run_monthly_refresh(spark, land, fact, checkpoint=ck)
-    second = sorted((r["month"], r["cic_id"]) for r in spark.read.parquet(fact).collect())
+    second = sorted((r["month"], r["cic_id"]) for r in spark.read.parquet(f"{fact}/fact_immigration").collect())
     assert second == [(3.0, 1.0), (4.0, 2.0), (4.0, 3.0)]
 
 
@@ -35,4 +35,4 @@ def test_default_checkpoint_resumes(spark, tmp):
 
     assert rows_read() == 1
     assert rows_read() == 0
-    assert [r["cic_id"] for r in spark.read.parquet(fact).collect()] == [1.0]
+    assert [r["cic_id"] for r in spark.read.parquet(f"{fact}/fact_immigration").collect()] == [1.0]
