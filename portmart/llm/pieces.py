@@ -34,7 +34,7 @@ SHIFT = 2.7
 BYTE_SHARE = 0.01
 TEMPERATURE = 1.0
 SEED = 17
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 _BITMAP = 20
 
 
