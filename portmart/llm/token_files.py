@@ -109,7 +109,11 @@ class WordEncoder:
             if tail not in self.marks:
                 self.marks[tail] = self.whole(tail)
             return (self.word(core) if head is None else head) + self.marks[tail]
-        return [t.id for t in self.model.tokenize(unit.encode().decode("latin-1").translate(_BYTE_LETTERS))]
+        if unit.isascii():  # of these bytes only the blank is written as another letter
+            letters = unit.replace(" ", _BYTE_LETTERS[0x20])
+        else:
+            letters = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [t.id for t in self.model.tokenize(letters)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts behind each other, their numbers)."""
@@ -185,12 +189,17 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "d
 def read_metadata(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """``(row, id, n_tokens, start)`` without reading the token column; ``start`` is the number of
     ids of all documents before. Offsets are summed over one row per file."""
-    meta = spark.read.parquet(path).select("row", id_col, "n_tokens", F.shiftright("row", _ROW_BITS).alias("_part"))
-    files = meta.groupBy("_part").agg(F.sum("n_tokens").alias("_n"))
+    return with_starts(spark.read.parquet(path).select("row", id_col, "n_tokens"), path)
+
+
+def with_starts(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` (with ``row`` and ``n_tokens``) of the files at ``path`` with ``start``."""
+    part = F.shiftright("row", _ROW_BITS)
+    files = rows.sparkSession.read.parquet(path).groupBy(part.alias("_part")).agg(F.sum("n_tokens").alias("_n"))
     offsets = files.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off"))
     inside = F.sum("n_tokens").over(Window.partitionBy("_part").orderBy("row")) - F.col("n_tokens")
-    return meta.withColumn("_in", inside).join(F.broadcast(offsets), "_part").select(
-        "row", id_col, "n_tokens", (F.col("_off") + F.col("_in")).alias("start"))
+    placed = rows.withColumn("_part", part).withColumn("_in", inside).join(F.broadcast(offsets), "_part")
+    return placed.withColumn("start", F.col("_off") + F.col("_in")).drop("_part", "_in", "_off")
 
 
 def read_tokens(spark: SparkSession, path: str, low: int | None = None, high: int | None = None, id_col: str = "doc_id") -> DataFrame:
@@ -201,14 +210,17 @@ def read_tokens(spark: SparkSession, path: str, low: int | None = None, high: in
     return out if high is None else out.filter(F.col(id_col) <= high)
 
 
-def ids_crc32(tokens: DataFrame) -> DataFrame:
-    """``(row, ids_crc32)``: unsigned CRC of the ids as little-endian unsigned 32-bit integers."""
+def ids_crc32(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``(row, id, n_tokens, ids_crc32)``: unsigned CRC of the ids as little-endian unsigned 32-bit
+    integers."""
+    kind = dict(tokens.dtypes)[id_col]
+    names = ["row", id_col, "n_tokens", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(1)
+            lists = batch.column(3)
             flat = np.ascontiguousarray(lists.flatten().to_numpy(zero_copy_only=False), "<u4")
             ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
             crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(crc, pa.int64())], names=["row", "ids_crc32"])
-    return tokens.select("row", "ids").mapInArrow(run, "row long, ids_crc32 long")
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())], names=names)
+    return tokens.select("row", id_col, "n_tokens", "ids").mapInArrow(run, f"row long, `{id_col}` {kind}, n_tokens long, ids_crc32 long")
