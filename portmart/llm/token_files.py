@@ -9,7 +9,7 @@ files, row groups and pages.
 
 The byte-level BPE splits a text before each single blank and around each single line end, so equal
 words (with their blank) have equal ids: each worker keeps the tokenizer's answer for words it
-has met. Texts where white space meets white space go to the tokenizer whole.
+has met. Texts where white space meets white space go to the tokenizer whole, but for empty lines.
 
 Defined cases: null and empty texts have only the end id; a null id sorts first; rows repeated
 with one id follow each other; an empty table gives an empty table; extra columns stay out.
@@ -47,6 +47,11 @@ class _Gap(Exception):
     """A unit begins or ends in white space: its text must be encoded whole."""
 
 
+def _joined_lines(text: str) -> bool:
+    """Line ends that make one piece: all but the last of a run that white space follows, or the end."""
+    return "\n\n" in text and ("\n\n\n" in text or "\n\n " in text or text.endswith("\n\n"))
+
+
 class _Units(dict):
     """unit -> its number in the store. A unit is a word with the mark of what stands before it:
     nothing (FIRST, at the start of a line), else a blank; or a line end."""
@@ -121,7 +126,7 @@ class WordEncoder:
             self.forget()
         units, counts = [], []
         for text in texts:
-            if FIRST in text or LINE_END in text:  # such a text has no units; it goes whole
+            if FIRST in text or LINE_END in text or _joined_lines(text):  # no units: it goes whole
                 mine = [""]
             else:
                 mine = (FIRST + text.replace("\n", f" {LINE_END} {FIRST}")).split(" ") if text else []

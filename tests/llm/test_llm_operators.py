@@ -441,3 +441,17 @@ def test_pipeline_on_odd_tables(spark):
         for d in (docs, docs.limit(0)):
             out = stage(spark, d, SF0001)
             assert out.columns == docs.columns and out.count() <= d.count()
+
+
+def test_token_files_encode_runs_of_line_ends_as_the_tokenizer_does():
+    import random
+
+    import public_tokenizers
+    own = token_files.WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(3)
+    texts = ["a\n\n\nb", "x\n\n", "a\n\n b", "\n", "\n\n", "a\n\nb", "", " a", "a b\n", "\x01 a"]
+    texts += ["".join(rng.choice("ab 'é\n\t. 1 ") for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    for at in range(0, len(texts), 50):
+        part = texts[at:at + 50]
+        ids, sizes = own.encode(part)
+        assert [ids[e - n:e].tolist() for e, n in zip(sizes.cumsum(), sizes)] == [own.whole(t) for t in part]
