@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +34,8 @@ END_ID = 2
 FILE_BYTES = 128 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
+PART_BYTES = 1 << 20  # texts encoded at a time; a longer text is one part
 _ROW_BITS = 33
 FIRST, LINE_END = "\x02", "\x01"
 _MARKS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
@@ -163,8 +165,10 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // PART_BYTES, prepend=-1))
+            for at, end in zip(cuts, [*cuts[1:], batch.num_rows]):
+                part = batch.slice(at, end - at)
                 ids, sizes = own.encode([t or "" for t in part.column(1).to_pylist()])
                 ends = np.cumsum(sizes + 1)
                 full = np.full(int(ends[-1]), end_id, np.int32)
