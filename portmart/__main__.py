@@ -1,9 +1,11 @@
 """Command line: the jobs, the two mart questions and the missing-value profile.
 
     python -m portmart run --labels L --arrivals A --demographics D --temperature T --out O
-    python -m portmart mart state-gender --tables O [--threshold 20000]
-    python -m portmart mart visa-gender --tables O
-    python -m portmart profile --input P --format sas|csv|csv;|parquet [--limit 85]
+    python -m portmart mart state-gender --tables O --out R [--threshold 20000]
+    python -m portmart mart visa-gender --tables O --out R
+    python -m portmart profile --input P --format sas|csv|csv;|parquet --out R [--limit 85]
+
+``--out`` writes the whole result as Parquet; ``--show N`` prints its first N rows.
 
 Run it with ``spark-submit`` on a cluster (the session comes from the submit settings); only
 when no master is configured does it start a local one.
@@ -28,6 +30,15 @@ def _session() -> SparkSession:
     return spark
 
 
+def _deliver(df, order: str, args) -> int:
+    if args.out is not None:
+        df.write.mode("overwrite").parquet(args.out)
+        df = df.sparkSession.read.parquet(args.out)
+    if args.show is not None:
+        df.orderBy(order).show(args.show, truncate=False)
+    return 0
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="portmart")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -43,12 +54,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     m.add_argument("question", choices=["state-gender", "visa-gender"])
     m.add_argument("--tables", required=True)
     m.add_argument("--threshold", type=int, default=None)
-    m.add_argument("--show", type=int, default=100)
     f = sub.add_parser("profile", help="missing-value profile of a dataset, per file and total")
     f.add_argument("--input", required=True)
     f.add_argument("--format", default="parquet", choices=["sas", "xport", "csv", "csv;", "parquet"])
     f.add_argument("--limit", type=float, default=None)
+    for q in (m, f):
+        q.add_argument("--out", help="write the whole result here")
+        q.add_argument("--show", type=int, help="print the first rows")
     args = p.parse_args(argv)
+    if args.cmd != "run" and args.out is None and args.show is None:
+        p.error("give --out, --show or both")
     spark = spark or _session()
 
     if args.cmd == "run":
@@ -69,8 +84,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             out = marts.arrivals_by_state_gender(fact, dim, threshold=t)
         else:
             out = marts.arrivals_by_visa_gender(fact, dim)
-        out.orderBy(out.columns[0]).show(args.show, truncate=False)
-        return 0
+        return _deliver(out, out.columns[0], args)
 
     if args.cmd == "profile":
         from portmart import schemas
@@ -88,8 +102,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             prof = missing_profile_over_files(df, args.limit)
         else:
             prof = missing_profile_over_files(spark.read.parquet(args.input), args.limit)
-        prof.orderBy("field").show(1000, truncate=False)
-        return 0
+        return _deliver(prof, "field", args)
     return 2
 
 

@@ -1,8 +1,8 @@
 """Joins between the fact and its dimensions.
 
 A side is broadcast only with a proven bound: first the optimizer's size estimate (file sizes
-for scans, an upper bound after filters and aggregates; no job) must be small, then a bounded
-row count (``limit(n + 1).count()``) must come in under ``max_rows``. A side that fails either
+for scans, an upper bound after filters and aggregates; no job) must be small, then a counted
+number of rows must come in under ``max_rows``. A side that fails either
 test is joined plainly, so the optimizer and AQE pick a sort-merge join, or a broadcast once the
 measured size at run time is small, and split skewed partitions.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 # Largest dimension we broadcast (rows, and estimated bytes on disk). Lookup tables
 # (countries, ports, states, months) are far below it; facts and big dims are far above it.
 DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 256 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -62,12 +62,19 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: "str | Column", dim_k
                 keep_dim_key: bool = False) -> DataFrame:
     """Fact left-joined to a lookup dimension on ``fact_key = dim_key``.
 
-    The dimension is broadcast when proven small, so the fact is never shuffled for it.
+    The dimension is broadcast when proven small, so the fact is never shuffled for it. The job that
+    counts it counts its keys too: a code that stands twice would double fact rows and raises. A
+    dimension whose size estimate is already large is not scanned for it and joined plainly.
     Keys of different types are compared after casting the dimension key to the fact key's
     type by the caller (see ``code_text``).
     """
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    side = broadcast_if_small(dim, max_dim_rows)
+    side, est = dim, estimated_bytes(dim)
+    if est is None or est <= DEFAULT_BROADCAST_BYTES:
+        n, keys, distinct = dim.agg(F.count(F.lit(1)), F.count(dim_key), F.count_distinct(dim_key)).first()
+        if keys != distinct:
+            raise ValueError(f"{dim_key} is not unique: {keys - distinct} rows repeat a code")
+        side = F.broadcast(dim) if n <= max_dim_rows else dim
     out = fact.join(side, fk == side[dim_key], how)
     return out if keep_dim_key else out.drop(side[dim_key])
 

@@ -22,13 +22,13 @@ from portmart.operators.keys import with_dense_key, with_surrogate_key
 from portmart.operators.lookups import CITY_RULE, COUNTRY_RULE, STATE_RULE, label_table
 from portmart.operators.pivot import needs_rows, pivot_counts, pivot_finish, pivot_partial
 from portmart.operators.profile import (filter_count, missing_profile, missing_profile_over_files,
-                                        table_shape)
+                                        schema_rows, table_shape)
 from portmart.operators.quality import CheckSpec, StepCounter, completeness_check, run_checks
 from portmart.plans import tables as H
 from portmart.session import staging_path, table_path
-from portmart.sinks.writers import refresh_partitions, write_csv, write_partitioned
+from portmart.sinks.writers import refresh_partitions, stage, write_csv, write_partitioned
 from portmart.sources.files import read_csv, read_parquet, register_view
-from portmart.sources.labels import read_numbered_lines
+from portmart.sources.labels import LINE_ORDER, read_ordered_lines
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
                  "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -117,7 +117,7 @@ def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _write_label_text(spark: SparkSession, df: DataFrame, order_col: str, line: "F.Column", name: str) -> str:
     """Write ``line`` of every row as a label text file set, in ``order_col`` order: ranges of the
-    key go to consecutive files (part numbers sort like the key), sorted inside each file."""
+    key go to consecutive files (``LINE_ORDER`` sorts part numbers as numbers), sorted inside each file."""
     path = staging_path(spark, name)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (df.select(F.col(order_col).alias("_k"), line.alias("value"))
@@ -128,11 +128,11 @@ def _write_label_text(spark: SparkSession, df: DataFrame, order_col: str, line:
 
 def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Country-style lookup: ``  <custkey>  =  '<priority>'`` lines, one per order in order-key
-    order, read back as numbered lines; the last line of each code wins (H9 rules)."""
+    order, read back in file order; the last line of each code wins (H9 rules)."""
     orders = _t(spark, sf_dir, "orders")
     line = F.format_string("  %d  =  '%s'", F.col("o_custkey"), F.col("o_orderpriority"))
     path = _write_label_text(spark, orders, "o_orderkey", line, "label-country")
-    return label_table(read_numbered_lines(spark, path), COUNTRY_RULE, "country_code", "country_name")
+    return label_table(read_ordered_lines(spark, path), COUNTRY_RULE, "country_code", "country_name", order=LINE_ORDER)
 
 
 def city_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +142,7 @@ def city_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.format_string("\t'%d'\t=\t'%s %s, %s'", F.col("p_partkey"), F.col("p_name"), F.col("p_brand"),
                            F.col("p_type"))
     path = _write_label_text(spark, part, "p_partkey", line, "label-city")
-    return label_table(read_numbered_lines(spark, path), CITY_RULE, "city_code", "city_name")
+    return label_table(read_ordered_lines(spark, path), CITY_RULE, "city_code", "city_name", order=LINE_ORDER)
 
 
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +152,7 @@ def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.upper(F.concat_ws(" ", F.col("s_name"), F.lit("of nation"), F.col("s_nationkey").cast("string")))
     line = F.format_string("\t'%d '\t=  '%s' ", F.col("s_suppkey"), label)
     path = _write_label_text(spark, supplier, "s_suppkey", line, "label-state")
-    return label_table(read_numbered_lines(spark, path), STATE_RULE, "state_code", "state_name")
+    return label_table(read_ordered_lines(spark, path), STATE_RULE, "state_code", "state_name", order=LINE_ORDER)
 
 
 # --- cleaning (B1-B6, C1, C2, H1-H3) -----------------------------------------------------------
@@ -443,7 +443,7 @@ def star_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     order_side = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
     order_side = lookup_join(order_side, cust_nation, "c_nationkey", "n_nationkey")
     out = li.join(order_side, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    out = lookup_join(out, supplier, "l_suppkey", "s_suppkey")
+    out = out.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")  # grows with the data: AQE decides
     out = lookup_join(out, supp_nation, "s_nationkey", "sn_key")
     return out.select("l_orderkey", "l_linenumber", "o_orderstatus", "c_name", "cust_nation", "cust_region",
                       "s_name", "supp_nation")
@@ -467,7 +467,110 @@ def star_month_reading(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .agg(F.count(F.lit(1)).alias("month_lines")))
     orders = _t(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
-    return month_join(orders, readings, [("o_orderstatus", "r_status"), ("year", "r_year"), ("month", "r_month")])
+    return month_join(orders, stage(readings), [("o_orderstatus", "r_status"), ("year", "r_year"), ("month", "r_month")],
+                      broadcast_readings=True)
+
+
+def star_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Immigrant dimension (customers) with the names of birth and residence country (nations): numeric
+    codes against text codes, one lookup used twice (D4)."""
+    from portmart.plans.star import immigrant_with_countries
+    people = H.build_immigrant_dim(customers_as_arrivals(_t(spark, sf_dir, "customer")), with_id=False)
+    country = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("country_code"),
+                                                 F.col("n_name").alias("country_name"))
+    return immigrant_with_countries(people, country).select("immigration_cic_id", "birth_country", "residence_country")
+
+
+def star_state_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact (orders) with demographics (line items) rolled up to cities, then states."""
+    from portmart.plans.star import fact_with_state_demographics
+    fact = H.build_fact(orders_as_arrivals(_t(spark, sf_dir, "orders")), with_id=False).select("cic_id", "state_code")
+    cities = H.build_city_demographics(lineitem_as_demographics(_t(spark, sf_dir, "lineitem")), with_id=False)
+    return fact_with_state_demographics(fact, cities)
+
+
+def star_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact (orders) with its port's name and that city's reading of the arrival month, readings (line
+    items) of one country only (D3, D6)."""
+    from portmart.plans.star import fact_with_temperature
+    orders, li = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+    raw = orders_as_arrivals(orders).withColumn("i94port", F.col("i94addr"))
+    fact = H.build_fact(raw, with_id=False).select("cic_id", "year", "month", "city_code")
+    ports = orders.select(F.col("o_orderstatus").alias("city_code"), F.concat(F.lit("City "), "o_orderstatus").alias("city_name")).distinct()
+    readings = li.select(
+        F.col("l_shipdate").cast("date").alias("dt"), F.concat(F.lit("City "), "l_linestatus").alias("city_name"),
+        F.when(F.col("l_returnflag") == "N", "United States").otherwise("Elsewhere").alias("country_name"),
+        F.col("l_quantity").alias("avg_temperature"), F.col("l_tax").alias("avg_temperature_delta"),
+        F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
+    return fact_with_temperature(fact, stage(ports), readings)
+
+
+# --- cleaning of airports, schema listing (H4, G5) ---------------------------------------------
+
+def airports_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse airport-like rows of part: distinct rows, then rows null in every column go (H4)."""
+    part = _t(spark, sf_dir, "part")
+    return H.clean_airports(part.select(
+        F.when(F.col("p_size") > 40, F.col("p_brand")).alias("iata_code"),
+        F.when(F.col("p_size") > 30, F.col("p_type")).alias("type"),
+        F.when(F.col("p_size") > 45, F.col("p_size")).alias("elevation_ft")))
+
+
+def schema_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(position, name, type, nullable) of the line items' schema."""
+    return schema_rows(spark, _t(spark, sf_dir, "lineitem"))
+
+
+# --- jobs on raw files (H13-H15) ----------------------------------------------------------------
+
+def demographics_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demographics job on a ';' CSV written from line items; the published table without its id."""
+    from portmart import schemas
+    from portmart.plans.jobs import process_demographics
+    raw = staging_path(spark, "demographics-raw")
+    write_csv(lineitem_as_demographics(_t(spark, sf_dir, "lineitem")), raw, sep=";")
+    res = process_demographics(spark, raw, staging_path(spark, "demographics-job"), on_fail="raise")
+    return read_parquet(spark, res.tables["dim_city_demographics"], schema=schemas.DIM_CITY_DEMOGRAPHICS).drop("id")
+
+
+def temperature_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The temperature job on a CSV written from events; the published table."""
+    from portmart import schemas
+    from portmart.plans.jobs import process_temperature
+    raw = staging_path(spark, "temperature-raw")
+    place = {"Latitude": F.lit("0N"), "Longitude": F.lit("0E")}
+    write_csv(events_as_temperature(_t(spark, sf_dir, "events")).withColumns(place), raw)
+    res = process_temperature(spark, raw, staging_path(spark, "temperature-job"), on_fail="raise")
+    return read_parquet(spark, res.tables["dim_temperature"], schema=schemas.DIM_TEMPERATURE)
+
+
+LABEL_SLOTS = 1000
+
+
+def labels_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label job by line ranges (A7, H15): label files of a thousand country, city and state
+    lines each, behind a heading, from customers, parts and suppliers; all three tables, by kind."""
+    from portmart.plans.jobs import process_labels
+    n = LABEL_SLOTS
+    parts = []
+    for i, (table, key, text) in enumerate((
+            ("customer", "c_custkey", F.format_string("   %d =  '%s'", "c_custkey", "c_mktsegment")),
+            ("part", "p_partkey", F.format_string("\t'%d'\t=\t'%s, %s'", "p_partkey", "p_name", "p_brand")),
+            ("supplier", "s_suppkey", F.format_string("\t'%d'=\t'%s'", "s_suppkey", "s_name")))):
+        k = F.col(key).cast("long")
+        parts.append(_t(spark, sf_dir, table).select(F.floor(k / n).alias("p"), (F.lit(1 + i * n) + k % n).alias("at"), text.alias("value")))
+    lines = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    slots = lines.select("p").distinct().select("p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3 * n).cast("long"))).alias("at"))
+    path = staging_path(spark, "label-blocks")
+    (slots.join(lines, ["p", "at"], "left").select("p", "at", F.coalesce("value", F.lit("/* none */")).alias("value"))
+     .repartition("p").sortWithinPartitions("p", "at").select("p", "value").write.partitionBy("p").text(path))
+    res = process_labels(spark, path, staging_path(spark, "labels-job"), country_lines=(1, n + 1),
+                         city_lines=(n + 1, 2 * n + 1), state_lines=(2 * n + 1, 3 * n + 1), on_fail="raise")
+    out = None
+    for kind in ("country", "city", "state"):
+        one = spark.read.parquet(res.tables[f"dim_{kind}"]).toDF("code", "name").select(F.lit(kind).alias("kind"), "code", "name")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # --- whole job (H12, H1, H5, H6, G1-G4, H17) ---------------------------------------------------
@@ -539,6 +642,14 @@ def arrivals_by_visa(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "arrivals_refresh": arrivals_refresh,
     "arrivals_by_visa": arrivals_by_visa,
+    "star_countries": star_countries,
+    "star_state_demographics": star_state_demographics,
+    "star_temperature": star_temperature,
+    "airports_clean": airports_clean,
+    "schema_listing": schema_listing,
+    "demographics_job": demographics_job,
+    "temperature_job": temperature_job,
+    "labels_job": labels_job,
     "mart_status_by_region": mart_status_by_region,
     "mart_priority_by_segment": mart_priority_by_segment,
     "mart_priority_by_segment_sql": mart_priority_by_segment_sql,

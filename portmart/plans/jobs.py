@@ -117,6 +117,7 @@ def process_labels(spark: SparkSession, input_path: str, output_path: str, count
     paths = {k: _join(output_path, k) for k in built}
     for k, df in built.items():
         write_parquet(df, paths[k])
+    drop_staged(spark, lines)
     _publish_and_check(spark, built, paths, on_fail, result)
     return result
 

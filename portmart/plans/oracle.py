@@ -321,3 +321,63 @@ ORACLE_SQL["arrivals_by_visa"] = """
     SELECT split_part(o_orderpriority, '-', -1) AS visa_type,
            nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS "F", nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS "M"
     FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1"""
+
+ORACLE_SQL["star_countries"] = """
+SELECT CAST(c_custkey AS DOUBLE) AS immigration_cic_id, b.n_name AS birth_country, r.n_name AS residence_country
+FROM customer LEFT JOIN nation b ON c_nationkey = b.n_nationkey LEFT JOIN nation r ON floor(c_acctbal / 1000.0) = r.n_nationkey
+"""
+
+ORACLE_SQL["star_state_demographics"] = f"""
+WITH c AS (
+  SELECT state_code, city, max(total_population) AS t, max(foreign_born_num) AS f, max(number_of_veterans) AS v
+  FROM ({_DEMOGRAPHICS}) GROUP BY ALL),
+s AS (SELECT state_code, count(*) AS n_cities, CAST(sum(t) AS BIGINT) AS state_population,
+             CAST(sum(f) AS BIGINT) AS state_foreign_born, CAST(sum(v) AS BIGINT) AS state_veterans
+      FROM c GROUP BY state_code)
+SELECT CAST(o_orderkey AS DOUBLE) AS cic_id, o_orderstatus AS state_code, n_cities, state_population, state_foreign_born,
+       state_veterans
+FROM orders LEFT JOIN s ON o_orderstatus = s.state_code
+"""
+
+ORACLE_SQL["star_temperature"] = """
+WITH r AS (
+  SELECT l_linestatus AS city, year(l_shipdate) AS y, month(l_shipdate) AS m, l_quantity, l_tax,
+         row_number() OVER (PARTITION BY l_linestatus, year(l_shipdate), month(l_shipdate)
+                            ORDER BY CAST(l_shipdate AS DATE), l_quantity, l_tax) AS rn
+  FROM lineitem WHERE l_returnflag = 'N')
+SELECT CAST(o_orderkey AS DOUBLE) AS cic_id, CAST(year(o_orderdate) AS DOUBLE) AS year,
+       CAST(month(o_orderdate) AS DOUBLE) AS month, o_orderstatus AS city_code, 'City ' || o_orderstatus AS city_name,
+       l_quantity AS avg_temperature, l_tax AS avg_temperature_delta
+FROM orders LEFT JOIN r ON rn = 1 AND city = o_orderstatus AND y = year(o_orderdate) AND m = month(o_orderdate)
+"""
+
+ORACLE_SQL["airports_clean"] = """
+SELECT DISTINCT * FROM (
+  SELECT CASE WHEN p_size > 40 THEN p_brand END AS iata_code, CASE WHEN p_size > 30 THEN p_type END AS type,
+         CASE WHEN p_size > 45 THEN p_size END AS elevation_ft FROM part)
+WHERE iata_code IS NOT NULL OR type IS NOT NULL OR elevation_ft IS NOT NULL
+"""
+
+ORACLE_SQL["schema_listing"] = """
+SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name AS name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                      WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(data_type) END AS type,
+       true AS nullable
+FROM (SELECT *, row_number() OVER (PARTITION BY column_name) AS one FROM information_schema.columns
+      WHERE table_name = 'lineitem') WHERE one = 1
+"""
+
+ORACLE_SQL["demographics_job"] = ORACLE_SQL["demographics_build"]
+
+ORACLE_SQL["temperature_job"] = """
+SELECT CAST(ts AS DATE) AS dt, event_type AS city_name, 'ALL' AS country_name, CAST(min(floor(value)) AS DOUBLE) AS avg_temperature,
+       CAST(0.25 AS DOUBLE) AS avg_temperature_delta, CAST(year(CAST(ts AS DATE)) AS INTEGER) AS year,
+       CAST(month(CAST(ts AS DATE)) AS INTEGER) AS month
+FROM events GROUP BY CAST(ts AS DATE), event_type
+"""
+
+ORACLE_SQL["labels_job"] = f"""
+SELECT 'country' AS kind, CAST(c_custkey AS VARCHAR) AS code, c_mktsegment AS name FROM customer
+UNION ALL SELECT 'city', CAST(p_partkey AS VARCHAR), {_title('p_name')} FROM part
+UNION ALL SELECT 'state', CAST(s_suppkey AS VARCHAR), {_title('s_name')} FROM supplier
+"""

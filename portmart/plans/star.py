@@ -1,9 +1,9 @@
 """The star schema's relations, which the reference declares but never runs.
 
 Lookup dimensions (states, ports, countries, per-state summaries, per-city-month readings) are
-small and are broadcast behind a row-count check; the fact is never shuffled for them. Tables
+small and are broadcast behind a size check; the fact is not shuffled for those that pass it. Tables
 with many rows per join key are aggregated to the key first, so the fact keeps one row per
-arrival.
+arrival; the aggregate is staged, so that its size is known and it is computed once.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portmart.operators.joins import code_text, lookup_join, month_join
+from portmart.sinks.writers import stage
 
 
 def fact_with_state_name(fact: DataFrame, dim_state: DataFrame) -> DataFrame:
@@ -49,7 +50,7 @@ def state_demographics(dim_city_demographics: DataFrame) -> DataFrame:
 def fact_with_state_demographics(fact: DataFrame, dim_city_demographics: DataFrame) -> DataFrame:
     """fact ⟕ state-level demographics on state_code, aggregated first so the fact does not fan
     out (D5)."""
-    per_state = state_demographics(dim_city_demographics).withColumnRenamed("state_code", "_sc")
+    per_state = stage(state_demographics(dim_city_demographics).withColumnRenamed("state_code", "_sc"))
     return lookup_join(fact, per_state, "state_code", "_sc")
 
 
@@ -70,6 +71,6 @@ def fact_with_temperature(fact: DataFrame, dim_city: DataFrame, dim_temperature:
     (D6). The fact's year and month are doubles; the readings' are integers."""
     named = fact_with_city_name(fact, dim_city).withColumns(
         {"_fy": F.col("year").try_cast("int"), "_fm": F.col("month").try_cast("int")})
-    out = month_join(named, monthly_readings(dim_temperature, country),
-                     [("city_name", "_city"), ("_fy", "_y"), ("_fm", "_m")])
+    out = month_join(named, stage(monthly_readings(dim_temperature, country)),
+                     [("city_name", "_city"), ("_fy", "_y"), ("_fm", "_m")], broadcast_readings=True)
     return out.drop("_fy", "_fm")

@@ -1,20 +1,22 @@
 """Label-description text files as numbered lines.
 
-The scan is splittable: each line keeps its exact 0-based number within its file without
-reading a whole file into one task. A text split never cuts a line, rows of one split are
-contiguous in their task, and ``monotonically_increasing_id`` numbers them consecutively, so
-``position in split = id - first id of the split``; a split's offset in its file is the
-number of lines of the earlier splits (one row per split, a small table).
+The scan is splittable: no file goes whole into one task. A text split never cuts a line, rows of
+one split are contiguous in their task, and ``monotonically_increasing_id`` numbers them
+consecutively. So (file, start of the split, id) puts lines in file order with one scan and no
+join. Exact 0-based numbers need the lines of the earlier splits counted: the tagged lines are staged
+once, and ``position in split = id - first id of the split`` is taken from the staged copy (a second
+scan of the text might be split in another way).
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from portmart.operators.joins import broadcast_if_small, estimated_bytes
+from portmart.operators.joins import estimated_bytes
+from portmart.sinks.writers import stage
 
 # Largest number of splits whose offset table (a few narrow columns per split) is broadcast.
 MAX_BROADCAST_SPLITS = 1_000_000
@@ -39,14 +41,34 @@ def conf_bytes(spark: SparkSession, key: str, default: int) -> int:
     return int(m.group(1)) << (10 * "_kmgtp".index(m.group(2).lower() or "_"))
 
 
+LINE_ORDER = ("file_key", "block", "seq")
+
+
+def _file_key(path: Column) -> Column:
+    """A text key that sorts file names by the numbers in them (part-99999 before part-100000)."""
+    pieces = F.regexp_extract_all(path, F.lit(r"(\d+|\D+)"), F.lit(1))
+    wide = F.transform(pieces, lambda p: F.when(p.rlike(r"^\d{1,19}$"), F.lpad(p, 20, "0")).otherwise(p))
+    return F.array_join(wide, "")
+
+
+def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, file, file_key, block, seq) of every line under ``path``; ``LINE_ORDER`` sorts them by file
+    and place in it. One scan."""
+    file = F.col("_metadata.file_path")
+    return spark.read.text(path).select(
+        F.col("value").alias("line"), file.alias("file"), _file_key(file).alias("file_key"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
+
+
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, pos, line) for every line of every file under ``path``."""
+    """(file, pos, line) for every line of every file under ``path`` (A6, A7). The lines are staged
+    here; ``drop_staged`` removes the copy when the caller has done with them."""
     text = spark.read.text(path)
-    raw = text.select(
+    raw = stage(text.select(
         F.col("value").alias("line"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_mid"))
+        F.monotonically_increasing_id().alias("_mid")))
     splits = raw.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_mid0"))
     in_file = Window.partitionBy("file").orderBy("_block")
     splits = splits.withColumn("_off", F.sum("_n").over(in_file) - F.col("_n")).drop("_n")
@@ -67,10 +89,10 @@ def named_block(lines: DataFrame, name: str) -> DataFrame:
     needed). The header line itself is left out."""
     header = F.lower(F.trim(F.col("line"))).rlike(r"^value\s+\$?" + re.escape(name.lower().lstrip("$")) + r"\s*$")
     starts = lines.filter(header).groupBy("file").agg(F.min("pos").alias("_start"))
-    tagged = lines.join(broadcast_if_small(starts, 1_000_000), "file").filter(F.col("pos") > F.col("_start"))
+    tagged = lines.join(starts, "file").filter(F.col("pos") > F.col("_start"))
     ends = (tagged.filter(F.trim(F.col("line")).startswith(";"))
                   .groupBy("file").agg(F.min("pos").alias("_end")))
-    block = tagged.join(broadcast_if_small(ends, 1_000_000), "file", "left")
+    block = tagged.join(ends, "file", "left")
     return (block.filter(F.col("_end").isNull() | (F.col("pos") < F.col("_end")))
                  .filter(F.trim(F.col("line")) != "")
                  .select("file", "pos", "line"))

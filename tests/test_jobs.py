@@ -262,10 +262,15 @@ def test_command_line(spark, raw, capsys):
                  f"{raw}/demographics.csv", "--temperature", f"{raw}/temperature.csv", "--out", out,
                  "--sas-format", "xport", "--on-fail", "warn"], spark=spark)
     assert code == 1
-    assert main(["mart", "state-gender", "--tables", out, "--threshold", "0"], spark=spark) == 0
+    assert main(["mart", "state-gender", "--tables", out, "--threshold", "0", "--out", f"{raw}/cli_mart", "--show", "5"],
+                spark=spark) == 0
+    assert "NY" in {r["state_code"] for r in spark.read.parquet(f"{raw}/cli_mart").collect()}
     printed = capsys.readouterr().out
     assert "state_code" in printed and "NY" in printed
-    assert main(["profile", "--input", f"{raw}/demographics.csv", "--format", "csv;", "--limit", "10"], spark=spark) == 0
+    assert main(["profile", "--input", f"{raw}/demographics.csv", "--format", "csv;", "--limit", "10",
+                 "--out", f"{raw}/cli_profile"], spark=spark) == 0
+    with pytest.raises(SystemExit):  # a result has to go somewhere
+        main(["mart", "visa-gender", "--tables", out], spark=spark)
 
 
 def test_label_job_by_block_names(spark, raw):

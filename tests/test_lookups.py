@@ -97,3 +97,39 @@ def test_named_block_finds_ranges(spark, label_file):
     assert by_name == EXPECTED_CITY
     blk = sorted(r["pos"] for r in named_block(lines, "i94addrl").collect())
     assert blk == list(range(*STATE))
+
+
+def test_line_order_sorts_part_numbers_as_numbers_with_one_scan(spark, tmp):
+    from portmart.operators.lookups import COUNTRY_RULE, label_table
+    from portmart.sources.labels import LINE_ORDER, read_ordered_lines
+    import os
+    os.makedirs(f"{tmp}/numbered", exist_ok=True)
+    for n, name in ((99998, "A"), (100000, "C"), (99999, "B")):
+        with open(f"{tmp}/numbered/part-{n:05d}-x-c000.txt", "w") as fh:
+            fh.write(f"1 = '{name}'\n")
+    got = label_table(read_ordered_lines(spark, f"{tmp}/numbered"), COUNTRY_RULE, "code", "name", order=LINE_ORDER)
+    assert [tuple(r) for r in got.collect()] == [("1", "C")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_lookup_with_a_repeated_code_raises(spark):
+    from portmart.operators.joins import lookup_join
+    fact = spark.createDataFrame([(1, "a")], "id int, k string")
+    dim = spark.sql("SELECT * FROM VALUES ('a', 1), ('a', 2), (NULL, 3), (NULL, 4) AS t(c, v)")
+    with pytest.raises(ValueError, match="not unique"):
+        lookup_join(fact, dim, "k", "c")
+    once = lookup_join(fact, dim.filter("v <> 2"), "k", "c")
+    assert [tuple(r) for r in once.collect()] == [(1, "a", 1)]
+
+
+def test_fact_is_not_shuffled_for_readings_and_state_totals(spark):
+    from conftest import SF0001
+    from portmart.plans.catalog import QUERIES
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key in ("star_month_reading", "star_state_demographics", "star_temperature"):
+            plan = QUERIES[key](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning" not in plan, key
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
