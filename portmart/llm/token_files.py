@@ -62,18 +62,9 @@ class _Units(dict):
         self.encoder, self.flat, self.starts = encoder, array("i"), array("q", [0])
 
     def __missing__(self, unit: str) -> int:
-        word = unit[1:] if unit[:1] == FIRST else unit
-        if (ids := self.encoder.older.ids(unit)) is not None:
-            pass
-        elif word == LINE_END:
-            ids = self.encoder.whole("\n")
-        elif unit == FIRST:
-            ids = []
-        elif not word or word[0].isspace() or word[-1].isspace():
-            raise _Gap
-        else:
-            ids = self.encoder.word(word if word is not unit else " " + word)
-        self.flat.extend(ids)
+        older = self.encoder.older
+        n = older.get(unit)
+        self.flat.extend(self.encoder.unit(unit) if n is None else older.flat[older.starts[n]:older.starts[n + 1]])
         self.starts.append(len(self.flat))
         self[unit] = n = len(self.starts) - 2
         return n
@@ -92,7 +83,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
         self.older, self.known = _Units(self), _Units(self)
         self.marks: dict[str, list[int]] = {}
 
@@ -103,24 +94,33 @@ class WordEncoder:
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def word(self, unit: str) -> list[int]:
-        """Ids of a word. A run of letters, with a blank in front or not, is one pre-token and goes
+    def unit(self, unit: str) -> list[int]:
+        """Ids of a unit. A run of letters, with a blank in front or not, is one pre-token and goes
         straight to the tokenizer's model; so does what stands before a mark at the end."""
-        core = unit.rstrip(_MARKS)
-        letters = core[1:] if core[:1] == " " else core
-        if not letters.isalpha():
-            return self.whole(unit)
-        if core != unit:
-            head = self.known.ids(letters if core[:1] == " " else FIRST + letters)
-            tail = unit[len(core):]
+        first = unit[:1] == FIRST
+        word = unit[1:] if first else unit
+        if word.isalpha():
+            return self.letters(word, first)
+        core = word.rstrip(_MARKS)
+        if core.isalpha():
+            tail = word[len(core):]
             if tail not in self.marks:
                 self.marks[tail] = self.whole(tail)
-            return (self.word(core) if head is None else head) + self.marks[tail]
-        if unit.isascii():  # of these bytes only the blank is written as another letter
-            letters = unit.replace(" ", _BYTE_LETTERS[0x20])
-        else:
-            letters = unit.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return [t.id for t in self.model.tokenize(letters)]
+            head = self.known.ids(FIRST + core if first else core)
+            return (self.letters(core, first) if head is None else head) + self.marks[tail]
+        if word == LINE_END:
+            return self.whole("\n")
+        if unit == FIRST:
+            return []
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise _Gap
+        return self.whole(word if first else " " + word)
+
+    def letters(self, word: str, first: bool) -> list[int]:
+        """Ids of a run of letters at the start of a line, else behind a blank."""
+        if not word.isascii():  # ASCII letters are written as themselves
+            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return [t.id for t in self.tokenize(word if first else _BYTE_LETTERS[0x20] + word)]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts behind each other, their numbers)."""
