@@ -455,3 +455,14 @@ def test_token_files_encode_runs_of_line_ends_as_the_tokenizer_does():
         part = texts[at:at + 50]
         ids, sizes = own.encode(part)
         assert [ids[e - n:e].tolist() for e, n in zip(sizes.cumsum(), sizes)] == [own.whole(t) for t in part]
+
+
+def test_word_store_forgets_without_changing_ids(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 50)
+    own, rng = token_files.WordEncoder(queries.BYTE_BPE), random.Random(7)
+    bits = ["a", "The", "word", "Ünï", "é", "中", "文字", "1", "٣", "²", "'s", "'ll", "!", "...", "-", "_", " ", " ", "  ", "\n", "\n\n",
+            "\t", "\r", "　", "​", "\x01", "\x02", "<|endoftext|>", "\U0001F600"]
+    for _ in range(1500):
+        part = ["".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(rng.randrange(1, 4))]
+        ids, sizes = own.encode(part)
+        assert [ids[e - n:e].tolist() for e, n in zip(sizes.cumsum(), sizes)] == [own.whole(t) for t in part]
