@@ -38,7 +38,7 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "tokens")
-    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, BYTE_BPE)
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), path, BYTE_BPE, special_tokens=True)  # as ``encode`` by default
     read = token_files.ids_crc32(token_files.read_tokens(spark, path))
     return token_files.with_starts(read, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 

@@ -11,6 +11,10 @@ The byte-level BPE splits a text before each single blank and around each single
 words (with their blank) have equal ids: each worker keeps the tokenizer's answer for words it
 has met. Texts where white space meets white space go to the tokenizer whole, but for empty lines.
 
+The string of a special token in a text (``<|endoftext|>``) is ordinary text, or that token if
+``special_tokens`` is set: then it is what the tokenizer's ``encode`` gives by default, and texts
+with the string of any added token go to the tokenizer whole.
+
 Defined cases: null and empty texts have only the end id; a null id sorts first; rows repeated
 with one id follow each other; an empty table gives an empty table; extra columns stay out.
 """
@@ -77,12 +81,14 @@ class _Units(dict):
 class WordEncoder:
     """``encode`` of a ``tokenizers`` file, remembering the ids of words."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_tokens: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not special_tokens  # True: their strings are ordinary text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added if special_tokens or not t.special]
         self.tokenize = self.tokenizer.model.tokenize
         self.older, self.known = _Units(self), _Units(self)
         self.marks: dict[str, list[int]] = {}
@@ -128,7 +134,7 @@ class WordEncoder:
             self.forget()
         units, counts = [], []
         for text in texts:
-            if FIRST in text or LINE_END in text or _joined_lines(text):  # no units: it goes whole
+            if FIRST in text or LINE_END in text or _joined_lines(text) or any(t in text for t in self.added):  # it goes whole
                 mine = [""]
             else:
                 mine = (FIRST + text.replace("\n", f" {LINE_END} {FIRST}")).split(" ") if text else []
@@ -150,20 +156,22 @@ class WordEncoder:
         return ids, np.diff(bounds)
 
 
-_encoders: dict[str, WordEncoder] = {}
+_encoders: dict[tuple[str, bool], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker and file; what it has met serves the worker's later tasks."""
-    return _encoders.setdefault(path, WordEncoder(path)) if path not in _encoders else _encoders[path]
+def encoder(path: str, special_tokens: bool = False) -> WordEncoder:
+    """One encoder per worker, file and setting; what it has met serves the worker's later tasks."""
+    key = path, special_tokens
+    return _encoders.setdefault(key, WordEncoder(*key)) if key not in _encoders else _encoders[key]
 
 
-def encode_texts(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:
+def encode_texts(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str, end_id: int = END_ID,
+                 special_tokens: bool = False) -> DataFrame:
     """``(id, n_tokens, ids)``; each list ends in ``end_id``."""
     kind = dict(df.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer_path)
+        own = encoder(tokenizer_path, special_tokens)
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
             cuts = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // PART_BYTES, prepend=-1))
@@ -181,12 +189,12 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = END_ID) -> None:
+                 end_id: int = END_ID, special_tokens: bool = False) -> None:
     """Write the token ids of ``df``'s texts to ``path`` in ascending order of ``id_col``."""
     docs = df.select(id_col, text_col)
     n = max(partitions(df.sparkSession), -(-text_size(docs, text_col)[1] // FILE_BYTES))
     ordered = docs.repartitionByRange(n, F.col(id_col).asc_nulls_first()).sortWithinPartitions(F.col(id_col).asc_nulls_first())
-    encoded = encode_texts(ordered, id_col, text_col, tokenizer_path, end_id)
+    encoded = encode_texts(ordered, id_col, text_col, tokenizer_path, end_id, special_tokens)
     (encoded.select(F.monotonically_increasing_id().alias("row"), id_col, "n_tokens", "ids").write
      .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)

@@ -246,6 +246,18 @@ def test_token_files(spark):
     assert token_files.read_metadata(spark, empty).count() == 0
 
 
+def test_registered_token_files_give_the_ids_of_the_unchanged_tokenizer(spark, tmp_path):
+    from tokenizers import Tokenizer
+    rows = corpus(9, 40) + [(902, "a <|endoftext|> b"), (903, "<|endoftext|>"), (904, "x<|endoftext|>y\n\n<|endoftext|> z"), (905, "<|endoftext"), (906, "a b")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = found(queries.op5_token_files(spark, str(tmp_path)), "start", "n_tokens", "ids_crc32")
+    plain, start = Tokenizer.from_file(queries.BYTE_BPE), 0
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        ids = plain.encode(t or "", add_special_tokens=False).ids + [2]
+        assert got[i] == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), t
+        start += len(ids)
+
+
 # --- 6 quality
 
 def test_quality_held_out(spark):
