@@ -151,7 +151,7 @@ def _points(plan: C.Plan, docs: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` that link, by their whole sets."""
-    own = points.select("doc_id", "hashes")
+    own = points.filter("hashes is not null").select("doc_id", "hashes")  # a repeated row has none
     joined = pairs.join(own.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb")), "b")
     joined = joined.join(own.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha")), "a").select("a", "b", "ha", "hb")
 

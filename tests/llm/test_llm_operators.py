@@ -124,6 +124,13 @@ def test_ngram_join_empty(spark):
     assert found(ngram_join.link_components(table(spark, [(None, "a b c d e f"), (7, "a b c d e f")])), "n_shingles") == {None: (2,), 7: (2,)}
 
 
+def test_ngram_join_of_repeated_rows_with_a_near_copy(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (1, " ".join(words)), (2, " ".join([*words[:-1], "other"])), (2, " ".join([*words[:-1], "other"])), (3, "a b c")]
+    got = ngram_join.link_components(table(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (1, 1), (2, 1), (2, 1), (3, 3)]
+
+
 def test_tree_bound_loses_nothing():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
