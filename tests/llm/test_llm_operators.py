@@ -360,6 +360,35 @@ def test_license_lines_need_an_anchor():
             assert line in list(m.lines(line))
 
 
+def license_matcher():
+    counts = {"the": 9000, "of": 8000, "and": 8500, "to": 8000, "in": 7000, "a": 8000, "is": 6000, "it": 5000, "or": 4000, "this": 4000, "by": 4000,
+              "license": 60, "general": 500, "public": 700, "version": 300}
+    return license_scan.Matcher(license_scan.TEMPLATES, counts, 10000, license_scan.full_templates())
+
+
+@pytest.mark.parametrize("text,want", [
+    ("MIT License", "MIT"), ("Apache License", "Apache"), ("GNU GENERAL PUBLIC LICENSE", "GPL"), ("Redistribution and use in source and binary forms, with or without", "BSD"),
+    ("it under the terms of the GNU General Public License as published by", "GPL"), ("SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy", "MIT"), ("GNU GENERAL PUBLIC LICENSE\n   Version 2, June 1991", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"), ("SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"), ("Licensed under the Apache License, Version 1.1.", "Apache"),
+    ("SPDX-License-Identifier: GPL-1.0-only", None), ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Licensed under CC BY 3.0.", None),
+    ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"), ("SPDX-License-Identifier: Foo-2.0", None), ("the license of the park", None),
+    ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU Lesser General Public License as published by\n"
+     "# the Free Software Foundation, either version 2.1 of the License, or\n# (at your option) any later version.\nimport os\nprint(os)", "LGPL-2.1"),
+    ("/* Licensed under the Apache License, Version 2.0 (the \"License\");\n you may not use this file except in compliance with the License. */\nint x;", "Apache-2.0")])
+def test_license_headers_and_near_miss_versions(text, want):
+    assert license_matcher().scan(text + "\n\n" + "code " * 60)[0] == want
+
+
+def test_license_files():
+    m = license_matcher()
+    for name, text in license_scan.full_templates():
+        assert m.scan("Copyright (c) 2020 Jo Doe\n\n" + text)[::2] == (name, True)
+    body = "\n".join("# " + line for line in dict(license_scan.full_templates())["BSD-2-Clause"].split("\n"))
+    assert m.scan(body + "\n\n" + "x = compute(y)\n" * 400)[::2] == ("BSD-2-Clause", False)
+
+
 # --- 9 chat
 
 def test_chat_events(spark):
