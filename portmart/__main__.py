@@ -48,7 +48,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     r.add_argument("--demographics", required=True)
     r.add_argument("--temperature", required=True)
     r.add_argument("--out", required=True)
-    r.add_argument("--sas-format", default="sas7bdat", choices=["sas7bdat", "xport"])
+    r.add_argument("--sas-format", default="sas7bdat", choices=["sas7bdat", "xport", "parquet", "csv"])
     r.add_argument("--on-fail", default="raise", choices=["raise", "warn"])
     m = sub.add_parser("mart", help="mart questions over the written tables")
     m.add_argument("question", choices=["state-gender", "visa-gender"])

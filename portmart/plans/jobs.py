@@ -17,9 +17,9 @@ from portmart import schemas
 from portmart.operators.quality import CheckSpec, StepCounter, enforce, run_checks
 from portmart.plans import tables as H
 from portmart.sinks.writers import drop_staged, stage, write_parquet, write_partitioned
-from portmart.sources.files import read_csv, read_parquet
+from portmart.sources.files import malformed_cells, read_csv_counted, read_parquet
 from portmart.sources.labels import read_numbered_lines
-from portmart.sources.sas import read_sas
+from portmart.sources.sas import read_sas, skipped_files
 
 log = logging.getLogger(__name__)
 
@@ -29,6 +29,8 @@ class JobResult:
     tables: dict[str, str] = field(default_factory=dict)
     checks: list = field(default_factory=list)
     steps: list = field(default_factory=list)
+    malformed: dict[str, int] = field(default_factory=dict)  # CSV cells read as null, per column
+    skipped: list[str] = field(default_factory=list)  # input files that were not read
 
 
 def _join(base: str, name: str) -> str:
@@ -52,12 +54,23 @@ def _publish_and_check(spark: SparkSession, built: dict[str, DataFrame], paths:
 def process_arrivals(spark: SparkSession, input_path: str, output_path: str, sas_format: str = "sas7bdat",
                      raw: DataFrame | None = None, fact_partition_by=("state_code",),
                      drop_null_keys: bool = False, on_fail: str = "warn") -> JobResult:
-    """Arrivals SAS files -> ``fact_immigration`` (partitioned) + ``dim_immigrant_demographics``."""
-    result = JobResult()
-    raw = raw if raw is not None else read_sas(spark, input_path, schemas.RAW_ARRIVALS, sas_format=sas_format)
+    """Arrivals SAS files -> ``fact_immigration`` (partitioned) + ``dim_immigrant_demographics``.
+
+    ``sas_format`` ``parquet`` or ``csv`` takes arrivals already converted, through Spark's own
+    splittable scan; a SAS7BDAT file is decoded by one task."""
+    result, seen = JobResult(), None
+    if raw is None and sas_format == "parquet":
+        raw = read_parquet(spark, input_path, schema=schemas.RAW_ARRIVALS)
+    elif raw is None and sas_format == "csv":
+        raw, seen = read_csv_counted(spark, input_path, schemas.RAW_ARRIVALS)
+    elif raw is None:
+        raw = read_sas(spark, input_path, schemas.RAW_ARRIVALS, sas_format=sas_format)
+        result.skipped = skipped_files(spark, input_path, sas_format)
     counter = StepCounter("arrivals")
     cleaned = stage(counter.run(raw, H.arrivals_steps(drop_null_keys=drop_null_keys)))
     result.steps = counter.counts()
+    if seen is not None:
+        result.malformed = malformed_cells(seen, input_path)
     fact = H.build_fact(cleaned)
     dim = H.build_immigrant_dim(cleaned)
     paths = {"fact_immigration": _join(output_path, "fact_immigration"),
@@ -73,13 +86,14 @@ def process_demographics(spark: SparkSession, input_path: str, output_path: str,
                          on_fail: str = "warn") -> JobResult:
     """City demographics ';' CSV -> ``dim_city_demographics``."""
     result = JobResult()
-    raw = read_csv(spark, input_path, schema=schemas.RAW_DEMOGRAPHICS, sep=";")
+    raw, seen = read_csv_counted(spark, input_path, schemas.RAW_DEMOGRAPHICS, sep=";")
     counter = StepCounter("demographics")
     cleaned = counter.run(raw, H.demographics_steps())
     dim = H.build_city_demographics(cleaned)
     path = _join(output_path, "dim_city_demographics")
     write_parquet(dim, path)
     result.steps = counter.counts()
+    result.malformed = malformed_cells(seen, input_path)
     _publish_and_check(spark, {"dim_city_demographics": dim}, {"dim_city_demographics": path}, on_fail, result)
     return result
 
@@ -88,7 +102,7 @@ def process_temperature(spark: SparkSession, input_path: str, output_path: str,
                         on_fail: str = "warn") -> JobResult:
     """City temperature CSV -> ``dim_temperature``."""
     result = JobResult()
-    raw = read_csv(spark, input_path, schema=schemas.RAW_TEMPERATURE)
+    raw, seen = read_csv_counted(spark, input_path, schemas.RAW_TEMPERATURE)
     counter = StepCounter("temperature")
     cleaned = counter.run(raw, H.temperature_steps())
     # the cleaning already left one row per (dt, City, Country): no second distinct needed
@@ -96,6 +110,7 @@ def process_temperature(spark: SparkSession, input_path: str, output_path: str,
     path = _join(output_path, "dim_temperature")
     write_parquet(dim, path)
     result.steps = counter.counts()
+    result.malformed = malformed_cells(seen, input_path)
     _publish_and_check(spark, {"dim_temperature": dim}, {"dim_temperature": path}, on_fail, result)
     return result
 

@@ -20,6 +20,7 @@ object-store URI whose fsspec file system is installed on the executors.
 from __future__ import annotations
 
 import glob
+import logging
 import os
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+log = logging.getLogger(__name__)
+
 FORMAT_NAME = "portmart_sas"
 # A column of this name in the requested schema is filled with each row's file path (the scan
 # has no ``_metadata`` column).
@@ -59,8 +62,8 @@ def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-# Default file-name filters per format (None = every file).
-DEFAULT_GLOBS = {"sas7bdat": "*.sas7bdat", "xport": "*.xpt"}
+# Default file-name filters per format, in upper or lower case (None = every file).
+DEFAULT_GLOBS = {"sas7bdat": "*.[sS][aA][sS]7[bB][dD][aA][tT]", "xport": "*.[xX][pP][tT]"}
 
 
 def list_sas_files(spark: SparkSession, path: str, file_glob: str | None = None) -> list[tuple[str, int]]:
@@ -73,6 +76,13 @@ def list_sas_files(spark: SparkSession, path: str, file_glob: str | None = None)
     return sorted((r["path"], int(r["length"])) for r in rows)
 
 
+def skipped_files(spark: SparkSession, path: str, sas_format: str = "sas7bdat", file_glob: str | None = "default") -> list[str]:
+    """Files under ``path`` that ``read_sas`` leaves out, as their names do not match."""
+    glob_ = DEFAULT_GLOBS.get(sas_format.lower()) if file_glob == "default" else file_glob
+    taken = {name for name, _ in list_sas_files(spark, path, glob_)}
+    return [name for name, _ in list_sas_files(spark, path) if name not in taken]
+
+
 class _SasReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.schema = schema
@@ -165,7 +175,8 @@ def read_sas(spark: SparkSession, path: str, schema: StructType | None = None, s
              file_glob: str | None = "default", split_bytes: int | None = None) -> DataFrame:
     """Scan every SAS file under ``path`` as one table with the declared ``schema`` (A1);
     ``with_source_file`` adds the file path of each row (A12). Only files matching
-    ``file_glob`` are read (by default ``*.sas7bdat`` or ``*.xpt`` by format; None = all).
+    ``file_glob`` are read (by default ``*.sas7bdat`` or ``*.xpt`` by format, in any case; None =
+    all); the others are logged (``skipped_files``).
     XPORT files are read in byte ranges of ``split_bytes`` (default: the session's
     ``spark.sql.files.maxPartitionBytes``), so one large file is decoded by many tasks."""
     from pyspark.sql.types import StringType, StructField
@@ -179,6 +190,9 @@ def read_sas(spark: SparkSession, path: str, schema: StructType | None = None, s
     files = list_sas_files(spark, path, glob_)
     if not files:
         raise FileNotFoundError(f"no {sas_format} files under {path} matching {glob_!r}")
+    skipped = skipped_files(spark, path, sas_format, file_glob)
+    if skipped:
+        log.warning("%s: %d files do not match %r and are not read: %s", path, len(skipped), glob_, ", ".join(skipped))
     schema = schema or RAW_ARRIVALS
     if with_source_file and SOURCE_FILE_COLUMN not in schema.fieldNames():
         schema = StructType(schema.fields + [StructField(SOURCE_FILE_COLUMN, StringType())])

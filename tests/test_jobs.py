@@ -309,3 +309,44 @@ def test_arrivals_job_same_tables_with_split_scan(spark, tmp):
         tables[name] = (sorted(map(repr, fact.collect())), sorted(map(repr, dim.collect())))
     assert len(tables["whole"][0]) == 150 and len(tables["whole"][1]) == 150
     assert tables["whole"] == tables["split"]
+
+
+def test_malformed_cells_are_counted_per_column(spark, tmp_path):
+    from pyspark.sql.types import StructType
+    from portmart.plans.jobs import process_temperature
+    from portmart.sources.files import malformed_cells, read_csv_counted
+    (tmp_path / "t.csv").write_text("a;b;c\n1;2.5;x\none;2.5;y\n3;many;z\nfour;many;z\n5;;\n6;1.0\n")
+    df, seen = read_csv_counted(spark, f"{tmp_path}/t.csv", StructType.fromDDL("a int, b double, c string"), sep=";")
+    assert sorted((r["a"] or 0, r["b"] or 0.0, r["c"] or "") for r in df.collect()) == [
+        (0, 0.0, "z"), (0, 2.5, "y"), (1, 2.5, "x"), (3, 0.0, "z"), (5, 0.0, ""), (6, 1.0, "")]
+    assert malformed_cells(seen, "t.csv") == {"a": 2, "b": 2, "(record)": 1}
+    names = schemas.RAW_TEMPERATURE.fieldNames()
+    number = next(f.name for f in schemas.RAW_TEMPERATURE.fields if f.dataType.typeName() == "double")
+    row = {"dt": "2000-01-01", "City": "Rome", "Country": "Italy"}
+    lines = [",".join(names), *(",".join(row.get(n, v if n == number else "") for n in names) for v in ("12.5", "12..5"))]
+    (tmp_path / "temperature.csv").write_text("\n".join(lines) + "\n")
+    assert process_temperature(spark, f"{tmp_path}/temperature.csv", f"{tmp_path}/out").malformed == {number: 1}
+
+
+def test_sas_files_with_other_names_are_read_or_reported(spark, tmp_path):
+    from portmart.sources import sas
+    for name in ("a.sas7bdat", "B.SAS7BDAT", "c.sas7bdat.bak", "d.xpt"):
+        (tmp_path / name).write_bytes(b"x")
+    taken = [p.rsplit("/", 1)[1] for p, _ in sas.list_sas_files(spark, str(tmp_path), sas.DEFAULT_GLOBS["sas7bdat"])]
+    assert sorted(taken) == ["B.SAS7BDAT", "a.sas7bdat"]
+    assert [p.rsplit("/", 1)[1] for p in sas.skipped_files(spark, str(tmp_path))] == ["c.sas7bdat.bak", "d.xpt"]
+
+
+def test_converted_arrivals_give_the_same_tables(spark, tmp_path):
+    from portmart.plans.jobs import process_arrivals
+    rows = spark.createDataFrame([tuple(None for _ in schemas.RAW_ARRIVALS.fields)], schemas.RAW_ARRIVALS)
+    values = {"double": F.lit(5.0), "string": F.lit("A")}
+    rows = rows.select(*[values.get(f.dataType.typeName(), F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.RAW_ARRIVALS.fields])
+    rows.write.parquet(f"{tmp_path}/p")
+    rows.write.option("header", True).csv(f"{tmp_path}/c")
+    out = []
+    for kind, path in (("parquet", "p"), ("csv", "c")):
+        res = process_arrivals(spark, f"{tmp_path}/{path}", f"{tmp_path}/out_{kind}", sas_format=kind)
+        assert res.malformed == {} and res.skipped == []
+        out.append([sorted(map(str, spark.read.parquet(res.tables[t]).collect())) for t in sorted(res.tables)])
+    assert out[0] == out[1] and len(out[0][0]) == 1
