@@ -48,9 +48,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
     """``df`` without the rows whose text stays in another row; all columns are kept.
 
-    Ids are taken to name one text each. Of rows repeated with the same id and text one stays."""
-    kept = exact_groups(df, id_col, text_col, salts).filter("kept").groupBy(id_col).agg(F.count(F.lit(1)).alias("_n"))
-    same = df[id_col].eqNullSafe(kept[id_col])
+    Rows are found by id and digest together, as an id (or null) may stand with several texts. Of
+    rows repeated with the same id and text one stays."""
+    kept = exact_groups(df, id_col, text_col, salts).filter("kept").groupBy(id_col, "text_sha256").agg(F.count(F.lit(1)).alias("_n"))
+    digest = F.sha2(F.coalesce(df[text_col].cast("string"), F.lit("")), 256)
+    same = df[id_col].eqNullSafe(kept[id_col]) & (digest == kept["text_sha256"])
     once = df.join(kept.filter("_n = 1"), same, "left_semi")
     repeated = df.join(kept.filter("_n > 1"), same, "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(repeated)

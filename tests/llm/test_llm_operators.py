@@ -85,6 +85,12 @@ def test_exact_dedup_drops_copies_and_repeated_rows(spark):
     assert exact_dedup.drop_copies(df.limit(0)).count() == exact_dedup.exact_groups(df.limit(0)).count() == 0
 
 
+def test_exact_dedup_of_ids_that_stand_with_several_texts(spark):
+    rows = [(5, "A"), (9, "A"), (5, "B"), (None, "A"), (None, "C")]
+    out = exact_dedup.drop_copies(table(spark, rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out) == [(0, "C"), (5, "B"), (9, "A")]
+
+
 # --- 2 n-gram join
 
 def shingles(text, k=5):
