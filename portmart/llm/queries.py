@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portmart.llm import chat_format as chat
-from portmart.llm import decontaminate, exact_dedup, license_scan, ngram_join, pieces, quality, substring_dedup, token_files, url_filter
+from portmart.llm import alignment, decontaminate, exact_dedup, license_scan, ngram_join, pieces, quality, substring_dedup, token_files, url_filter
 from portmart.llm.staging import staged
 from portmart.session import staging_path
 
@@ -87,9 +87,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_MODEL)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_ngram_jaccard_join, op3_substring_dedup, op4_sentencepiece, op5_token_files, op6_quality_classifier,
-    op7_decontamination, op8_license_scan, op9_chat_format, op10_url_filter)}
+    op7_decontamination, op8_license_scan, op9_chat_format, op10_url_filter,
+    op11_cross_tokenizer_alignment)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
