@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portmart.llm import chat_format as chat
-from portmart.llm import alignment, decontaminate, exact_dedup, license_scan, ngram_join, pieces, quality, substring_dedup, token_files, url_filter
+from portmart.llm import alignment, decontaminate, exact_dedup, license_scan, ngram_join, pieces, quality, setsketch, substring_dedup, token_files, url_filter
 from portmart.llm.staging import staged
 from portmart.session import staging_path
 
@@ -91,33 +91,42 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return alignment.align(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_MODEL)
 
 
+def op12_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_classes(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_ngram_jaccard_join, op3_substring_dedup, op4_sentencepiece, op5_token_files, op6_quality_classifier,
     op7_decontamination, op8_license_scan, op9_chat_format, op10_url_filter,
-    op11_cross_tokenizer_alignment)}
+    op11_cross_tokenizer_alignment, op12_setsketch_near_dedup)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-ORACLE_SQL = {
-    "op1_exact_dedup": """
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
-        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
-    "op2_ngram_jaccard_join": f"""
+def _links_sql(shingle: int, percent: int) -> str:
+    """(doc_id, n_shingles, component_id) of documents that links of their shingle sets connect."""
+    return f"""
         WITH RECURSIVE docs AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
         w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM docs),
-        g AS (SELECT doc_id, list(word) OVER five AS run FROM w
-              WINDOW five AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
-        s AS (SELECT DISTINCT doc_id, array_to_string(run, ' ') AS s FROM g WHERE len(run) = 5
-              UNION SELECT doc_id, array_to_string(ws, ' ') FROM docs WHERE len(ws) BETWEEN 1 AND 4),
+        g AS (SELECT doc_id, list(word) OVER next AS run FROM w
+              WINDOW next AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {shingle - 1} FOLLOWING)),
+        s AS (SELECT DISTINCT doc_id, array_to_string(run, ' ') AS s FROM g WHERE len(run) = {shingle}
+              UNION SELECT doc_id, array_to_string(ws, ' ') FROM docs WHERE len(ws) BETWEEN 1 AND {shingle - 1}),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
-        e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        e AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
         r AS (SELECT doc_id, doc_id AS to_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.to_id = e.a)
         SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.component_id
         FROM documents d LEFT JOIN n USING (doc_id)
-        JOIN (SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)""",
+        JOIN (SELECT doc_id, min(to_id) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)"""
+
+
+ORACLE_SQL = {
+    "op1_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+               doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op2_ngram_jaccard_join": _links_sql(5, 75),
     "op3_substring_dedup": """
         WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
         w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM docs),
@@ -139,6 +148,7 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
                CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM f GROUP BY conv_id""",
+    "op12_setsketch_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({_links_sql(4, 80)})",
     "op10_url_filter": f"""
         WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
         h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
