@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portmart.llm import chat_format as chat
-from portmart.llm import alignment, decontaminate, exact_dedup, license_scan, ngram_join, pieces, quality, setsketch, substring_dedup, token_files, url_filter
+from portmart.llm import alignment, collocations, decontaminate, exact_dedup, license_scan, ngram_join, pieces, quality, setsketch, substring_dedup, token_files, url_filter
 from portmart.llm.staging import staged
 from portmart.session import staging_path
 
@@ -95,10 +95,14 @@ def op12_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_classes(_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_ngram_jaccard_join, op3_substring_dedup, op4_sentencepiece, op5_token_files, op6_quality_classifier,
     op7_decontamination, op8_license_scan, op9_chat_format, op10_url_filter,
-    op11_cross_tokenizer_alignment, op12_setsketch_near_dedup)}
+    op11_cross_tokenizer_alignment, op12_setsketch_near_dedup, op13_collocations)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -149,6 +153,32 @@ ORACLE_SQL = {
                CAST(sum(chars) AS BIGINT) AS formatted_chars
         FROM f GROUP BY conv_id""",
     "op12_setsketch_near_dedup": f"SELECT *, doc_id = component_id AS kept FROM ({_links_sql(4, 80)})",
+    "op13_collocations": f"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS row,
+                          regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]') AS pieces FROM documents),
+        q AS (SELECT lang, row, generate_subscripts(pieces, 1) AS piece, unnest(pieces) AS said FROM p),
+        v AS (SELECT lang, row, piece, regexp_extract_all(said, '[^\\x20\\x09]+') AS ws FROM q),
+        w AS (SELECT lang, row, piece, generate_subscripts(ws, 1) AS i, unnest(ws) AS w1 FROM v),
+        g AS (SELECT lang, w1, lead(w1, 1) OVER o AS w2, lead(w1, 2) OVER o AS w3, lead(w1, 3) OVER o AS w4, lead(w1, 4) OVER o AS w5
+              FROM w WINDOW o AS (PARTITION BY row, piece ORDER BY i)),
+        s AS (SELECT lang, 1 AS k, w1 AS phrase FROM g
+              UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM g WHERE w2 IS NOT NULL
+              UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM g WHERE w3 IS NOT NULL
+              UNION ALL SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM g WHERE w4 IS NOT NULL
+              UNION ALL SELECT lang, 5, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 FROM g WHERE w5 IS NOT NULL),
+        f AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS f FROM s GROUP BY lang, k, phrase HAVING count(*) >= 100),
+        n AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+        c AS (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k > 1),
+        d AS (SELECT c.lang, c.phrase, c.ws, c.f AS a, x.f AS l, y.f AS r, n.n, j,
+                     (1000::HUGEINT * c.f * n.n) // (x.f::HUGEINT * y.f) AS score
+              FROM c JOIN n USING (lang) JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[:j], ' ')
+              JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[j + 1:], ' ')),
+        e AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        z AS (SELECT * FROM e WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.lang = e.lang AND len(f.ws) > len(e.ws) AND f.f >= e.a
+                                                AND contains(' ' || f.phrase || ' ', ' ' || e.phrase || ' '))),
+        o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n,
+                     CAST(score AS BIGINT) AS score FROM z)
+        SELECT * FROM o WHERE rank <= 2000""",
     "op10_url_filter": f"""
         WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
         h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
