@@ -30,6 +30,7 @@ gives an empty table; extra columns are ignored. 64-bit hashes decide equality o
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,7 +47,7 @@ MAX_WORDS = 5
 MIN_COUNT = 100
 TOP = 2000
 SHARDS = 2
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 FAN = 256
 _NEVER = 99
 
@@ -77,70 +78,56 @@ class Chunk:
         self.langs = langs
 
     @classmethod
-    def read(cls, texts: list[tuple[str, bytes]]) -> "Chunk":
-        """From (language, text)s."""
-        langs = sorted({lang for lang, _ in texts})
-        self, number = cls(langs), {lang: i for i, lang in enumerate(langs)}
-        seeds = np.array([int.from_bytes(_lang_seed(lang), "little") for lang in langs] or [0], np.uint64)
-        hashes, seqs, names = [], [], {}
-        raw = [t for _, t in texts]
-        of_row = np.array([number[lang] for lang, _ in texts], np.int64)
-        offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])]).astype(np.int64)
+    def read(cls, langs: list[str], of_row: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> "Chunk":
+        """From the bytes of texts, and the number of each one's language in ``langs``."""
+        self = cls(langs)
+        seeds = np.array([int.from_bytes(hashlib.sha256(lang.encode()).digest()[:8], "little") for lang in langs], np.uint64)
+        found, seqs = [], []
         for a, b in X.blocks(offsets):
-            data = X.LOWER[np.frombuffer(b"".join(raw[a:b]), np.uint8)]
-            cuts = offsets[a:b + 1] - offsets[a]
-            start, end, piece = phrase_words(data, cuts)
+            part, cuts = X.LOWER[data[offsets[a]:offsets[b]]], offsets[a:b + 1] - offsets[a]
+            start, end, piece = phrase_words(part, cuts)
             if not len(start):
                 continue
             lang = of_row[a + np.searchsorted(cuts, start, "right") - 1]
-            h = X.mix(X.word_hashes(data, start, end) ^ seeds[lang])
-            own, at, which = np.unique(h, return_index=True, return_inverse=True)
-            blob = data.tobytes()
-            for x, i, p, q in zip(own.tolist(), lang[at].tolist(), start[at].tolist(), end[at].tolist()):
-                if x not in names:
-                    names[x] = (i, blob[p:q])
-            gap = np.diff(piece, prepend=-1) != 0
-            place = np.arange(len(h)) + np.cumsum(gap)
+            h = X.mix(X.word_hashes(part, start, end) ^ seeds[lang])
+            own, at = np.unique(h, return_index=True)
+            found.append((own, lang[at], start[at] + offsets[a], end[at] - start[at]))
+            place = np.arange(len(h)) + np.cumsum(np.diff(piece, prepend=-1) != 0)
             seq = np.zeros(int(place[-1]) + 1, np.uint64)
-            seq[place] = own[which]
+            seq[place] = h
             seqs.append(seq)
-            hashes.append(own)
-        self.hashes = np.unique(np.concatenate([*hashes, np.zeros(0, np.uint64)]))
-        seq = np.concatenate([*seqs, np.zeros(1, np.uint64)])
-        self.seq = np.where(seq == 0, 0, np.searchsorted(self.hashes, seq) + 1).astype(np.uint32)
-        known = [names[x] for x in self.hashes.tolist()]
-        self.lang = np.array([i for i, _ in known], np.uint32)
-        self.names = [w for _, w in known]
+        none = (np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3)
+        own, lang, start, size = (np.concatenate(c) for c in zip(*found, none))
+        self.hashes, at = np.unique(own, return_index=True)
+        self.lang, start, size = lang[at], start[at], size[at]
+        self.ends = np.cumsum(size)
+        self.names = X.LOWER[data[np.repeat(start - (self.ends - size), size) + np.arange(self.ends[-1] if len(at) else 0)]]
+        self.seq = np.concatenate([*[np.where(q == 0, 0, np.searchsorted(self.hashes, q) + 1).astype(np.uint32) for q in seqs], np.zeros(1, np.uint32)])
         return self
 
     def pack(self) -> bytes:
-        sizes = np.array([len(w) for w in self.names], np.uint32)
-        parts = [pack(self.hashes, self.lang, sizes), pack(np.frombuffer(b"".join(self.names), np.uint8)), pack(self.seq)]
-        head = np.array([len(p) for p in parts], "<u8").tobytes()
-        return head + b"".join(parts)
+        parts = [pack(self.hashes, self.lang.astype(np.uint32), np.diff(self.ends, prepend=0).astype(np.uint32)), pack(self.names), pack(self.seq)]
+        return np.array([len(p) for p in parts], "<u8").tobytes() + b"".join(parts)
 
     @classmethod
     def unpack(cls, langs: list[str], data: bytes, names: bool = False) -> "Chunk":
         self = cls(langs)
         a, b, _ = np.frombuffer(data, "<u8", 3).tolist()
-        self.hashes, self.lang, sizes = unpack(data[24:24 + a])
-        self.seq = unpack(data[24 + a + b:])[0].astype(np.int64)
-        if names:
-            blob, end = unpack(data[24 + a:24 + a + b])[0].tobytes(), np.cumsum(sizes).tolist()
-            self.names = [blob[p:q] for p, q in zip([0, *end], end)]
+        self.hashes, self.lang, size = unpack(data[24:24 + a])
+        self.ends = np.cumsum(size.astype(np.int64))
+        self.seq = unpack(data[24 + a + b:])[0]
+        self.names = unpack(data[24 + a:24 + a + b])[0] if names else None
         return self
 
+    def phrase(self, at: int, k: int) -> str:
+        words = [int(i) - 1 for i in self.seq[at:at + k]]
+        return b" ".join(self.names[self.ends[i - 1] if i else 0:self.ends[i]].tobytes() for i in words).decode("utf-8", "replace")
+
     def lang_counts(self) -> list[tuple[str, int]]:
         per = np.bincount(np.concatenate([[len(self.langs)], self.lang])[self.seq], minlength=len(self.langs) + 1)
         return [(lang, int(per[i])) for i, lang in enumerate(self.langs)]
 
 
-def _lang_seed(lang: str) -> bytes:
-    import hashlib
-
-    return hashlib.sha256(lang.encode()).digest()[:8]
-
-
 def _keys(sums: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
     return X.mix(X.between(sums, at, at + k, X.BASES[2]) + np.uint64(k))
 
@@ -304,24 +291,17 @@ def _chunked(chunk_bytes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        texts: list[tuple[str, bytes]] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            chunk = Chunk.read(texts)
-            counts = [{"lang": lang, "n": n} for lang, n in chunk.lang_counts()]
-            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([chunk.langs], pa.list_(pa.string())),
-                                               pa.array([counts], pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))),
-                                               pa.array([chunk.pack()], pa.binary())], names=["name", "langs", "counts", "data"])
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if size and size + len(text) > chunk_bytes:
-                    yield out()
-                    texts, size, number = [], 0, number + 1
-                texts.append((lang, text))
-                size += len(text)
-        if size:
-            yield out()
+            said = batch.column(0).dictionary_encode()
+            langs, of_row = said.dictionary.to_pylist(), said.indices.to_numpy()
+            data, offsets = X.column_bytes(batch.column(1))
+            for a, b in X.blocks(offsets, chunk_bytes):
+                chunk = Chunk.read(langs, of_row[a:b], data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+                counts = [{"lang": lang, "n": n} for lang, n in chunk.lang_counts()]
+                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([langs], pa.list_(pa.string())),
+                                                  pa.array([counts], pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))),
+                                                  pa.array([chunk.pack()], pa.binary())], names=["name", "langs", "counts", "data"])
+                number += 1
     return run
 
 
@@ -373,8 +353,7 @@ def _named(chunks: pa.Table, told: pa.Table) -> pa.Table:
                 key, first = np.unique(keys, return_index=True)
                 found = lookup(mine[k][0], key)
                 for x, p in zip(mine[k][0].view(np.int64).tolist(), at[first[found]].tolist()):
-                    word = chunk.seq[p:p + k] - 1
-                    rows.append((x, k, langs[chunk.lang[word[0]]], b" ".join(chunk.names[w] for w in word.tolist()).decode("utf-8", "replace")))
+                    rows.append((x, k, langs[chunk.lang[int(chunk.seq[p]) - 1]], chunk.phrase(int(p), k)))
     types = (pa.int64(), pa.int32(), pa.string(), pa.string())
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["key", "k", "lang", "phrase"])
 
