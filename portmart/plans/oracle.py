@@ -317,6 +317,23 @@ ORACLE_SQL["arrivals_refresh"] = """
            nullif(count(*) FILTER (gender = 'F'), 0) AS "F", nullif(count(*) FILTER (gender = 'M'), 0) AS "M"
     FROM k GROUP BY state_code"""
 
+ORACLE_SQL["month_publish"] = """
+    WITH a AS (
+        SELECT o_orderkey, c_mktsegment AS state_code,
+               CASE o_orderstatus WHEN 'F' THEN 'F' WHEN 'O' THEN 'M' END AS gender, year(o_orderdate) AS y, month(o_orderdate) AS m
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
+    k AS (SELECT * FROM a WHERE NOT (y = 1995 AND m = 2) OR coalesce(gender = 'M', FALSE)
+          OR NOT EXISTS (SELECT 1 FROM a WHERE y = 1995 AND m = 2 AND gender = 'M'))
+    SELECT state_code, count(*) AS arrivals, count(*) AS immigrants,
+           nullif(count(*) FILTER (gender = 'F'), 0) AS "F", nullif(count(*) FILTER (gender = 'M'), 0) AS "M"
+    FROM k GROUP BY state_code"""
+
+ORACLE_SQL["mart_kept_visa"] = """
+    WITH a AS (SELECT split_part(o_orderpriority, '-', -1) AS visa_type, o_orderstatus AS s, year(o_orderdate) AS y, month(o_orderdate) AS m FROM orders),
+    k AS (SELECT * FROM a WHERE y <> 1994 OR s = 'F' OR NOT EXISTS (SELECT 1 FROM a b WHERE b.y = 1994 AND b.m = a.m AND b.s = 'F'))
+    SELECT visa_type, nullif(count(*) FILTER (s = 'F'), 0) AS "F", nullif(count(*) FILTER (s = 'O'), 0) AS "M"
+    FROM k WHERE s IN ('F', 'O') GROUP BY 1"""
+
 ORACLE_SQL["arrivals_by_visa"] = """
     SELECT split_part(o_orderpriority, '-', -1) AS visa_type,
            nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS "F", nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS "M"

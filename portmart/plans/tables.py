@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portmart.functions import month_of, parse_date, sas_day_to_iso, year_of
@@ -141,18 +141,30 @@ def build_immigrant_dim(df: DataFrame, unique_on_key: bool = True, with_id: bool
     return rename_columns(out, IMMIGRANT_RENAMES)
 
 
-def clean_month_arrivals(df: DataFrame) -> DataFrame:
-    """H1 for tables kept by month: one row per (cicid, i94yr, i94mon); rows without one of them
-    belong to no month and go."""
-    return dedup_first(drop_columns(df, ARRIVALS_SPARSE_COLUMNS), ["cicid", "i94yr", "i94mon"], drop_null_keys=True)
+def clean_month_arrivals(df: DataFrame, drop_null_keys: bool = True) -> DataFrame:
+    """H1 for tables kept by month: one row per (cicid, i94yr, i94mon). Rows without one of them go, or are
+    kept, one per combination, without ``drop_null_keys``."""
+    return dedup_first(drop_columns(df, ARRIVALS_SPARSE_COLUMNS), ["cicid", "i94yr", "i94mon"], drop_null_keys=drop_null_keys)
 
 
-def month_id(cicid: str, year: str, month: str):
-    """A unique id from the natural key: the month's number above 40 bits of cicid."""
-    key = F.col(cicid).cast("long")
-    fits = (key.cast("double") == F.col(cicid)) & key.between(0, (1 << 40) - 1)
-    number = (F.col(year) * 12 + F.col(month) - 1).cast("long")
-    return F.when(fits, F.shiftleft(number, 40) + key).otherwise(F.raise_error(F.lit("cicid is no whole number under 2^40")).cast("long"))
+def month_id(cicid: str, year: str, month: str) -> Column:
+    """An id from the natural key. Whole numbers of a month below 2^40: the month's number above 40
+    bits of cicid. Any other key (missing, fractional, negative, larger): a negative number by its hash;
+    ``require_unique_ids`` makes sure that no two of those agree."""
+    key, y, m = F.col(cicid).try_cast("long"), F.col(year).try_cast("long"), F.col(month).try_cast("long")
+    whole = (key.cast("double") == F.col(cicid)) & key.between(0, (1 << 40) - 1)
+    whole = whole & (y.cast("double") == F.col(year)) & y.between(0, 100_000) & (m.cast("double") == F.col(month)) & m.between(1, 12)
+    said = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("none")) for c in (cicid, year, month)])
+    other = -1 - F.xxhash64(said).bitwiseAND(F.lit((1 << 62) - 1))
+    return F.when(whole, F.shiftleft(y * 12 + m - 1, 40) + key).otherwise(other)
+
+
+def require_unique_ids(cleaned: DataFrame) -> None:
+    """Raise if two keys that have hashed ids share one (few rows have such keys; the others' ids are
+    unique by construction)."""
+    odd = cleaned.select(month_id("cicid", "i94yr", "i94mon").alias("id")).filter("id < 0")
+    if not odd.groupBy("id").count().filter("count > 1").isEmpty():
+        raise ValueError("two arrivals without a regular key share an id")
 
 
 def build_month_fact(df: DataFrame) -> DataFrame:
