@@ -59,22 +59,26 @@ def equi_join(left: DataFrame, right: DataFrame, on: "str | Sequence[str] | Colu
 
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: "str | Column", dim_key: str,
                 how: str = "left", max_dim_rows: int = DEFAULT_BROADCAST_ROWS,
-                keep_dim_key: bool = False) -> DataFrame:
+                keep_dim_key: bool = False, unique: bool = False) -> DataFrame:
     """Fact left-joined to a lookup dimension on ``fact_key = dim_key``.
 
-    The dimension is broadcast when proven small, so the fact is never shuffled for it. The job that
-    counts it counts its keys too: a code that stands twice would double fact rows and raises. A
-    dimension whose size estimate is already large is not scanned for it and joined plainly.
+    The dimension's keys are counted whatever its size: a code that stands twice would double fact rows
+    and raises. ``unique=True`` says that they are known to be unique (the dimension is grouped by them, or was
+    checked by ``keychecks``), and no job is run for it. A dimension that is small by estimate and count is broadcast,
+    so the fact is never shuffled for it; any other is joined plainly.
     Keys of different types are compared after casting the dimension key to the fact key's
     type by the caller (see ``code_text``).
     """
+    from portmart.operators.keychecks import require_unique
+
     fk = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    side, est = dim, estimated_bytes(dim)
-    if est is None or est <= DEFAULT_BROADCAST_BYTES:
-        n, keys, distinct = dim.agg(F.count(F.lit(1)), F.count(dim_key), F.count_distinct(dim_key)).first()
-        if keys != distinct:
-            raise ValueError(f"{dim_key} is not unique: {keys - distinct} rows repeat a code")
-        side = F.broadcast(dim) if n <= max_dim_rows else dim
+    est = estimated_bytes(dim)
+    small = est is None or est <= DEFAULT_BROADCAST_BYTES
+    if unique:
+        side = broadcast_if_small(dim, max_dim_rows)
+    else:
+        n = require_unique(dim, dim_key)
+        side = F.broadcast(dim) if small and n <= max_dim_rows else dim
     out = fact.join(side, fk == side[dim_key], how)
     return out if keep_dim_key else out.drop(side[dim_key])
 

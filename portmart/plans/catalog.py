@@ -674,7 +674,34 @@ def mart_kept_visa(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.kept_arrivals_by_visa_gender(M.arrival_months(spark, out))
 
 
+def key_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and references of the star with planted faults: three nations stand twice, customers of the last
+    nations point at none (G1-G3 over D2-D6)."""
+    from portmart.operators.keychecks import Key, Reference, key_report
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey")
+    twice = nation.unionByName(nation.filter("n_nationkey < 3"))
+    customer = _t(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") + 5).alias("nation"))
+    orders, li = _t(spark, sf_dir, "orders"), _t(spark, sf_dir, "lineitem")
+    nations, customers, order = Key("nation", twice, ["n_nationkey"]), Key("customer", customer, ["c_custkey"]), Key("orders", orders, ["o_orderkey"])
+    return key_report([nations, customers, order, Key("lineitem", li, ["l_orderkey", "l_linenumber"])], [
+        Reference(Key("customer", customer, ["nation"]), nations), Reference(Key("orders", orders, ["o_custkey"]), customers),
+        Reference(Key("lineitem", li, ["l_orderkey"]), order)])
+
+
+def star_copartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders joined to their customers from tables stored by customer key: no exchange on either side, orders
+    of a hot customer beside the buckets (D1)."""
+    import uuid
+    from portmart.sinks.copartitioned import copartitioned_join, write_copartitioned
+    name = uuid.uuid4().hex
+    fact = write_copartitioned(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), staging_path(spark, "orders-by-customer"), f"orders_{name}", "o_custkey")
+    dim = write_copartitioned(_t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), staging_path(spark, "customers"), f"customer_{name}", "c_custkey", fact.buckets)
+    return copartitioned_join(fact, dim, ["o_orderkey", "o_orderpriority"], ["c_custkey", "c_mktsegment"])
+
+
 QUERIES = {
+    "key_report": key_report_query,
+    "star_copartitioned": star_copartitioned,
     "month_publish": month_publish,
     "mart_kept_visa": mart_kept_visa,
     "arrivals_refresh": arrivals_refresh,

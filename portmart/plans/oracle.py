@@ -317,6 +317,33 @@ ORACLE_SQL["arrivals_refresh"] = """
            nullif(count(*) FILTER (gender = 'F'), 0) AS "F", nullif(count(*) FILTER (gender = 'M'), 0) AS "M"
     FROM k GROUP BY state_code"""
 
+ORACLE_SQL["star_copartitioned"] = "SELECT o_orderkey, o_orderpriority, c_custkey, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey"
+
+
+def _unique(table: str, key: str, source: str) -> str:
+    whole = " AND ".join(f"{k} IS NOT NULL" for k in key.split(", "))
+    return f"""
+    SELECT '{table}' AS table_name, 'unique({key})' AS check_name, count(*) FILTER (n > 1) = 0 AS passed, count(*) AS keys,
+           count(*) FILTER (n > 1) AS bad_keys, CAST(sum(n - 1) AS BIGINT) AS bad_rows,
+           (SELECT count(*) FROM {source} WHERE NOT ({whole})) AS null_rows
+    FROM (SELECT count(*) AS n FROM {source} WHERE {whole} GROUP BY {key})"""
+
+
+def _refers(child: str, key: str, source: str, parent: str, parent_key: str, parent_source: str) -> str:
+    return f"""
+    SELECT '{child}', 'refers({key} -> {parent}.{parent_key})', count(*) FILTER (orphan) = 0, count(*), count(*) FILTER (orphan),
+           CAST(coalesce(sum(n) FILTER (orphan), 0) AS BIGINT), (SELECT count(*) FROM {source} WHERE {key} IS NULL)
+    FROM (SELECT {key}, count(*) AS n, {key} NOT IN (SELECT {parent_key} FROM {parent_source} WHERE {parent_key} IS NOT NULL) AS orphan
+          FROM {source} WHERE {key} IS NOT NULL GROUP BY {key})"""
+
+
+ORACLE_SQL["key_report"] = """
+WITH nations AS (SELECT n_nationkey FROM nation UNION ALL SELECT n_nationkey FROM nation WHERE n_nationkey < 3),
+customers AS (SELECT c_custkey, c_nationkey + 5 AS nation FROM customer)""" + " UNION ALL ".join([
+    _unique("nation", "n_nationkey", "nations"), _unique("customer", "c_custkey", "customers"), _unique("orders", "o_orderkey", "orders"),
+    _unique("lineitem", "l_orderkey, l_linenumber", "lineitem"), _refers("customer", "nation", "customers", "nation", "n_nationkey", "nations"),
+    _refers("orders", "o_custkey", "orders", "customer", "c_custkey", "customers"), _refers("lineitem", "l_orderkey", "lineitem", "orders", "o_orderkey", "orders")])
+
 ORACLE_SQL["month_publish"] = """
     WITH a AS (
         SELECT o_orderkey, c_mktsegment AS state_code,

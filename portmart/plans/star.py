@@ -51,7 +51,7 @@ def fact_with_state_demographics(fact: DataFrame, dim_city_demographics: DataFra
     """fact ⟕ state-level demographics on state_code, aggregated first so the fact does not fan
     out (D5)."""
     per_state = stage(state_demographics(dim_city_demographics).withColumnRenamed("state_code", "_sc"))
-    return lookup_join(fact, per_state, "state_code", "_sc")
+    return lookup_join(fact, per_state, "state_code", "_sc", unique=True)  # grouped by state
 
 
 def monthly_readings(dim_temperature: DataFrame, country: str) -> DataFrame:
