@@ -18,7 +18,8 @@ when 100 * |A and B| >= PERCENT * |A or B|; a class is what links connect.
    links contract the members, so a group of copies of any size is few classes after as many checks as members.
 5. Bands that still hold several classes are compared in blocks of BLOCK members: members outside the
    band's largest class against all members of other classes, within the task that holds the block. A pair is judged
-   in its first common band only, and only pairs that pass the estimate leave the task, to be verified.
+   in its first common band only, and only pairs that pass the estimate leave the task, to be verified. First each
+   member's BEST candidates of a block are, and what links contracts the classes; then all that are left.
 
 Defined cases: null and empty texts have no shingles and no links; repeated rows share a class, and so
 do the texts of one id that is the least of their sets; a null id is a class of its own and links nothing; very long texts are sets as
@@ -48,6 +49,7 @@ RATE = 20.0
 BANDS, ROWS = 48, 4
 DOUBT = 16.0
 BLOCK = 1024
+BEST = 2
 BATCH_BYTES = 4 << 20
 TASK_ROWS = 20_000
 
@@ -179,30 +181,37 @@ def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
 
 
-def _compare(rows: pa.Table) -> pa.Table:
-    """Pairs (a < b) of different classes that the estimate leaves, within the blocks of one task."""
-    band, block = rows.column("band").to_numpy(), rows.column("block").to_numpy()
-    rep, part, size = rows.column("rep").to_numpy(), rows.column("component").to_numpy(), rows.column("n").to_numpy()
-    query, number = rows.column("query").to_numpy(), rows.column("number").to_numpy()
-    own = _read_registers(rows.column("registers"))
-    order = np.lexsort((query, block, band))
-    heads = np.flatnonzero(np.concatenate([[True], (np.diff(band[order]) != 0) | (np.diff(block[order]) != 0)]))
-    found = [np.zeros((0, 2), np.int64)]
-    for a, b in zip(heads, [*heads[1:], len(order)]):
-        mine = order[a:b]
-        points, queries = mine[~query[mine]], mine[query[mine]]
-        for q in queries:
-            near = points[part[points] != part[q]]
-            if not len(near):
-                continue
-            same = own[near, :BANDS * ROWS] == own[q, :BANDS * ROWS]
-            first = same.reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
-            near = near[first == number[q]]
-            if len(near):
-                near = near[likely(size[near], np.full(len(near), size[q]), (own[near] > own[q]).sum(axis=1), (own[near] < own[q]).sum(axis=1))]
-                found.append(np.sort(np.stack([rep[near], np.full(len(near), rep[q])], axis=1), axis=1))
-    pairs = np.unique(np.concatenate(found), axis=0)
-    return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+def _compare(best: int | None):
+    """Group function: pairs (a < b) of different classes that the estimate leaves, within the blocks of one
+    task; of each query only the ``best`` likeliest in a block, if given."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        band, block = rows.column("band").to_numpy(), rows.column("block").to_numpy()
+        rep, part, size = rows.column("rep").to_numpy(), rows.column("component").to_numpy(), rows.column("n").to_numpy()
+        query, number = rows.column("query").to_numpy(), rows.column("number").to_numpy()
+        own = _read_registers(rows.column("registers"))
+        order = np.lexsort((query, block, band))
+        heads = np.flatnonzero(np.concatenate([[True], (np.diff(band[order]) != 0) | (np.diff(block[order]) != 0)]))
+        found = [np.zeros((0, 2), np.int64)]
+        for a, b in zip(heads, [*heads[1:], len(order)]):
+            mine = order[a:b]
+            points, queries = mine[~query[mine]], mine[query[mine]]
+            for q in queries:
+                near = points[part[points] != part[q]]
+                if not len(near):
+                    continue
+                same = own[near] == own[q]
+                first = same[:, :BANDS * ROWS].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
+                at = np.flatnonzero(first == number[q])
+                if best is not None and len(at) > best:
+                    at = at[np.lexsort((rep[near[at]], -same[at].sum(axis=1)))[:best]]
+                near = near[at]
+                if len(near):
+                    near = near[likely(size[near], np.full(len(near), size[q]), (own[near] > own[q]).sum(axis=1), (own[near] < own[q]).sum(axis=1))]
+                    found.append(np.sort(np.stack([rep[near], np.full(len(near), rep[q])], axis=1), axis=1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    return run
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -212,8 +221,9 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def _open_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame | None) -> DataFrame | None:
-    """Pairs of different classes in one band that the estimate leaves; None if no band has two classes."""
+def _open_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame | None, best: int | None) -> DataFrame | None:
+    """Pairs of different classes in one band that the estimate leaves (of each member the ``best`` in a block, if
+    given); None if no band has two classes."""
     of = _labelled(members, labels)
     per = of.groupBy("band", "component").agg(F.count(F.lit(1)).alias("c"))
     main = per.groupBy("band").agg(F.max(F.struct("c", "component")).alias("_m"), F.sum("c").alias("m"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
@@ -228,7 +238,7 @@ def _open_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame | None) -
     both = data.unionByName(asks).join(reps.select("rep", "n", "registers"), "rep")
     tasks = max(partitions(members.sparkSession), -(-rows // TASK_ROWS))
     both = both.withColumn("task", F.pmod(F.xxhash64("band", "block"), F.lit(tasks)).cast("int"))
-    return both.groupBy("task").applyInArrow(_compare, "a long, b long").distinct()
+    return both.groupBy("task").applyInArrow(_compare(best), "a long, b long").distinct()
 
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -242,18 +252,23 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     dealt = reps.select("rep", F.explode(band).alias("_b")).select("rep", "_b.number", "_b.band")
     shared = dealt.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("m")).filter("m > 1")
     members = staged(dealt.join(shared.select("band", "pivot"), "band"), "bands")
-    asked = members.select("rep").distinct()
-    texts = docs.withColumnRenamed("_id", "rep").join(asked, "rep", "left_semi").mapInArrow(_whole_sets, "rep long, digest binary, hashes binary")
+    texts = docs.withColumnRenamed("_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi").mapInArrow(_whole_sets, "rep long, digest binary, hashes binary")
     whole = texts.join(reps.select("rep", F.col("digest").alias("_d")), "rep").filter("digest = _d").groupBy("rep", "digest").agg(F.first("hashes").alias("hashes"))
     whole = staged(whole, "sets")
     near = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    links = staged(_verified(_estimated(near, reps), whole), "links")
+    asked = staged(_estimated(near, reps), "pairs")
+    links = staged(_verified(asked, whole), "links")
     labels = components(links)
-    pairs = _open_pairs(members.select("band", "number", "rep"), reps, labels)
-    if pairs is not None:
+    for best in (BEST, None):
+        pairs = _open_pairs(members.select("band", "number", "rep"), reps, labels, best)
+        if pairs is None:
+            break
+        pairs = staged(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")  # what was verified before did not link
         more = staged(_verified(pairs, whole), "links")
+        asked = asked.unionByName(pairs)
         if not more.isEmpty():
-            labels = components(links.unionByName(more))
+            links = links.unionByName(more)
+            labels = components(links)
     named = _labelled(reps.select("digest", "rep"), labels).select("digest", "component")
     out = points.select("doc_id", "n", "digest").join(named, "digest", "left")
     one = F.coalesce("component", "doc_id")
