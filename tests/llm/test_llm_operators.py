@@ -141,15 +141,53 @@ def test_tree_bound_loses_nothing():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 300).astype(np.uint64)
     sets = [np.unique(np.where(rng.random(300) < e, rng.integers(0, 1 << 63, 300).astype(np.uint64), base)) for e in np.linspace(0, 0.6, 120)]
-    counts, excess = ngram_join._read_points([ngram_join.point(s) for s in sets])
+    sets += [np.unique(s[:n]) for n in (1, 3, 200, 260, 290) for s in sets[:6]] + [np.unique(np.concatenate([sets[0], sets[i][:60]])) for i in (50, 90)]
     size = np.array([len(s) for s in sets])
-    tree = ngram_join.RTree(counts, excess, size)
+    points = ngram_join.Points.read([ngram_join.point(s) for s in sets], size)
+    tree = ngram_join.RTree(points)
+    assert len(tree.levels) > 1
+    excluded = 0
     for i, s in enumerate(sets):
-        near = set(tree.probe(counts[i], int(excess[i]), int(size[i]))[0].tolist())
+        query = ngram_join.Query(points, i)
+        near = set(tree.probe(query)[0].tolist())
+        bounds = query.bounds(points, np.arange(len(sets)))
         for j, t in enumerate(sets):
             both = len(np.intersect1d(s, t))
+            assert both <= bounds[j]
             if 100 * both >= 75 * (len(s) + len(t) - both):
                 assert j in near
+            else:
+                excluded += j not in near
+    assert excluded > 0.8 * sum(100 * (n := len(np.intersect1d(s, t))) < 75 * (len(s) + len(t) - n) for s in sets for t in sets)
+
+
+@pytest.mark.parametrize("size", [2_000, 8_000, 20_000])
+def test_bound_excludes_large_strangers(size):
+    """The number of groups follows the set: sets without a common member are told apart at any size."""
+    rng = np.random.default_rng(size)
+    sets = [np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64)) for _ in range(6)]
+    points = ngram_join.Points.read([ngram_join.point(s) for s in sets], np.array([len(s) for s in sets]))
+    pairs = [(i, j) for i in range(6) for j in range(i)]
+    assert not ngram_join.may_link(points, *np.array(pairs).T).any()
+
+
+def test_links_that_only_the_trees_find(spark, monkeypatch):
+    """Variants of one text that do not all link to the least one: the pivot's links are not enough."""
+    found_by = []
+    plain = ngram_join._tree_pairs
+    monkeypatch.setattr(ngram_join, "_tree_pairs", lambda *a: (found_by.append(a[3]), plain(*a))[1])
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(150)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randrange(2, 9)):
+            words[at] = f"v{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(words)))
+    want = linked_classes(rows)
+    assert found(ngram_join.link_components(table(spark, rows)), "n_shingles", "component_id") == want
+    before = {r["node"]: r["component"] for r in found_by[0].collect()}
+    assert len(set(before.get(i, i) for i in range(40))) > len({c for _, c in want.values()}) > 1
 
 
 # --- 3 substring dedup
