@@ -6,8 +6,8 @@ stands MIN_COUNT times or more is a candidate. The score of a cut into a left an
 floor(1000 * a * n / (l * r)), with the counts of the phrase, of all words and of the parts; the
 lowest cut counts. Candidates that lie in a longer one with the same count are dropped.
 
-1. Chunks. Texts become numbered words, CHUNK_BYTES of text a row, written once; every chunk belongs to
-   one of SHARDS shards.
+1. Chunks. Texts become numbered words, CHUNK_BYTES of text a chunk, written once in rows of PIECE_BYTES; every
+   chunk belongs to one of SHARDS shards.
 2. Cyclic scans. Shard s starts at tick s with its words. At every later tick a chunk counts, of all lengths, the
    phrases that became active since: those both of whose subphrases (without the last and without the first
    word) have reached MIN_COUNT in what all shards have counted so far. So lengths are interleaved in
@@ -48,6 +48,7 @@ MIN_COUNT = 100
 TOP = 2000
 SHARDS = 2
 CHUNK_BYTES = 4 << 20
+PIECE_BYTES = 256 << 10  # a stored row of a chunk
 FAN = 256
 _NEVER = 99
 
@@ -298,13 +299,26 @@ def _chunked(chunk_bytes: int):
             for a, b in X.blocks(offsets, chunk_bytes):
                 chunk = Chunk.read(langs, of_row[a:b], data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 counts = [{"lang": lang, "n": n} for lang, n in chunk.lang_counts()]
-                yield pa.RecordBatch.from_arrays([pa.array([number]), pa.array([langs], pa.list_(pa.string())),
-                                                  pa.array([counts], pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))),
-                                                  pa.array([chunk.pack()], pa.binary())], names=["name", "langs", "counts", "data"])
+                packed = chunk.pack()
+                pieces = [packed[i:i + PIECE_BYTES] for i in range(0, len(packed), PIECE_BYTES)]
+                rest = [None] * (len(pieces) - 1)
+                yield pa.RecordBatch.from_arrays([pa.array([number] * len(pieces)), pa.array(range(len(pieces)), pa.int32()), pa.array([langs, *rest], pa.list_(pa.string())),
+                                                  pa.array([counts, *rest], pa.list_(pa.struct([("lang", pa.string()), ("n", pa.int64())]))),
+                                                  pa.array(pieces, pa.binary())], names=["name", "piece", "langs", "counts", "data"])
                 number += 1
     return run
 
 
+def _whole(chunks: pa.Table) -> tuple[int, list[str], bytes] | None:
+    """(number, languages, data) of the chunk whose pieces these rows are."""
+    if not chunks.num_rows:
+        return None
+    order = np.argsort(chunks.column("piece").to_numpy()).tolist()
+    data = chunks.column("data")
+    langs = chunks.column("langs")[order[0]].as_py() if "langs" in chunks.column_names else []
+    return chunks.column("chunk")[0].as_py(), langs, b"".join(data[i].as_py() for i in order)
+
+
 def _told(answers: pa.Table, flag: int = 0) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """k -> (keys, ticks) of the answers to one chunk, those with ``flag`` set only."""
     per: dict[int, list] = {}
@@ -324,17 +338,21 @@ def _count(tick: int, shards: int, fan: int):
     """A chunk and what it was told -> its new lists."""
 
     def run(chunks: pa.Table, told: pa.Table) -> pa.Table:
-        out = []
-        for child, data in zip(chunks.column("chunk").to_pylist(), chunks.column("data").to_pylist()):
-            scan = Scan(Chunk.unpack([], data), _told(told))
-            if child % shards == tick:
-                keys, count = scan.words()
-                out += _lists(child, 1, fan, 1, tick, keys, count)
-            elif child % shards < tick:
-                for k, _, keys, active in scan.lengths():
-                    if k > 1:
-                        keys, count = np.unique(keys[active == tick - 1], return_counts=True)
-                        out += _lists(child, 1, fan, k, tick, keys, count)
+        out, whole = [], _whole(chunks)
+        if whole is None:
+            return _table(out)
+        child, _, data = whole
+        if child % shards > tick:
+            return _table(out)
+        scan = Scan(Chunk.unpack([], data), _told(told))
+        if child % shards == tick:
+            keys, count = scan.words()
+            out += _lists(child, 1, fan, 1, tick, keys, count)
+        else:
+            for k, _, keys, active in scan.lengths():
+                if k > 1:
+                    keys, count = np.unique(keys[active == tick - 1], return_counts=True)
+                    out += _lists(child, 1, fan, k, tick, keys, count)
         return _table(out)
     return run
 
@@ -344,8 +362,9 @@ _NAMED = "key long, k int, lang string, phrase string"
 
 def _named(chunks: pa.Table, told: pa.Table) -> pa.Table:
     """The phrases that a chunk is to name."""
-    rows = []
-    for langs, data in zip(chunks.column("langs").to_pylist(), chunks.column("data").to_pylist()):
+    rows, whole = [], _whole(chunks)
+    if whole:
+        _, langs, data = whole
         chunk = Chunk.unpack(langs, data, names=True)
         mine = _told(told, flag=2)
         for k, at, keys, _ in Scan(chunk, _told(told)).lengths():
@@ -371,12 +390,13 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """``(lang, phrase, k, f)`` of all words and phrases that stand ``min_count`` times or more, and
     ``(lang, n)``: all words."""
     texts = df.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")), F.col(text_col).cast("string").cast("binary")).filter(F.octet_length(text_col) > 0)
-    read = staged(texts.mapInArrow(_chunked(chunk_bytes), "name long, langs array<string>, counts array<struct<lang:string,n:long>>, data binary"), "chunk-texts")
-    # dense numbers: (shard = number mod shards); one row per chunk, without its data, is numbered task by task
-    parts = read.groupBy(F.shiftright("name", 24).alias("task")).agg(F.count(F.lit(1)).alias("m"))
+    read = staged(texts.mapInArrow(_chunked(chunk_bytes), "name long, piece int, langs array<string>, counts array<struct<lang:string,n:long>>, data binary"), "chunk-texts")
+    # dense numbers (shard = number mod shards), from the chunks of every task that wrote some
+    parts = read.filter("piece = 0").groupBy(F.shiftright("name", 24).alias("task")).agg(F.count(F.lit(1)).alias("m"))
     before = parts.select("task", (F.sum("m").over(Window.orderBy("task")) - F.col("m")).alias("before"))
     number = F.col("before") + F.col("name").bitwiseAND(F.lit((1 << 24) - 1))
-    chunks = staged(read.withColumn("task", F.shiftright("name", 24)).join(before, "task").select(number.alias("chunk"), "langs", "counts", "data"), "chunks")
+    before = F.broadcast(staged(before, "chunk-numbers"))  # one row per task
+    chunks = read.withColumn("task", F.shiftright("name", 24)).join(before, "task").select(number.alias("chunk"), "piece", "langs", "counts", "data")
     levels, most = 1, int(parts.agg(F.sum("m")).first()[0] or 0)
     while fan ** levels < most:
         levels += 1
@@ -384,7 +404,7 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
     none = spark.createDataFrame([], LIST)
     sent: list[list[DataFrame]] = []  # by tick, by level
     answers, complete = none, none
-    by_chunk = chunks.select("chunk", "data").groupBy("chunk")
+    by_chunk = chunks.select("chunk", "piece", "data").groupBy("chunk")
     for tick in range(shards - 1 + MAX_WORDS):
         up = [staged(by_chunk.cogroup(answers.withColumnRenamed("child", "chunk").groupBy("chunk")).applyInArrow(_count(tick, shards, fan), LIST), "lists")]
         for level in range(1, levels):
@@ -405,7 +425,7 @@ def phrase_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
             back = told.select(F.col("child").alias("node"), F.floor(F.col("range") / fan).alias("range"), "k", "data")
             told = staged(current(level).groupBy("node", "range").cogroup(back.groupBy("node", "range")).applyInArrow(_passed_on(tick), LIST), "answers")
         answers = answers.unionByName(told)
-    names = chunks.select("chunk", "langs", "data").groupBy("chunk").cogroup(answers.withColumnRenamed("child", "chunk").groupBy("chunk")).applyInArrow(_named, _NAMED)
+    names = chunks.select("chunk", "piece", "langs", "data").groupBy("chunk").cogroup(answers.withColumnRenamed("child", "chunk").groupBy("chunk")).applyInArrow(_named, _NAMED)
     final = complete.select("k", "data").mapInArrow(_final, "key long, k int, f long")
     counts = chunks.select(F.explode("counts").alias("c")).groupBy("c.lang").agg(F.sum("c.n").alias("n"))
     return staged(names.join(final, ["key", "k"]).select("lang", "phrase", "k", "f"), "phrases"), counts
