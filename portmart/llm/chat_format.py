@@ -22,7 +22,9 @@ conversation, so a conversation with very many turns is ordered and joined by ma
 its last step handles few, already rendered rows (one output string per conversation is what a
 renderer returns, so that string is the least a task must hold).
 
-Defined cases: null text is empty; null role is the empty role; messages with equal numbers (and
+Rows of turns become messages by ``turns_as_events``, numbered densely over ranges.
+
+Defined cases: very long texts are rows as others; null text is empty; null role is the empty role; messages with equal numbers (and
 events with equal ``seq``) are ordered by their content, repeated rows stay repeated; an empty
 table gives no conversations; extra columns are ignored.
 """
@@ -32,6 +34,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from portmart.llm.staging import partitions, staged
+
 BLOCK = 256
 END = "</turn>\n"
 LOSS_ROLE = "assistant"
@@ -51,6 +55,41 @@ def unescape(c: Column) -> Column:
     return _swap(c, ("\\2", "</turn>"), ("\\1", "###"), ("\\0", "\\"))
 
 
+def numbered(rows: DataFrame, by: list[str], name: str, prefix: int = 64) -> DataFrame:
+    """``rows`` with ``name``: 0, 1, ... in ascending order of ``by``, nulls first, equal rows one after the other.
+
+    Rows are dealt into ranges (strings by their first ``prefix`` characters, so that bounds stay short), sorted and
+    written; a row's number is its place in its range and the sizes of the ranges before, one row
+    each. A group that holds a third of all rows is many ranges, and no window spans it."""
+    spark = rows.sparkSession
+    kind = dict(rows.dtypes)
+    start = [F.substring(F.col(c), 1, prefix) if kind[c] == "string" else F.col(c) for c in by]
+    dealt = rows.repartitionByRange(partitions(spark), *[c.asc_nulls_first() for c in start])
+    placed = staged(dealt.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in by]).withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_place", 33)  # the upper bits number the range, the lower ones its rows
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    out = placed.withColumn("_part", part).join(F.broadcast(before), "_part")
+    return out.withColumn(name, F.col("_before") + F.col("_place") - F.shiftleft("_part", 33)).drop("_part", "_place", "_before")
+
+
+def turns_as_events(rows: DataFrame) -> DataFrame:
+    """Rows ``(conv_id, turn, role, text)`` as an event log: every row is a message of its own, in the order of
+    turn, role and text; a null turn comes first."""
+    seq = numbered(rows.select("conv_id", "turn", "role", "text"), ["conv_id", "turn", "role", "text"], "seq")
+    return seq.select("conv_id", "seq", F.col("seq").alias("message"), F.lit("delta").alias("kind"), "role", "text")
+
+
+def conversation_digests(events: DataFrame) -> DataFrame:
+    """Per conversation, read back from the rendered string: its turns, their digest, what is under the loss mask."""
+    out = parse(render(fold_events(events)))
+    said_by = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.concat_ws("", loss_texts())
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.concat_ws("", said_by), 256).alias("turns_sha256"),
+                      F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+                      F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def _match(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Join by conversation and message; null is a value of its own."""
     right = right.withColumnsRenamed({"conv_id": "_c", "message": "_m"})
@@ -71,8 +110,7 @@ def fold_events(events: DataFrame) -> DataFrame:
     latest = regen.groupBy("conv_id", F.col("_from").alias("message")).agg(F.max("_at").alias("_at"))
     marks = e.groupBy("conv_id", "message").agg(F.max(F.when(F.col("kind") != "delta", F.col("seq"))).alias("_reset"))
     marks = _match(marks, latest, "left")
-    before = Window.partitionBy("conv_id").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
-    marks = marks.withColumn("_cut", F.max("_at").over(before)).drop("_at")
+    marks = _running_cut(marks)
     live = _match(e, marks, "inner").filter(
         (F.col("_cut").isNull() | (F.col("seq") > F.col("_cut"))) & (F.col("_reset").isNull() | (F.col("seq") >= F.col("_reset"))))
     # parts of a long streamed message are joined block by block as well
@@ -85,6 +123,23 @@ def fold_events(events: DataFrame) -> DataFrame:
     return whole.select("conv_id", "message", F.col("_p")[0]["role"].alias("role"), F.concat_ws("", F.col("_p.text")).alias("text"))
 
 
+def _running_cut(marks: DataFrame) -> DataFrame:
+    """``marks`` with ``_cut``: the largest ``_at`` of all messages before; first within blocks of message
+    numbers, then over one row per block, so no window holds all messages of a conversation."""
+    block = F.floor(F.coalesce(F.col("message"), F.lit(-1)) / BLOCK)
+    marks = marks.withColumn("_block", block)
+    inner = Window.partitionBy("conv_id", "_block").orderBy("message").rowsBetween(Window.unboundedPreceding, -1)
+    tops = marks.filter("_at is not null").groupBy("conv_id", "_block").agg(F.max("_at").alias("_top"))
+    every = marks.groupBy("conv_id", "_block").agg(F.lit(None).cast("long").alias("_none"))
+    tops = every.select(F.col("conv_id").alias("_bc"), F.col("_block").alias("_bb")).join(
+        tops, F.col("_bc").eqNullSafe(F.col("conv_id")) & F.col("_bb").eqNullSafe(F.col("_block")), "left").select("_bc", "_bb", "_top")
+    outer = Window.partitionBy("_bc").orderBy("_bb").rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.withColumn("_before", F.max("_top").over(outer)).select("_bc", "_bb", "_before")
+    out = marks.withColumn("_inside", F.max("_at").over(inner)).join(
+        tops, F.col("conv_id").eqNullSafe(F.col("_bc")) & F.col("_block").eqNullSafe(F.col("_bb")), "left")
+    return out.withColumn("_cut", F.greatest("_inside", "_before")).drop("_at", "_block", "_inside", "_before", "_bc", "_bb")
+
+
 def render(messages: DataFrame) -> DataFrame:
     """``(conv_id, formatted, loss_spans)`` from messages ``(conv_id, message, role, text)``."""
     role = _swap(escape(F.coalesce("role", F.lit(""))), (": ", "\\3"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from portmart.llm import chat_format as chat
@@ -71,16 +70,7 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    # rows that share a turn number are messages of their own, in the order of their content
-    place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text")) - 1
-    number = F.coalesce("turn", F.lit(-1)) * (1 << 20) + place
-    events = rows.unionByName(extra).select("conv_id", number.alias("seq"), number.alias("message"), F.lit("delta").alias("kind"), "role", "text")
-    out = chat.parse(chat.render(chat.fold_events(events)))
-    said_by = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    loss = F.concat_ws("", chat.loss_texts())
-    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.concat_ws("", said_by), 256).alias("turns_sha256"),
-                      F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
-                      F.length("formatted").cast("long").alias("formatted_chars"))
+    return chat.conversation_digests(chat.turns_as_events(rows.unionByName(extra)))
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
