@@ -7,153 +7,63 @@ dictionary encoded (a vocabulary fits one dictionary page), the narrow columns a
 ``read_metadata`` never touches the token column, and ``read_tokens`` with a range of ids skips
 files, row groups and pages.
 
-The byte-level BPE splits a text before each single blank and around each single line end, so equal
-words (with their blank) have equal ids: each worker keeps the tokenizer's answer for words it
-has met. Texts where white space meets white space go to the tokenizer whole, but for empty lines.
+The byte-level BPE cuts a text before it merges, so the ids of a text are those of its units (``units``):
+the units of a part of the texts are found and told apart by array operations, and only those that a
+worker has not met go to the tokenizer.
 
 The string of a special token in a text (``<|endoftext|>``) is ordinary text, or that token if
-``special_tokens`` is set: then it is what the tokenizer's ``encode`` gives by default, and texts
-with the string of any added token go to the tokenizer whole.
+``special_tokens`` is set: then it is what the tokenizer's ``encode`` gives by default.
 
-Defined cases: null and empty texts have only the end id; a null id sorts first; rows repeated
+Defined cases: very long texts are parts of their own; null and empty texts have only the end id; a null id sorts first; rows repeated
 with one id follow each other; an empty table gives an empty table; extra columns stay out.
 """
 
 from __future__ import annotations
 
-import os
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from portmart.llm import text as X
+from portmart.llm import units as U
 from portmart.llm.staging import partitions, text_size
 
 END_ID = 2
 FILE_BYTES = 128 << 20
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
-CACHE_WORDS = 250_000
-PART_BYTES = 1 << 20  # texts encoded at a time; a longer text is one part
+CACHE_WORDS = 400_000
+PART_BYTES = 2 << 20  # texts encoded at a time; a longer text is one part
 _ROW_BITS = 33
-FIRST, LINE_END = "\x02", "\x01"
-_MARKS = "!#$%&()*+,-./:;<=>?@[]^_`{|}~"
-# byte-level BPE writes each byte as one letter: printable bytes as themselves, the others as
-# U+0100 and on, in order
-_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_LETTERS = {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in _PRINTED)}
-
-
-class _Gap(Exception):
-    """A unit begins or ends in white space: its text must be encoded whole."""
-
-
-def _joined_lines(text: str) -> bool:
-    """Line ends that make one piece: all but the last of a run that white space follows, or the end."""
-    return "\n\n" in text and ("\n\n\n" in text or "\n\n " in text or text.endswith("\n\n"))
-
-
-class _Units(dict):
-    """unit -> its number in the store. A unit is a word with the mark of what stands before it:
-    nothing (FIRST, at the start of a line), else a blank; or a line end."""
-
-    def __init__(self, encoder: "WordEncoder"):
-        self.encoder, self.flat, self.starts = encoder, array("i"), array("q", [0])
-
-    def __missing__(self, unit: str) -> int:
-        older = self.encoder.older
-        n = older.get(unit)
-        self.flat.extend(self.encoder.unit(unit) if n is None else older.flat[older.starts[n]:older.starts[n + 1]])
-        self.starts.append(len(self.flat))
-        self[unit] = n = len(self.starts) - 2
-        return n
-
-    def ids(self, unit: str) -> list[int] | None:
-        n = self.get(unit)
-        return None if n is None else self.flat[self.starts[n]:self.starts[n + 1]].tolist()
 
 
 class WordEncoder:
-    """``encode`` of a ``tokenizers`` file, remembering the ids of words."""
+    """``encode`` of a ``tokenizers`` file, remembering the ids of units (``units``)."""
 
     def __init__(self, path: str, special_tokens: bool = False):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = not special_tokens  # True: their strings are ordinary text
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.added = [t.content for t in added if special_tokens or not t.special]
-        self.tokenize = self.tokenizer.model.tokenize
-        self.older, self.known = _Units(self), _Units(self)
-        self.marks: dict[str, list[int]] = {}
-
-    def forget(self) -> None:
-        """Drop the words not met since the last call."""
-        self.older, self.known, self.marks = self.known, _Units(self), {}
-
-    def whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def unit(self, unit: str) -> list[int]:
-        """Ids of a unit. A run of letters, with a blank in front or not, is one pre-token and goes
-        straight to the tokenizer's model; so does what stands before a mark at the end."""
-        first = unit[:1] == FIRST
-        word = unit[1:] if first else unit
-        if word.isalpha():
-            return self.letters(word, first)
-        core = word.rstrip(_MARKS)
-        if core.isalpha():
-            tail = word[len(core):]
-            if tail not in self.marks:
-                self.marks[tail] = self.whole(tail)
-            head = self.known.ids(FIRST + core if first else core)
-            return (self.letters(core, first) if head is None else head) + self.marks[tail]
-        if word == LINE_END:
-            return self.whole("\n")
-        if unit == FIRST:
-            return []
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise _Gap
-        return self.whole(word if first else " " + word)
-
-    def letters(self, word: str, first: bool) -> list[int]:
-        """Ids of a run of letters at the start of a line, else behind a blank."""
-        if not word.isascii():  # ASCII letters are written as themselves
-            word = word.encode().decode("latin-1").translate(_BYTE_LETTERS)
-        return [t.id for t in self.tokenize(word if first else _BYTE_LETTERS[0x20] + word)]
+        self.model, self.lists = U.ByteBpe(path, special_tokens), U.Lists(np.int32)
+        self.store = U.Store(self._work, self.lists.keep, CACHE_WORDS, self.model.closing())
+        self.whole = self.model.whole
+
+    def _work(self, units: list[bytes]) -> None:
+        found = self.model.ids(units)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.lists.add(np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes)
+
+    def encode_bytes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts behind each other, their numbers) of texts that lie in ``data``."""
+        which, first = self.store.numbers(data, offsets)
+        ids, size = self.lists.take(which)
+        return ids, np.diff(np.concatenate([[0], np.cumsum(size)])[first])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts behind each other, their numbers)."""
-        if len(self.known) > CACHE_WORDS:
-            self.forget()
-        units, counts = [], []
-        for text in texts:
-            if FIRST in text or LINE_END in text or _joined_lines(text) or any(t in text for t in self.added):  # it goes whole
-                mine = [""]
-            else:
-                mine = (FIRST + text.replace("\n", f" {LINE_END} {FIRST}")).split(" ") if text else []
-            units += mine
-            counts.append(len(mine))
-        try:
-            at = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
-        except _Gap:
-            if len(texts) == 1:
-                ids = np.array(self.whole(texts[0]), np.int32)
-                return ids, np.array([len(ids)])
-            parts = [self.encode([t]) for t in texts]
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        starts, flat = np.array(self.known.starts), np.array(self.known.flat, np.int32)
-        sizes = starts[at + 1] - starts[at]
-        ends = np.cumsum(sizes)
-        ids = flat[np.repeat(starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.concatenate([[0], ends])[np.cumsum([0, *counts])]
-        return ids, np.diff(bounds)
+        raw = [t.encode() for t in texts]
+        return self.encode_bytes(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64)]))
 
 
 _encoders: dict[tuple[str, bool], WordEncoder] = {}
@@ -173,11 +83,10 @@ def encode_texts(df: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer_path, special_tokens)
         for batch in batches:
-            size = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
-            cuts = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // PART_BYTES, prepend=-1))
-            for at, end in zip(cuts, [*cuts[1:], batch.num_rows]):
+            data, offsets = X.column_bytes(batch.column(1))
+            for at, end in X.blocks(offsets, PART_BYTES):
                 part = batch.slice(at, end - at)
-                ids, sizes = own.encode([t or "" for t in part.column(1).to_pylist()])
+                ids, sizes = own.encode_bytes(data[offsets[at]:offsets[end]], offsets[at:end + 1] - offsets[at])
                 ends = np.cumsum(sizes + 1)
                 full = np.full(int(ends[-1]), end_id, np.int32)
                 keep = np.ones(len(full), bool)

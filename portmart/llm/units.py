@@ -22,8 +22,13 @@ _VISIBLE[0xC3:] = True
 _VISIBLE[[0xE1, 0xE2, 0xE3]] = False
 
 
-def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The first byte of every unit of the rows ``offsets`` deals ``data`` into."""
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
+
+
+def unit_starts(data: np.ndarray, offsets: np.ndarray, marks: np.ndarray | None = None) -> np.ndarray:
+    """The first byte of every unit of the rows ``offsets`` deals ``data`` into. ``marks`` (a flag per byte): also
+    before such a byte that follows an ASCII letter."""
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n > 1:
@@ -34,6 +39,8 @@ def unit_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         # both neighbours must be of the same row
         line = line[np.searchsorted(offsets, line - 1, "right") == np.searchsorted(offsets, line + 1, "right")]
         cut[line] = cut[line + 1] = True
+        if marks is not None:
+            cut[1:-1] |= _LETTER[data[:-1]] & marks[data[1:]]
         ends = offsets[(offsets > 0) & (offsets < n)]
         cut[ends - 1] &= data[ends - 1] != BLANK  # its follower is of the next row
     cut[offsets] = True
@@ -71,8 +78,8 @@ class Store:
     tables, ``forget(numbers)`` cuts them to these rows, in this order; that happens when more than
     ``limit`` units are known, and those met last stay."""
 
-    def __init__(self, work: Callable[[list[bytes]], None], forget: Callable[[np.ndarray], None], limit: int = 250_000):
-        self.work, self.forget, self.limit = work, forget, limit
+    def __init__(self, work: Callable[[list[bytes]], None], forget: Callable[[np.ndarray], None], limit: int = 250_000, marks: np.ndarray | None = None):
+        self.work, self.forget, self.limit, self.marks = work, forget, limit, marks
         self.known: dict[int, int] = {}
         self.last = np.zeros(0, np.int64)
 
@@ -83,7 +90,7 @@ class Store:
             stay = np.unique(self.last)
             self.forget(stay)
             self.known = {names[i]: n for n, i in enumerate(stay.tolist())}
-        start = unit_starts(data, offsets)
+        start = unit_starts(data, offsets, self.marks)
         first = np.searchsorted(start, offsets)
         end = np.append(start[1:], len(data))
         sums = X.running(data.astype(np.uint64) + np.uint64(1), X.BASES[1])
@@ -125,22 +132,33 @@ class ByteBpe:
         self.marks: dict[str, list[int]] = {}
         self.letter = {b: c for b, c in BYTE_LETTERS.items() if c != chr(b)}
 
-    def _whole(self, text: str) -> list[int]:
+    def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def closing(self) -> np.ndarray:
+        """Marks that end a run of letters for this tokenizer, for ``unit_starts``: all but the apostrophe, which may
+        begin a piece of letters, and what follows a letter within an added token."""
+        out = np.zeros(256, bool)
+        inside = {y for t in self.added for x, y in zip(t, t[1:]) if x.isalpha()}
+        out[[ord(c) for c in _MARKS if c not in inside]] = True
+        return out
+
     def ids(self, units: list[bytes]) -> list[list[int]]:
-        tokenize, whole, marks, letter = self.tokenizer.model.tokenize, self._whole, self.marks, self.letter
+        tokenize, whole, marks, letter, added = self.tokenizer.model.tokenize, self.whole, self.marks, self.letter, self.added
         blank, out = BYTE_LETTERS[BLANK], []
         for unit in units:
-            text = unit.decode()
-            head = text[:1] == " "
-            word = text[1:] if head else text
-            tail = ""
+            head = unit[0] == BLANK
+            word = unit[1:] if head else unit
+            if word.isalpha():  # ASCII letters only
+                word = word.decode()
+                out.append([t.id for t in tokenize(blank + word if head else word)])
+                continue
+            word, tail = word.decode(), ""
             if not word.isalpha():
                 core = word.rstrip(_MARKS)
                 tail = word[len(core):]
-                if not core.isalpha() or any(t in text for t in self.added):
-                    out.append(whole(text))
+                if not core.isalpha() or any(t in word for t in added):
+                    out.append(whole(unit.decode()))
                     continue
                 word = core
             if not word.isascii():

@@ -153,3 +153,54 @@ def test_empty_table(spark):
     ensure_importable(spark)
     out = alignment.align(spark.createDataFrame([], "doc_id long, text string"), A_PATH, B_PATH)
     assert out.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"] and not out.collect()
+
+
+@pytest.mark.parametrize("special", [False, True])
+def test_units_that_end_before_marks_give_the_ids_of_whole_texts(special):
+    """The cuts that only the byte-level tokenizer allows, through the store that forgets."""
+    from portmart.llm import token_files
+
+    a, _ = models()
+    a.encode_special_tokens = not special
+    own = token_files.WordEncoder(A_PATH, special)
+    own.store.limit = 200
+    rng = random.Random(11)
+    parts = ["word", "It", "x", "é", "'s", "'", "''ll", ",", ".", "!?", "|", "<", ">", "<|endoftext|>", "<|endoftext", "|>", "-", "_", "1", " ", " ", "\n", "\n\n", "\xa0"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(4000)] + odd_texts(2000, 3)
+    for at in range(0, len(texts), 250):
+        part = texts[at:at + 250]
+        ids, sizes = own.encode(part)
+        for t, end, n in zip(part, sizes.cumsum(), sizes):
+            assert ids[end - n:end].tolist() == a.encode(t, add_special_tokens=False).ids, t
+
+
+def test_files_are_laid_out_for_selective_reads(spark):
+    """Encodings, row groups and page indexes as the footers tell them."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from portmart.llm import token_files
+    from portmart.session import staging_path
+
+    ensure_importable(spark)
+    path = staging_path(spark, "token-layout")
+    rows = spark.range(20000).select(F.col("id").alias("doc_id"), F.concat(F.lit("the word "), F.col("id").cast("string"), F.repeat(F.lit(" and more"), 20)).alias("text"))
+    plain = token_files.ROW_GROUP_BYTES
+    try:
+        token_files.ROW_GROUP_BYTES = 64 << 10
+        token_files.write_tokens(rows, path, A_PATH)
+    finally:
+        token_files.ROW_GROUP_BYTES = plain
+    files = glob.glob(f"{path.removeprefix('file:')}/part-*.parquet")
+    groups = 0
+    for file in files:
+        meta = pq.ParquetFile(file).metadata
+        groups += meta.num_row_groups
+        for g in range(meta.num_row_groups):
+            columns = {meta.row_group(g).column(i).path_in_schema.split(".")[0]: meta.row_group(g).column(i) for i in range(meta.num_columns)}
+            for name in ("row", "doc_id", "n_tokens"):
+                assert "DELTA_BINARY_PACKED" in columns[name].encodings and not columns[name].has_dictionary_page
+            assert "RLE_DICTIONARY" in columns["ids"].encodings
+            assert all(c.has_column_index and c.has_offset_index for c in columns.values())
+    assert groups > len(files)
