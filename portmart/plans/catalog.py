@@ -699,7 +699,92 @@ def star_copartitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copartitioned_join(fact, dim, ["o_orderkey", "o_orderpriority"], ["c_custkey", "c_mktsegment"])
 
 
+def drift_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing values of events over files of three layouts: all columns; without value, with a note; value
+    as text. Each layout lands by itself and is scanned once (C6, C7, H19)."""
+    from portmart.operators.drift import FileProfiles
+    events = _events_with_gaps(spark, sf_dir)
+    data = staging_path(spark, "drifting-events")
+    profiles = FileProfiles(spark, staging_path(spark, "event-profiles"))
+    layouts = [events.select("event_id", "user_id", "event_type", "value"),
+               events.select("event_id", "event_type", F.when(F.col("event_id") % 2 == 0, F.col("event_type")).alias("note")),
+               events.select("event_id", F.when(F.col("value") > 5, F.col("value").cast("string")).alias("value"))]
+    for i, part in enumerate(layouts):
+        part.filter(F.col("event_id") % 3 == i).write.parquet(f"{data}/layout={i}")
+        profiles.refresh(data)
+    return profiles.total(data).select("field", F.concat_ws("|", "types").alias("types"), "nulls", "rows_with", "rows", "pct_missing")
+
+
+def key_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of city, state and race over two refreshes: the demographics of one return flag, then all; old ids
+    stay, new ones follow without a gap (B12, H7)."""
+    rows = H.clean_demographics(lineitem_as_demographics(_t(spark, sf_dir, "lineitem")))
+    rows = stage(rows.select("City", "State", "Race"))
+    registry = H.city_demographics_ids(spark, staging_path(spark, "city-ids"))
+    registry.register(rows.filter(F.col("State") == F.lit("A")))
+    return registry.assign(rows, "id")
+
+
+def quarantine_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Temperature CSV written from events with planted faults (a word for a number, a cell too many): rejected records
+    per reason, and the records that fit (A2, H14)."""
+    from portmart import schemas
+    from portmart.sources.quarantine import read_csv_split
+    events = _t(spark, sf_dir, "events").select("event_id", F.col("value").cast("string").alias("v"))
+    n = F.col("event_id")
+    line = F.concat_ws(",", F.lit("2013-01-01"), F.when(n % 97 == 0, F.lit("warm")).otherwise(F.col("v")), F.when(n % 89 == 0, F.lit("some")).otherwise(F.lit("0.5")),
+                       F.lit("Rome"), F.lit("Italy"), F.lit("1N"), F.when(n % 101 == 0, F.lit("2E,3")).otherwise(F.lit("2E")))
+    path = staging_path(spark, "faulty-temperature")
+    header = ",".join(schemas.RAW_TEMPERATURE.names)
+    # one header per file, whatever the number of files: written as a CSV's own header of one text column
+    events.select(line.alias(header)).write.option("header", True).option("quote", "").option("sep", "\u0001").csv(path)
+    split = read_csv_split(spark, path, schemas.RAW_TEMPERATURE, staging_path(spark, "rejected"))
+    bad = split.rejected.select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    return bad.unionByName(split.good.agg(F.count(F.lit(1)).alias("records")).select(F.lit("(fits)").alias("reason"), "records"))
+
+
+def whole_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels, arrivals, demographics and temperature jobs in order, on files written from the driver tables (arrivals as
+    Parquet): the rows of every published table (H16)."""
+    from portmart import schemas
+    from portmart.plans.jobs import Inputs, run_all
+    base = staging_path(spark, "whole-inputs")
+    nation, region = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
+    blocks = [nation.select(F.col("n_nationkey").alias("k"), F.format_string("  %d = '%s'", "n_nationkey", "n_name").alias("value")),
+              nation.select(F.col("n_nationkey").alias("k"), F.format_string("'%d' = '%s, X'", "n_nationkey", "n_name").alias("value")),
+              region.select(F.col("r_regionkey").alias("k"), F.format_string("'%d' = '%s'", "r_regionkey", "r_name").alias("value"))]
+    lines = None
+    for i, b in enumerate(blocks):
+        b = b.withColumn("block", F.lit(i))
+        lines = b if lines is None else lines.unionByName(b)
+    lines.repartition(1).sortWithinPartitions("block", "k").select("value").write.text(f"{base}/labels")
+    orders_as_raw_arrivals(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")).write.parquet(f"{base}/arrivals")
+    write_csv(lineitem_as_demographics(_t(spark, sf_dir, "lineitem")), f"{base}/demographics", sep=";")
+    write_csv(events_as_temperature(_t(spark, sf_dir, "events")).withColumns({"Latitude": F.lit("0N"), "Longitude": F.lit("0E")}), f"{base}/temperature")
+    inputs = Inputs(f"{base}/labels", f"{base}/arrivals", f"{base}/demographics", f"{base}/temperature", sas_format="parquet",
+                    country_lines=(0, 25), city_lines=(25, 50), state_lines=(50, 55))
+    results = run_all(spark, inputs, staging_path(spark, "whole-tables"), on_fail="raise")
+    out = None
+    for res in results.values():
+        for name, path in res.tables.items():
+            one = read_parquet(spark, path, schema=schemas.PUBLISHED[name]).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+def arrivals_by_state_sql(spark: SparkSession, sf_dir: str, threshold: int = JOB_THRESHOLD) -> DataFrame:
+    """The state x gender mart as Spark SQL with its threshold, over a fact and a dimension built from raw arrivals."""
+    from portmart.plans.marts import arrivals_by_state_gender_sql
+    cleaned = stage(H.clean_arrivals(orders_as_raw_arrivals(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer"))))
+    return arrivals_by_state_gender_sql(spark, H.build_fact(cleaned), H.build_immigrant_dim(cleaned), threshold)
+
+
 QUERIES = {
+    "drift_profile": drift_profile,
+    "key_registry": key_registry,
+    "quarantine_report": quarantine_report,
+    "whole_pipeline": whole_pipeline,
+    "arrivals_by_state_sql": arrivals_by_state_sql,
     "key_report": key_report_query,
     "star_copartitioned": star_copartitioned,
     "month_publish": month_publish,

@@ -19,6 +19,7 @@ from portmart.plans import tables as H
 from portmart.sinks.writers import drop_staged, stage, write_parquet, write_partitioned
 from portmart.sources.files import malformed_cells, read_csv_counted, read_parquet
 from portmart.sources.labels import read_numbered_lines
+from portmart.sources.quarantine import read_csv_split
 from portmart.sources.sas import read_sas, skipped_files
 
 log = logging.getLogger(__name__)
@@ -31,6 +32,7 @@ class JobResult:
     steps: list = field(default_factory=list)
     malformed: dict[str, int] = field(default_factory=dict)  # CSV cells read as null, per column
     skipped: list[str] = field(default_factory=list)  # input files that were not read
+    rejected: int = 0  # CSV records in quarantine
 
 
 def _join(base: str, name: str) -> str:
@@ -82,27 +84,51 @@ def process_arrivals(spark: SparkSession, input_path: str, output_path: str, sas
     return result
 
 
-def process_demographics(spark: SparkSession, input_path: str, output_path: str,
-                         on_fail: str = "warn") -> JobResult:
-    """City demographics ';' CSV -> ``dim_city_demographics``."""
+@dataclass(frozen=True)
+class Quarantine:
+    """Where records that do not fit go, and how many a job bears."""
+
+    path: str
+    max_rejected: int | None = None
+    max_share: float | None = None
+
+
+def _read_csv(spark: SparkSession, input_path: str, schema, sep: str, quarantine: Quarantine | None, result: JobResult):
+    """(records, counts of malformed cells or None). With ``quarantine`` records that do not fit are left out
+    and kept there, else their bad cells are null and counted."""
+    if quarantine is None:
+        return read_csv_counted(spark, input_path, schema, sep=sep)
+    split = read_csv_split(spark, input_path, schema, quarantine.path, sep, quarantine.max_rejected, quarantine.max_share)
+    result.rejected = split.rejected_rows
+    return split.good, None
+
+
+def process_demographics(spark: SparkSession, input_path: str, output_path: str, on_fail: str = "warn",
+                         quarantine: Quarantine | None = None, id_path: str | None = None) -> JobResult:
+    """City demographics ';' CSV -> ``dim_city_demographics`` (H13). ``id_path``: a stored key registry, so
+    that a row keeps its id over refreshes."""
     result = JobResult()
-    raw, seen = read_csv_counted(spark, input_path, schemas.RAW_DEMOGRAPHICS, sep=";")
+    raw, seen = _read_csv(spark, input_path, schemas.RAW_DEMOGRAPHICS, ";", quarantine, result)
     counter = StepCounter("demographics")
     cleaned = counter.run(raw, H.demographics_steps())
-    dim = H.build_city_demographics(cleaned)
+    registry = None
+    if id_path is not None:
+        cleaned, registry = stage(cleaned), H.city_demographics_ids(spark, id_path)
+    dim = H.build_city_demographics(cleaned, registry=registry)
     path = _join(output_path, "dim_city_demographics")
     write_parquet(dim, path)
     result.steps = counter.counts()
-    result.malformed = malformed_cells(seen, input_path)
+    if seen is not None:
+        result.malformed = malformed_cells(seen, input_path)
     _publish_and_check(spark, {"dim_city_demographics": dim}, {"dim_city_demographics": path}, on_fail, result)
     return result
 
 
-def process_temperature(spark: SparkSession, input_path: str, output_path: str,
-                        on_fail: str = "warn") -> JobResult:
+def process_temperature(spark: SparkSession, input_path: str, output_path: str, on_fail: str = "warn",
+                        quarantine: Quarantine | None = None) -> JobResult:
     """City temperature CSV -> ``dim_temperature``."""
     result = JobResult()
-    raw, seen = read_csv_counted(spark, input_path, schemas.RAW_TEMPERATURE)
+    raw, seen = _read_csv(spark, input_path, schemas.RAW_TEMPERATURE, ",", quarantine, result)
     counter = StepCounter("temperature")
     cleaned = counter.run(raw, H.temperature_steps())
     # the cleaning already left one row per (dt, City, Country): no second distinct needed
@@ -110,7 +136,8 @@ def process_temperature(spark: SparkSession, input_path: str, output_path: str,
     path = _join(output_path, "dim_temperature")
     write_parquet(dim, path)
     result.steps = counter.counts()
-    result.malformed = malformed_cells(seen, input_path)
+    if seen is not None:
+        result.malformed = malformed_cells(seen, input_path)
     _publish_and_check(spark, {"dim_temperature": dim}, {"dim_temperature": path}, on_fail, result)
     return result
 

@@ -425,3 +425,45 @@ SELECT 'country' AS kind, CAST(c_custkey AS VARCHAR) AS code, c_mktsegment AS na
 UNION ALL SELECT 'city', CAST(p_partkey AS VARCHAR), {_title('p_name')} FROM part
 UNION ALL SELECT 'state', CAST(s_suppkey AS VARCHAR), {_title('s_name')} FROM supplier
 """
+
+ORACLE_SQL["drift_profile"] = f"""
+WITH e AS ({EVENTS_WITH_GAPS}),
+a AS (SELECT * FROM e WHERE event_id % 3 = 0),
+b AS (SELECT * FROM e WHERE event_id % 3 = 1),
+c AS (SELECT * FROM e WHERE event_id % 3 = 2),
+f AS (SELECT 'event_id' AS field, 'bigint' AS type, count(*) FILTER (event_id IS NULL) AS nulls, count(*) AS rows FROM e
+      UNION ALL SELECT 'user_id', 'bigint', count(*) FILTER (user_id IS NULL), count(*) FROM a
+      UNION ALL SELECT 'event_type', 'string', count(*) FILTER (event_type IS NULL), count(*) FROM a
+      UNION ALL SELECT 'event_type', 'string', count(*) FILTER (event_type IS NULL), count(*) FROM b
+      UNION ALL SELECT 'note', 'string', count(*) FILTER (event_type IS NULL OR event_id % 2 <> 0), count(*) FROM b
+      UNION ALL SELECT 'value', 'double', count(*) FILTER (value IS NULL OR isnan(value)), count(*) FROM a
+      UNION ALL SELECT 'value', 'string', count(*) FILTER (value IS NULL OR NOT (value > 5)), count(*) FROM c)
+SELECT field, string_agg(DISTINCT type, '|' ORDER BY type) AS types, CAST(sum(nulls) AS BIGINT) AS nulls, CAST(sum(rows) AS BIGINT) AS rows_with,
+       (SELECT count(*) FROM e) AS rows, 100.0 * sum(nulls) / (SELECT count(*) FROM e) AS pct_missing
+FROM f GROUP BY field
+"""
+
+ORACLE_SQL["key_registry"] = """
+WITH k AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS "City", l_returnflag AS "State", CAST(l_linenumber AS VARCHAR) AS "Race" FROM lineitem)
+SELECT *, row_number() OVER (ORDER BY "State" <> 'A', "City", "State", "Race") AS id FROM k
+"""
+
+ORACLE_SQL["quarantine_report"] = """
+WITH e AS (SELECT event_id AS n FROM events),
+r AS (SELECT n, unnest(CASE WHEN n % 97 = 0 AND n % 89 = 0 THEN ['AverageTemperature: warm', 'AverageTemperatureUncertainty: some']
+                            WHEN n % 97 = 0 THEN ['AverageTemperature: warm'] WHEN n % 89 = 0 THEN ['AverageTemperatureUncertainty: some']
+                            WHEN n % 101 = 0 THEN ['cells'] ELSE ['(fits)'] END) AS reason FROM e)
+SELECT reason, count(*) AS records FROM r GROUP BY reason
+"""
+
+ORACLE_SQL["whole_pipeline"] = f"""
+SELECT 'dim_country' AS table_name, (SELECT count(*) FROM nation) AS rows
+UNION ALL SELECT 'dim_city', (SELECT count(*) FROM nation)
+UNION ALL SELECT 'dim_state', (SELECT count(*) FROM region)
+UNION ALL SELECT 'fact_immigration', (SELECT count(DISTINCT o_orderkey) FROM orders)
+UNION ALL SELECT 'dim_immigrant_demographics', (SELECT count(DISTINCT o_orderkey) FROM orders)
+UNION ALL SELECT 'dim_city_demographics', (SELECT count(*) FROM ({ORACLE_SQL["demographics_job"]}))
+UNION ALL SELECT 'dim_temperature', (SELECT count(*) FROM ({ORACLE_SQL["temperature_job"]}))
+"""
+
+ORACLE_SQL["arrivals_by_state_sql"] = ORACLE_SQL["arrivals_job_state_gender"]

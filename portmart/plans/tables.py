@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from portmart.functions import month_of, parse_date, sas_day_to_iso, year_of
 from portmart.operators.clean import (dedup_first, distinct_rows, drop_columns, drop_null_rows,
                                       rename_columns, select_columns)
 from portmart.operators.keys import with_surrogate_key
 from portmart.operators.lookups import CITY_RULE, COUNTRY_RULE, STATE_RULE, LabelRule, label_table
+from portmart.operators.registry import KeyRegistry
 from portmart.sources.labels import line_range, named_block
 
 Step = tuple[str, Callable[[DataFrame], DataFrame]]
@@ -179,14 +181,26 @@ def build_month_immigrant_dim(df: DataFrame) -> DataFrame:
     return rename_columns(keyed, IMMIGRANT_RENAMES)
 
 
-def build_city_demographics(df: DataFrame, with_id: bool = True) -> DataFrame:
+CITY_DEMOGRAPHICS_KEY = StructType([StructField(n, StringType()) for n in ("City", "State", "Race")])
+
+
+def city_demographics_ids(spark: SparkSession, path: str) -> KeyRegistry:
+    """The stored ids of H7's rows, by the key that H3 leaves one row of."""
+    return KeyRegistry(spark, path, CITY_DEMOGRAPHICS_KEY)
+
+
+def build_city_demographics(df: DataFrame, with_id: bool = True, registry: KeyRegistry | None = None) -> DataFrame:
     """Demographics -> ``dim_city_demographics`` (H7).
 
     ``State Code`` becomes ``state_code`` (the column the fact joins on); the full state name
-    is left out, giving the declared 12 columns."""
+    is left out, giving the declared 12 columns. With ``registry`` a city, state and race keeps its id over
+    all refreshes; without one the id is new on every run."""
+    ids = []
+    if with_id and registry is not None:
+        df, ids = registry.assign(df, "id"), ["id"]
     out = rename_columns(drop_columns(df, ["State"]), DEMOGRAPHICS_RENAMES)
-    out = select_columns(out, list(DEMOGRAPHICS_RENAMES.values()))
-    return with_surrogate_key(out, "id") if with_id else out
+    out = select_columns(out, [*DEMOGRAPHICS_RENAMES.values(), *ids])
+    return with_surrogate_key(out, "id") if with_id and registry is None else out
 
 
 def build_temperature(df: DataFrame, distinct: bool = True) -> DataFrame:

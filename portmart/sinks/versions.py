@@ -28,6 +28,10 @@ from portmart.sinks.writers import write_partitioned
 _BATCH = "batch"
 
 
+class Conflict(RuntimeError):
+    """Another refresh has published since the version that this one is built on."""
+
+
 @dataclass(frozen=True)
 class Version:
     """``months[table][folder]`` = batch and rows of a month's folder."""
@@ -118,14 +122,18 @@ class VersionedTables:
         from urllib.parse import unquote
         return {unquote(r["folder"]).rstrip("/"): {"batch": batch, "rows": r["rows"]} for r in written}
 
-    def publish(self, tables: Mapping[str, DataFrame], sort_within: Mapping[str, Iterable[str]] | None = None, attempts: int = 10) -> Version:
+    def publish(self, tables: Mapping[str, DataFrame], sort_within: Mapping[str, Iterable[str]] | None = None, attempts: int = 10,
+                expect: Version | None = None) -> Version:
         """Replace the months of ``tables`` in all of them at once. A month that any of the frames
-        holds is replaced as a whole in every table, also where the new rows are none."""
+        holds is replaced as a whole in every table, also where the new rows are none. With ``expect`` the new
+        version must follow that one: Conflict if another came between."""
         batch = uuid.uuid4().hex
         new = {name: self._write(name, df, batch, (sort_within or {}).get(name, ())) for name, df in tables.items()}
         touched = {folder for months in new.values() for folder in months}
         for attempt in range(attempts):
             now = self.version()
+            if expect is not None and now.number != expect.number:
+                raise Conflict(f"{self.root}: version {now.number} came after {expect.number}")
             months = {name: {f: m for f, m in now.months.get(name, {}).items() if f not in touched} for name in {*now.months, *new}}
             for name, own in new.items():
                 months[name].update(own)
