@@ -779,7 +779,39 @@ def arrivals_by_state_sql(spark: SparkSession, sf_dir: str, threshold: int = JOB
     return arrivals_by_state_gender_sql(spark, H.build_fact(cleaned), H.build_immigrant_dim(cleaned), threshold)
 
 
+def clustered_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders clustered by priority and date, read back by either: rows and largest key per filter (A10)."""
+    from portmart.sinks.clustered import write_clustered
+    path = staging_path(spark, "orders-clustered")
+    write_clustered(_t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"), path, ["o_orderpriority", "o_orderdate"])
+    back = spark.read.parquet(path)
+    filters = {"priority": F.col("o_orderpriority") == "2-HIGH", "month": (F.col("o_orderdate") >= "1995-03-01") & (F.col("o_orderdate") < "1995-04-01")}
+    out = None
+    for name, keep in filters.items():
+        one = back.filter(keep).agg(F.count(F.lit(1)).alias("rows"), F.max("o_orderkey").alias("last_key")).select(F.lit(name).alias("asked_by"), "rows", "last_key")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def arrivals_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrivals landing year by year, December 1995 a year late, 1996 twice: what the stateful stream takes, per
+    year and month (H20)."""
+    from portmart.streaming.arrivals import read_arrivals, run_arrival_stream
+    raw = stage(orders_as_raw_arrivals(_t(spark, sf_dir, "orders"), _t(spark, sf_dir, "customer")))
+    landing, out, progress = (staging_path(spark, f"arrivals-{what}") for what in ("landing", "taken", "progress"))
+    late = (F.col("i94yr") == 1995) & (F.col("i94mon") == 12)
+    early = raw.filter("i94yr < 1996").filter(~late)
+    for part in (early, raw.filter("i94yr = 1996"), raw.filter(late), raw.filter("i94yr >= 1996"), raw.filter("i94yr = 1996")):
+        part.write.mode("append").parquet(landing)
+        run_arrival_stream(spark, landing, out, progress, delay="1200 days")
+    taken = read_arrivals(spark, out)
+    return taken.groupBy(F.col("i94yr").cast("int").alias("year"), F.col("i94mon").cast("int").alias("month")).agg(
+        F.count(F.lit(1)).alias("arrivals"), F.count_distinct("cicid").alias("ids"))
+
+
 QUERIES = {
+    "clustered_filter": clustered_filter,
+    "arrivals_stream": arrivals_stream,
     "drift_profile": drift_profile,
     "key_registry": key_registry,
     "quarantine_report": quarantine_report,

@@ -467,3 +467,13 @@ UNION ALL SELECT 'dim_temperature', (SELECT count(*) FROM ({ORACLE_SQL["temperat
 """
 
 ORACLE_SQL["arrivals_by_state_sql"] = ORACLE_SQL["arrivals_job_state_gender"]
+
+ORACLE_SQL["clustered_filter"] = """
+SELECT 'priority' AS asked_by, count(*) AS rows, max(o_orderkey) AS last_key FROM orders WHERE o_orderpriority = '2-HIGH'
+UNION ALL SELECT 'month', count(*), max(o_orderkey) FROM orders WHERE o_orderdate >= '1995-03-01' AND o_orderdate < '1995-04-01'
+"""
+
+ORACLE_SQL["arrivals_stream"] = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS arrivals, count(*) AS ids
+FROM orders GROUP BY ALL
+"""
