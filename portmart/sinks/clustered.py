@@ -39,12 +39,12 @@ def quantile_bounds(df: DataFrame, columns: Sequence[str], bits: int = BITS) ->
     return {c: sorted({b for b in (row[i] or []) if b is not None and b == b}) for i, c in enumerate(columns)}
 
 
-def rank(c: Column, bounds: Sequence) -> Column:
-    """How many bounds are at or below the value; 0 for null."""
-    out = F.lit(0)
-    for b in bounds:
-        out = out + F.coalesce(F.when(c >= F.lit(b), 1), F.lit(0))
-    return out
+def rank(c: Column, bounds: Sequence, below: int = 0) -> Column:
+    """How many of the ascending bounds are at or below the value, by halving; 0 for null."""
+    if not bounds:
+        return F.lit(below)
+    mid = len(bounds) // 2
+    return F.when(c >= F.lit(bounds[mid]), rank(c, bounds[mid + 1:], below + mid + 1)).otherwise(rank(c, bounds[:mid], below))
 
 
 def interleaved(ranks: Sequence[Column], bits: int = BITS) -> Column:
@@ -63,10 +63,13 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     the other columns."""
     kinds = dict(df.dtypes)
     bounds = quantile_bounds(df, columns, bits)
-    z = interleaved([rank(ordinal(_q(c), kinds[c]), bounds[c]) for c in columns], bits)
+    ordinals = df.withColumns({f"_o{i}": ordinal(_q(c), kinds[c]) for i, c in enumerate(columns)})
+    ranked = ordinals.withColumns({f"_r{i}": rank(F.col(f"_o{i}"), bounds[c]) for i, c in enumerate(columns)})
+    z = interleaved([F.col(f"_r{i}") for i in range(len(columns))], bits)
     n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tie = F.xxhash64(*[_q(c) for c in df.columns])
-    out = df.withColumn("_z", z).withColumn("_tie", tie).repartitionByRange(n, "_z", "_tie").sortWithinPartitions("_z", *[_q(c) for c in columns]).drop("_z", "_tie")
+    ordered = ranked.select(*[_q(c) for c in df.columns], z.alias("_z"), tie.alias("_tie")).repartitionByRange(n, "_z", "_tie")
+    out = ordered.sortWithinPartitions("_z", *[_q(c) for c in columns]).drop("_z", "_tie")
     writer = out.write.mode(mode)
     if row_group_bytes:
         writer = writer.option("parquet.block.size", row_group_bytes)
