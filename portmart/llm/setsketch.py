@@ -12,8 +12,10 @@ when 100 * |A and B| >= PERCENT * |A or B|; a class is what links connect.
 2. Bands. Equal sets become one representative. Registers are banded by ROWS; two sets at the limit
    share none of the BANDS bands with a probability of (1 - 0.8 ** 4) ** 48 = 1e-11.
 3. Estimate. What shares a band is estimated jointly, by the likelihood of the numbers of registers that are
-   larger, equal and smaller, given both sizes. A pair is left when the limit is exp(DOUBT) times less
-   likely than the estimate, or excluded by the sizes.
+   larger, equal and smaller, given both sizes. A pair is left out when the limit is exp(DOUBT) times less
+   likely than the estimate, or excluded by the sizes. Documents that share a band have FAMILIES * M fine registers
+   as well (a byte each), for the same test on the share of equal ones, which is sharper. Of two sets at the limit
+   a test leaves out 1 pair in 10 ** 8.
 4. Every member of a band is estimated against the band's least member, and verified on whole sets;
    links contract the members, so a group of copies of any size is few classes after as many checks as members.
 5. Bands that still hold several classes are compared in blocks of BLOCK members: members outside the
@@ -48,19 +50,20 @@ BASE = 1.005
 RATE = 20.0
 BANDS, ROWS = 48, 4
 DOUBT = 16.0
+FAMILIES = 4  # of M fine registers each
 BLOCK = 1024
 BEST = 2
 BATCH_BYTES = 4 << 20
 TASK_ROWS = 20_000
 
 
-def registers(hashes: list[np.ndarray]) -> np.ndarray:
-    """The M registers of every set of hashes; those of an empty set are 0."""
+def registers(hashes: list[np.ndarray], family: int = 0) -> np.ndarray:
+    """The M registers of every set of hashes; those of an empty set are 0. Each ``family`` is independent."""
     rows = len(hashes)
     least = np.full((rows, M), np.inf)
     flat = least.reshape(-1)
     row = np.repeat(np.arange(rows), [len(h) for h in hashes])
-    state = X.mix(np.concatenate([*hashes, np.zeros(0, np.uint64)]) ^ np.uint64(X.BASES[3]))
+    state = X.mix(np.concatenate([*hashes, np.zeros(0, np.uint64)]) ^ np.uint64(X.BASES[3] ^ (family * X.BASES[1] & X.M64)))
     keys = X.mix(state + np.uint64(1))
     value = np.zeros(len(row))
     for j in range(M):
@@ -117,6 +120,20 @@ def likely(na: np.ndarray, nb: np.ndarray, more: np.ndarray, less: np.ndarray) -
     return keep
 
 
+def fine_registers(hashes: list[np.ndarray]) -> np.ndarray:
+    """FAMILIES * M more registers of every set, of each the last byte: enough to count how many are equal."""
+    return np.concatenate([registers(hashes, f).astype(np.uint8) for f in range(1, FAMILIES + 1)], axis=1)
+
+
+def likely_by_fine(equal: np.ndarray) -> np.ndarray:
+    """Whether so many equal fine registers leave a link: they are equal with the sets' similarity at least (bytes
+    of different registers agree now and then, which only keeps more)."""
+    n, limit = FAMILIES * M, PERCENT / 100
+    p = np.clip(equal / n, 1e-9, 1 - 1e-9)
+    gap = n * (p * np.log(p / limit) + (1 - p) * np.log((1 - p) / (1 - limit)))
+    return (p >= limit) | (gap <= DOUBT)
+
+
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
     """Whether two sorted sets link."""
     both = len(a) + len(b) - len(np.union1d(a, b))
@@ -143,30 +160,36 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, text) -> (rep, digest, hashes)."""
+    """(id, text) -> (rep, digest, hashes, fine)."""
     for batch in batches:
         data, offsets = X.column_bytes(batch.column(1))
         for a, b in X.blocks(offsets, BATCH_BYTES):
             own = sets(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], SHINGLE)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array([_digest(s) if len(s) else None for s in own], pa.binary()),
-                                              pa.array([s.astype("<u8").tobytes() for s in own], pa.binary())], names=["rep", "digest", "hashes"])
+                                              pa.array([s.astype("<u8").tobytes() for s in own], pa.binary()),
+                                              pa.array([f.tobytes() for f in fine_registers(own)], pa.binary())], names=["rep", "digest", "hashes", "fine"])
 
 
 def _read_registers(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(X.column_bytes(column)[0].tobytes(), "<u2").reshape(-1, M)
 
 
-def _estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def _read_fine(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(X.column_bytes(column)[0].tobytes(), np.uint8).reshape(-1, FAMILIES * M)
+
+
+def _estimated(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """Those of ``pairs(a, b)`` that sizes and registers do not exclude."""
     for end in ("a", "b"):
-        pairs = pairs.join(reps.select(F.col("rep").alias(end), F.col("n").alias(f"n{end}"), F.col("registers").alias(f"r{end}")), end)
+        pairs = pairs.join(whole.select(F.col("rep").alias(end), *[F.col(c).alias(f"{c}{end}") for c in ("n", "registers", "fine")]), end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = _read_registers(batch.column(4)), _read_registers(batch.column(5))
             keep = likely(batch.column(2).to_numpy(), batch.column(3).to_numpy(), (x > y).sum(axis=1), (x < y).sum(axis=1))
+            keep &= likely_by_fine((_read_fine(batch.column(6)) == _read_fine(batch.column(7))).sum(axis=1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
-    return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "na", "nb", "registersa", "registersb", "finea", "fineb").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, whole: DataFrame) -> DataFrame:
@@ -189,7 +212,7 @@ def _compare(best: int | None):
         band, block = rows.column("band").to_numpy(), rows.column("block").to_numpy()
         rep, part, size = rows.column("rep").to_numpy(), rows.column("component").to_numpy(), rows.column("n").to_numpy()
         query, number = rows.column("query").to_numpy(), rows.column("number").to_numpy()
-        own = _read_registers(rows.column("registers"))
+        own, fine = _read_registers(rows.column("registers")), _read_fine(rows.column("fine"))
         order = np.lexsort((query, block, band))
         heads = np.flatnonzero(np.concatenate([[True], (np.diff(band[order]) != 0) | (np.diff(block[order]) != 0)]))
         found = [np.zeros((0, 2), np.int64)]
@@ -203,11 +226,14 @@ def _compare(best: int | None):
                 same = own[near] == own[q]
                 first = same[:, :BANDS * ROWS].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
                 at = np.flatnonzero(first == number[q])
+                at = at[likely(size[near[at]], np.full(len(at), size[q]), (own[near[at]] > own[q]).sum(axis=1), (own[near[at]] < own[q]).sum(axis=1))]
+                equal = (fine[near[at]] == fine[q]).sum(axis=1)
+                left = likely_by_fine(equal)
+                at, equal = at[left], equal[left]
                 if best is not None and len(at) > best:
-                    at = at[np.lexsort((rep[near[at]], -same[at].sum(axis=1)))[:best]]
+                    at = at[np.lexsort((rep[near[at]], -equal))[:best]]
                 near = near[at]
                 if len(near):
-                    near = near[likely(size[near], np.full(len(near), size[q]), (own[near] > own[q]).sum(axis=1), (own[near] < own[q]).sum(axis=1))]
                     found.append(np.sort(np.stack([rep[near], np.full(len(near), rep[q])], axis=1), axis=1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.Table.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
@@ -221,7 +247,7 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
 
 
-def _open_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame | None, best: int | None) -> DataFrame | None:
+def _open_pairs(members: DataFrame, whole: DataFrame, labels: DataFrame | None, best: int | None) -> DataFrame | None:
     """Pairs of different classes in one band that the estimate leaves (of each member the ``best`` in a block, if
     given); None if no band has two classes."""
     of = _labelled(members, labels)
@@ -235,7 +261,7 @@ def _open_pairs(members: DataFrame, reps: DataFrame, labels: DataFrame | None, b
     columns = ("band", "number", "rep", "component")
     data = opened.select(*columns, F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.lit(False).alias("query"))
     asks = opened.filter("component <> main").select(*columns, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("query"))
-    both = data.unionByName(asks).join(reps.select("rep", "n", "registers"), "rep")
+    both = data.unionByName(asks).join(whole.select("rep", "n", "registers", "fine"), "rep")
     tasks = max(partitions(members.sparkSession), -(-rows // TASK_ROWS))
     both = both.withColumn("task", F.pmod(F.xxhash64("band", "block"), F.lit(tasks)).cast("int"))
     return both.groupBy("task").applyInArrow(_compare(best), "a long, b long").distinct()
@@ -250,17 +276,20 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(
         i.alias("number"), F.xxhash64(i, F.substring(F.col("registers"), i * (2 * ROWS) + 1, F.lit(2 * ROWS))).alias("band")))
     dealt = reps.select("rep", F.explode(band).alias("_b")).select("rep", "_b.number", "_b.band")
-    shared = dealt.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # of bands with the same members the one with the least number is enough: it is the first that any two share
+    same = [F.sum(F.xxhash64(F.lit(i), "rep").cast("decimal(38, 0)")).alias(f"d{i}") for i in (1, 2)]
+    shared = dealt.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("m"), F.min("number").alias("number"), *same).filter("m > 1")
+    shared = shared.groupBy("pivot", "m", "d1", "d2").agg(F.min(F.struct("number", "band"))["band"].alias("band"))
     members = staged(dealt.join(shared.select("band", "pivot"), "band"), "bands")
-    texts = docs.withColumnRenamed("_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi").mapInArrow(_whole_sets, "rep long, digest binary, hashes binary")
-    whole = texts.join(reps.select("rep", F.col("digest").alias("_d")), "rep").filter("digest = _d").groupBy("rep", "digest").agg(F.first("hashes").alias("hashes"))
-    whole = staged(whole, "sets")
+    texts = docs.withColumnRenamed("_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi").mapInArrow(_whole_sets, "rep long, digest binary, hashes binary, fine binary")
+    whole = texts.groupBy("rep", "digest").agg(F.first("hashes").alias("hashes"), F.first("fine").alias("fine"))  # repeated rows
+    whole = staged(whole.join(reps, ["rep", "digest"]).select("rep", "n", "registers", "hashes", "fine"), "sets")
     near = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    asked = staged(_estimated(near, reps), "pairs")
+    asked = staged(_estimated(near, whole), "pairs")
     links = staged(_verified(asked, whole), "links")
     labels = components(links)
     for best in (BEST, None):
-        pairs = _open_pairs(members.select("band", "number", "rep"), reps, labels, best)
+        pairs = _open_pairs(members.select("band", "number", "rep"), whole, labels, best)
         if pairs is None:
             break
         pairs = staged(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")  # what was verified before did not link

@@ -109,3 +109,19 @@ def test_empty_table(spark):
     ensure_importable(spark)
     out = S.near_classes(spark.createDataFrame([], "doc_id long, text string"))
     assert out.columns == ["doc_id", "n_shingles", "component_id", "kept"] and not out.collect()
+
+
+def test_fine_registers_tell_near_misses():
+    """Pairs at the limit stay, most of those at 0.7 are told apart without their sets."""
+    rng = np.random.default_rng(9)
+
+    def kept(share, n=400):
+        out = 0
+        for _ in range(60):
+            pool = rng.integers(0, 2 ** 63, 2 * n).astype(np.uint64)
+            cut = int(n * (1 - share) / (1 + share))
+            x, y = S.fine_registers([pool[:n], pool[cut:n + cut]])
+            out += int(S.likely_by_fine(np.array([(x == y).sum()]))[0])
+        return out
+    assert kept(0.8) == 60 and kept(0.9) == 60 and kept(0.68) < 6
+    assert S.likely_by_fine(np.array([0, S.FAMILIES * S.M])).tolist() == [False, True]
