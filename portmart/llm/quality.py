@@ -130,9 +130,9 @@ def score(df: DataFrame, weights: np.ndarray, text_col: str = "text", score_col:
             z = np.full(batch.num_rows, w[-1])
             for a, b in X.blocks(offsets):
                 slots, bounds = features(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
-                sums = np.concatenate([[0.0], np.cumsum(w[slots])])
                 count = np.diff(bounds)
-                z[a:b] += SCALE * (sums[bounds[1:]] - sums[bounds[:-1]]) / np.maximum(count, 1)
+                full = np.flatnonzero(count)  # each text is summed up by itself, so its score is the same wherever it stands
+                z[a + full] += SCALE * np.add.reduceat(w[slots], bounds[full]) / count[full] if len(full) else 0
             p = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, score_col])
     return df.mapInArrow(run, schema)

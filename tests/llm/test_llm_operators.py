@@ -558,3 +558,58 @@ def test_word_store_forgets_without_changing_ids(monkeypatch):
         part = ["".join(rng.choice(bits) for _ in range(rng.randrange(14))) for _ in range(rng.randrange(1, 4))]
         ids, sizes = own.encode(part)
         assert [ids[e - n:e].tolist() for e, n in zip(sizes.cumsum(), sizes)] == [own.whole(t) for t in part]
+
+
+def test_scores_do_not_depend_on_the_batch(spark):
+    """The same text has the very same score wherever it stands, and as a plain sum gives it."""
+    import math
+
+    rows = corpus(6, 120)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)] + [(10_000 + i, t) for i, (_, t) in enumerate(rows)]
+    rng = np.random.default_rng(2)
+    weights = rng.normal(size=(1 << quality.BITS) + 1)
+    whole = spark.createDataFrame(rows, "doc_id long, text string")
+    one = {r["doc_id"]: r["score"] for r in quality.score(whole.coalesce(1), weights).collect()}
+    many = {r["doc_id"]: r["score"] for r in quality.score(whole.repartition(17), weights).collect()}
+    assert one == many and all(one[i] == one[10_000 + i] for i in range(len(rows) // 2))
+    for i, t in rows[:40]:
+        data, offsets = quality.X.column_bytes(pa.array([t or ""]))
+        slots, bounds = quality.features(data, offsets)
+        z = weights[-1] + quality.SCALE * sum(weights[slots].tolist()) / max(len(slots), 1)
+        assert math.isclose(one[i], 1 / (1 + math.exp(-max(-35, min(35, z)))), rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_classifier_learns_as_a_plain_loop_does(spark):
+    """Weights against follow-the-regularised-leader updates written out one coordinate at a time."""
+    import math
+
+    rng = random.Random(4)
+    good, bad = [f"g{i}" for i in range(30)], [f"b{i}" for i in range(30)]
+    rows = [(i, " ".join(rng.choice(good if i % 3 else bad) for _ in range(12))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(60)], "doc_id long, quality int")
+    got = quality.train(docs, labels)
+    keyed = docs.select("doc_id", F.xxhash64("doc_id").alias("k")).filter(quality.in_training_fold(F.col("doc_id"))).collect()
+    vectors = {r["k"]: r for r in docs.join(labels, "doc_id").select(F.xxhash64("doc_id").alias("k"), F.col("quality").alias("y"), F.col("text").alias("t"))
+               .mapInArrow(quality._vectors, "k long, y int, idx binary, val binary").collect()}
+    z, n = {}, {}
+
+    def weight(i):
+        n.setdefault(i, 0.0)
+        if abs(z.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        return -(z[i] - math.copysign(quality.L1, z[i])) / ((quality.BETA + math.sqrt(n[i])) / quality.ALPHA + quality.L2)
+    order = sorted(r["k"] for r in keyed)
+    for _ in range(quality.EPOCHS):
+        for k in order:
+            idx = [*np.frombuffer(vectors[k]["idx"], "<i4").tolist(), 1 << quality.BITS]  # the bias comes last
+            val = [*np.frombuffer(vectors[k]["val"], "<f4").tolist(), 1.0]
+            w = {i: weight(i) for i in idx}
+            p = 1 / (1 + math.exp(-sum(w[i] * x for i, x in zip(idx, val))))
+            for i, x in zip(idx, val):
+                g = (p - vectors[k]["y"]) * x
+                step = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / quality.ALPHA
+                z[i] = z.get(i, 0.0) + g - step * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    for i in z:
+        assert math.isclose(got[i], weight(i), rel_tol=1e-6, abs_tol=1e-9)
