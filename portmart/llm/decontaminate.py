@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portmart.llm import text as X
-from portmart.llm.staging import text_size
+from portmart.llm.staging import require_free, text_size
 
 Q = 12
 RATE = 0.05
@@ -155,7 +155,9 @@ def align(item: bytes, text: bytes, diagonal: int, width: int, k: int) -> int |
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
                item_text: str = "text", found_col: str = "leaks") -> DataFrame:
-    """``df`` with ``found_col``: the benchmark items its text holds, as (item_id, edits) by item."""
+    """``df`` with ``found_col``: the benchmark items its text holds, as (item_id, edits) by item. No column of
+    ``df`` may have that name."""
+    require_free(df, found_col)
     items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("t"))
     count = max(1, -(-text_size(items, "t")[1] // BLOCK_BYTES))
     at = df.columns.index(text_col)

@@ -135,7 +135,7 @@ TEMPLATES = (
 FAMILIES = {"Apache", "GPL", "LGPL", "AGPL", "BSD", "MPL"}
 MIN_COSINE = 0.7
 FILE_SHARE = 0.5  # a licence file: this share of its words is in license text
-HEAD = 40  # words at the start of a whole licence that name it
+TITLE = 40  # words that name a whole licence, from the first name on, wherever that stands
 _WORD = re.compile(r"[a-z0-9.+]*[a-z0-9+]")
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice)([.-].*)?$"
 
@@ -176,6 +176,15 @@ def identity(words: list[str]) -> tuple[frozenset, frozenset, frozenset]:
     return frozenset(names), frozenset(versions), frozenset(_TERMS[w] for w in words if w in _TERMS) if "cc" in names else frozenset()
 
 
+def title(words: list[str]) -> list[str]:
+    """The TITLE words from the first that names a licence on, none if no word does. What stands before, such as
+    copyright lines of any number, plays no part."""
+    for i, w in enumerate(words):
+        if w in _NAMES or (w == "general" and words[i + 1:i + 2] == ["public"]):
+            return words[max(0, i - 1):i + TITLE]
+    return []
+
+
 class Matcher:
     """Templates as TF-IDF vectors under the document counts ``df`` of ``n`` documents; ``full`` are
     whole licences."""
@@ -188,7 +197,7 @@ class Matcher:
         self.names, self.identities, self.index = [name for name, _ in every], [], {}
         anchors: tuple[set, set] = set(), set()
         for k, (_, words) in enumerate(every):
-            self.identities.append(identity(words if k < self.short else words[:HEAD]))
+            self.identities.append(identity(words if k < self.short else title(words)))
             vector = {w: c * self.idf[w] for w, c in Counter(words).items()}
             norm = math.sqrt(sum(v * v for v in vector.values()))
             for w, v in vector.items():
@@ -232,7 +241,7 @@ class Matcher:
         near = [k for k, d in enumerate(dots) if d >= MIN_COSINE * norm]
         if not near:
             return max(dots) / norm, None
-        mine, head = identity(words), identity(words[:HEAD])
+        mine, head = identity(words), identity(title(words))
         near = [k for k in near if self.holds(k, mine, head)]
         if not near:
             return max(dots) / norm, None

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from portmart.llm import text as X
+from portmart.llm.staging import require_free
 
 SHIFT = 2.7
 BYTE_SHARE = 0.01
@@ -232,7 +233,9 @@ def encode_pieces(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
 
 
 def decode_pieces(df: DataFrame, model_path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``df`` with ``text_col``: the text of the piece ids (null ids: the empty text)."""
+    """``df`` with ``text_col``: the text of the piece ids (null ids: the empty text). No column of ``df`` may
+    have that name."""
+    require_free(df, text_col)
     from pyspark.sql import types as T
 
     at = df.columns.index(ids_col)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from portmart.llm import text as X
+from portmart.llm.staging import require_free
 
 BITS = 18
 MAX_TRAIN = 6000
@@ -118,7 +119,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_col: st
 
 
 def score(df: DataFrame, weights: np.ndarray, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """``df`` with ``score_col`` (0 to 1) put behind its columns."""
+    """``df`` with ``score_col`` (0 to 1) put behind its columns, which must not have that name."""
+    require_free(df, score_col)
     shared = df.sparkSession.sparkContext.broadcast(weights)
     at = df.columns.index(text_col)
     schema = T.StructType([*df.schema.fields, T.StructField(score_col, T.DoubleType())])

@@ -23,3 +23,9 @@ def text_size(df: DataFrame, text: str) -> tuple[int, int]:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def require_free(df: DataFrame, name: str) -> None:
+    """Refuse to add a column that ``df`` has already (names match in any case)."""
+    if name.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"{name} is a column already; name the new one otherwise")

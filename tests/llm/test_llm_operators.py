@@ -613,3 +613,24 @@ def test_classifier_learns_as_a_plain_loop_does(spark):
                 n[i] = n.get(i, 0.0) + g * g
     for i in z:
         assert math.isclose(got[i], weight(i), rel_tol=1e-6, abs_tol=1e-9)
+
+
+@pytest.mark.parametrize("before", [0, 12, 300])
+def test_a_renamed_license_is_told_wherever_its_title_stands(before):
+    """The title counts, not the first words of the file."""
+    m, texts = license_matcher(), dict(license_scan.full_templates())
+    lines = "".join(f"Copyright (c) {1990 + i % 30} Holder {i}\n" for i in range(before))
+    whole = {n: m.scan(lines + texts[n])[0] for n in ("LGPL-2.1", "GPL-3.0", "Apache-2.0")}
+    if before < 300:  # beyond that the lines of names are most of the words
+        assert whole == {n: n for n in whole}
+    other = texts["LGPL-2.1"].replace("LESSER", "LIBRARY").replace("Lesser", "Library").replace("2.1", "2.0")
+    assert m.scan(lines + other)[0] != "LGPL-2.1"
+
+
+def test_clashing_names_are_refused(spark):
+    df = table(spark, [(1, "a")])
+    benchmark = spark.createDataFrame([(1, "x y z")], "item_id long, text string")
+    for add in (lambda: quality.score(df, np.zeros((1 << quality.BITS) + 1)), lambda: decontaminate.find_leaks(df, benchmark, found_col="Leaks"),
+                lambda: pieces.decode_pieces(df.withColumn("ids", F.array(F.lit(1))), queries.PIECE_MODEL, text_col="KEPT")):
+        with pytest.raises(ValueError, match="column already"):
+            add()
