@@ -7,7 +7,7 @@ of ``documents``:
 1. ``quality``: the classifier learns from the labelled training folds; rejected documents go.
 2. ``exact_dedup``: of equal texts the document with the largest id stays.
 3. ``near_dedup``: of documents that Jaccard links connect, the one with the least id stays.
-4. ``decontaminate``: documents that hold a benchmark passage go.
+4. ``decontaminate``: documents that hold a benchmark passage, or a long region of one, go.
 5. ``sentencepiece``: sampled piece ids of what is left, with the check that they decode to the text.
 
 Null, empty, very long and repeated texts, ties and empty tables: as each operator states; an empty
@@ -53,9 +53,9 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ensure_importable(spark)
-    found = _free(docs, "leaks")
-    out = leaks.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), found_col=found)
-    return out.filter(F.size(found) == 0).drop(found)
+    found, parts = _free(docs, "leaks"), _free(docs, "parts")
+    out = leaks.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), found_col=found, part_col=parts)
+    return out.filter((F.size(found) == 0) & (F.size(parts) == 0)).drop(found, parts)
 
 
 def piece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,10 @@ of its q-grams, on diagonals (text position - item position) that differ by k at
 2. bands with fewer hits than the bound can't hold the item and are left;
 3. the rest is verified by an alignment over the band's diagonals and k beside them.
 
+Regions: a text may hold a half of an item, or the item with words replaced, which is more than k edits. So the
+same is asked of long regions of the items (REGION_SHARE of an item and at least REGION_BYTES, one beginning every
+REGION_STEP of it), each with its own k, where the item as a whole is not found.
+
 k is lowered for short items so that the bound stays above 0; items shorter than q must occur
 as they are. The items go to the tasks in blocks of BLOCK_BYTES of text, one after the other, so
 what is broadcast is bounded; texts are never shuffled.
@@ -33,6 +37,8 @@ from portmart.llm.staging import require_free, text_size
 
 Q = 12
 RATE = 0.05
+REGION_BYTES = 48  # of an item, at least
+REGION_SHARE, REGION_STEP = 0.4, 0.05  # of an item's length
 BLOCK_BYTES = 8 << 20
 _BITMAP = 22
 _FOLD = X.LOWER.copy()
@@ -65,10 +71,28 @@ def qgrams(data: np.ndarray) -> np.ndarray:
     return h
 
 
-class Items:
-    """Q-gram index of a block of items."""
+def regions(text: bytes) -> list[bytes]:
+    """The overlapping long regions of an item, none if it is hardly longer than one. Any stretch of
+    REGION_SHARE + REGION_STEP of a long item holds a whole one."""
+    m = len(text)
+    size, step = max(REGION_BYTES, -(-int(m * REGION_SHARE * 100) // 100)), max(1, int(m * REGION_STEP))
+    if size + step > m:
+        return []
+    return [text[a:a + size] for a in [*range(0, m - size, step), m - size]]
+
 
-    def __init__(self, ids: list, texts: list[bytes]):
+class Items:
+    """Q-gram index of a block of items, with ``parts`` of their long regions too: those are numbered behind the
+    items, ``parent`` has the item of each."""
+
+    def __init__(self, ids: list, texts: list[bytes], parts: bool = False):
+        self.whole, self.parent = len(texts), list(range(len(texts)))
+        ids, texts = list(ids), list(texts)
+        for i, t in enumerate(texts[:self.whole] if parts else ()):
+            for region in regions(t):
+                ids.append(ids[i])
+                texts.append(region)
+                self.parent.append(i)
         self.ids, self.texts = ids, texts
         self.size = np.array([len(t) for t in texts], np.int64)
         self.edits = np.maximum(np.minimum(np.floor(self.size * RATE), (self.size - Q) // Q), 0).astype(np.int64)
@@ -86,7 +110,7 @@ class Items:
         self.bitmap[(self.keys >> np.uint64(64 - _BITMAP)).astype(np.int64)] = True
 
     def find(self, data: np.ndarray, offsets: np.ndarray) -> dict[int, dict[int, int]]:
-        """{row: {item: least number of edits found}} of folded texts."""
+        """{row: {item: least number of edits found}} of folded texts; a region only where its item is not found."""
         found: dict[int, dict[int, int]] = {}
         for a, b in X.blocks(offsets):
             lo, part = offsets[a], data[offsets[a]:offsets[b]]
@@ -114,12 +138,17 @@ class Items:
                 row, item, band = (key >> 31) // len(self.ids), (key >> 31) % len(self.ids), key & ((1 << 31) - 1)
                 if band == (1 << 31) - 1:  # band -1 of the row's item reaches into the next key
                     continue
+                if item >= self.whole and self.parent[item] in found.get(a + row, ()):
+                    continue
                 text = part[offsets[a + row] - lo:offsets[a + row + 1] - lo]
                 k = int(self.edits[item])
                 edits = align(self.texts[item], text.tobytes(), band * (k + 1) - int(self.size[item]), 2 * (k + 1), k)
                 if edits is not None:
                     mine = found.setdefault(a + row, {})
-                    mine[item] = min(edits, mine.get(item, edits))
+                    if item < self.whole:
+                        mine[item] = min(edits, mine.get(item, edits))
+                    else:  # one region is enough
+                        mine[~self.parent[item]] = 0
         for i in self.short:
             for row in range(len(offsets) - 1):
                 if self.texts[i] in data[offsets[row]:offsets[row + 1]].tobytes():
@@ -154,29 +183,40 @@ def align(item: bytes, text: bytes, diagonal: int, width: int, k: int) -> int |
 
 
 def find_leaks(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-               item_text: str = "text", found_col: str = "leaks") -> DataFrame:
+               item_text: str = "text", found_col: str = "leaks", part_col: str | None = None) -> DataFrame:
     """``df`` with ``found_col``: the benchmark items its text holds, as (item_id, edits) by item. No column of
-    ``df`` may have that name."""
+    ``df`` may have that name. ``part_col``: also the ids of items of which the text holds a long region only
+    (``regions``), each with its own budget of edits."""
     require_free(df, found_col)
+    if part_col is not None:
+        require_free(df, part_col)
     items = benchmark.select(F.col(item_id).cast("long").alias("i"), F.coalesce(F.col(item_text).cast("string"), F.lit("")).alias("t"))
     count = max(1, -(-text_size(items, "t")[1] // BLOCK_BYTES))
     at = df.columns.index(text_col)
     found_type = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.IntegerType())]))
     arrow = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32())]))
-    schema = T.StructType([*df.schema.fields, T.StructField(found_col, found_type)])
+    added = [T.StructField(found_col, found_type), *([T.StructField(part_col, T.ArrayType(T.LongType()))] if part_col is not None else [])]
+    schema = T.StructType([*df.schema.fields, *added])
+    place = len(df.columns)
     out = df
     for block in range(count):
         rows = items.filter(F.pmod(F.xxhash64("i", "t"), F.lit(count)) == block).orderBy("i", "t").collect()  # at most about BLOCK_BYTES
-        shared = df.sparkSession.sparkContext.broadcast(Items([r["i"] for r in rows], [folded(r["t"].encode()) for r in rows]))
+        texts = [folded(r["t"].encode()) for r in rows]
+        shared = df.sparkSession.sparkContext.broadcast(Items([r["i"] for r in rows], texts, part_col is not None))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared, again=block > 0) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
                 data, offsets = X.column_bytes(batch.column(at))
                 found = index.find(fold(data), offsets)
-                old = batch.column(batch.num_columns - 1).to_pylist() if again else [[]] * batch.num_rows
-                new = [sorted(o + [{"item_id": index.ids[i], "edits": e} for i, e in found.get(r, {}).items()], key=lambda x: (x["item_id"] is not None, x["item_id"] or 0, x["edits"])) for r, o in enumerate(old)]
-                columns = batch.columns[:-1] if again else batch.columns
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(new, arrow)], names=[f.name for f in schema.fields])
+                old = batch.column(place).to_pylist() if again else [[]] * batch.num_rows
+                new = [sorted(o + [{"item_id": index.ids[i], "edits": e} for i, e in found.get(r, {}).items() if i >= 0],
+                              key=lambda x: (x["item_id"] is not None, x["item_id"] or 0, x["edits"])) for r, o in enumerate(old)]
+                columns = [*batch.columns[:place], pa.array(new, arrow)]
+                if part_col is not None:
+                    old = batch.column(place + 1).to_pylist() if again else [[]] * batch.num_rows
+                    parts = [sorted({*o, *(index.ids[~i] for i in found.get(r, {}) if i < 0 and ~i not in found[r])}, key=lambda x: (x is not None, x or 0)) for r, o in enumerate(old)]
+                    columns.append(pa.array(parts, pa.list_(pa.int64())))
+                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema.fields])
         out = out.mapInArrow(run, schema)
     return out

@@ -51,11 +51,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: doc_id, contaminated, n_items, item_ids (ascending), min_edits."""
-    found = decontaminate.find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    """One row per document: doc_id, contaminated, n_items, item_ids (ascending), min_edits, part_item_ids (items of
+    which it holds a long region only)."""
+    found = decontaminate.find_leaks(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"), part_col="parts")
     n = F.size("leaks")
-    return found.select("doc_id", (n > 0).alias("contaminated"), n.cast("long").alias("n_items"),
-                        F.col("leaks.item_id").alias("item_ids"), F.array_min("leaks.edits").alias("min_edits"))
+    return found.select("doc_id", ((n > 0) | (F.size("parts") > 0)).alias("contaminated"), n.cast("long").alias("n_items"),
+                        F.col("leaks.item_id").alias("item_ids"), F.array_min("leaks.edits").alias("min_edits"), F.col("parts").alias("part_item_ids"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -634,3 +634,52 @@ def test_clashing_names_are_refused(spark):
                 lambda: pieces.decode_pieces(df.withColumn("ids", F.array(F.lit(1))), queries.PIECE_MODEL, text_col="KEPT")):
         with pytest.raises(ValueError, match="column already"):
             add()
+
+
+def test_long_regions_of_items_are_found(spark):
+    """Recall on halves of items and on items with words replaced, and nothing found in other texts."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 10)))
+    items = [(i, " ".join(word() for _ in range(rng.randrange(15, 60)))) for i in range(60)]
+    filler = [word() for _ in range(3000)]
+
+    def half(w):
+        a = rng.randrange(len(w) - len(w) // 2 + 1)
+        return w[a:a + len(w) // 2]
+
+    def replaced(w):
+        w = list(w)
+        w[rng.randrange(len(w))] = word()
+        return w
+    docs, wanted = [], {}
+    for i, text in items:
+        for n, change in enumerate((half, replaced, list)):
+            host = rng.sample(filler, 40)
+            at = rng.randrange(40)
+            host[at:at] = change(text.split(" "))
+            docs.append((10 * i + n, " ".join(host)))
+            wanted[10 * i + n] = i
+    docs += [(5000 + i, " ".join(rng.sample(filler, 60))) for i in range(60)] + [(9000, None), (9001, ""), (9002, " ".join(filler * 40))]
+    bench = spark.createDataFrame([*items, (500, None), (501, ""), (502, "short")], "item_id long, text string")
+    out = decontaminate.find_leaks(table(spark, docs), bench, found_col="whole", part_col="part")
+    got = {r["doc_id"]: ([x["item_id"] for x in r["whole"]], list(r["part"])) for r in out.collect()}
+    assert all(not set(a) & set(b) for a, b in got.values())
+    for n in range(3):
+        mine = [d for d in wanted if d % 10 == n]
+        assert sum(wanted[d] in got[d][0] + got[d][1] for d in mine) >= 0.9 * len(mine), n
+    assert all(got[d][0] == [wanted[d]] for d in wanted if d % 10 == 2)
+    assert all(got[d] == ([], []) for d in got if d >= 5000)
+
+
+def test_regions_cover_every_stretch():
+    for m in (60, 110, 130, 200, 394, 5000):
+        text = bytes(rng % 251 for rng in range(m))
+        parts = decontaminate.regions(text)
+        if not parts:
+            assert m < 60
+            continue
+        size = len(parts[0])
+        assert all(len(p) == size >= decontaminate.REGION_BYTES for p in parts)
+        step = max(1, int(m * decontaminate.REGION_STEP))
+        for a in range(m - size - step + 1):
+            assert any(p in text[a:a + size + step] for p in parts)
