@@ -209,10 +209,20 @@ def _compare(best: int | None):
     task; of each query only the ``best`` likeliest in a block, if given."""
 
     def run(rows: pa.Table) -> pa.Table:
-        band, block = rows.column("band").to_numpy(), rows.column("block").to_numpy()
-        rep, part, size = rows.column("rep").to_numpy(), rows.column("component").to_numpy(), rows.column("n").to_numpy()
-        query, number = rows.column("query").to_numpy(), rows.column("number").to_numpy()
-        own, fine = _read_registers(rows.column("registers")), _read_fine(rows.column("fine"))
+        # rows with registers come once a document, however many of its bands are here; the others point to them
+        sketched = rows.filter(rows.column("registers").is_valid())
+        rows = rows.filter(rows.column("registers").is_null())
+        by_rep = np.argsort(sketched.column("rep").to_numpy(), kind="stable")
+        known = sketched.column("rep").to_numpy()[by_rep]
+        own, fine = _read_registers(sketched.column("registers"))[by_rep], _read_fine(sketched.column("fine"))[by_rep]
+        rep = rows.column("rep").to_numpy()
+        first, last = np.searchsorted(known, rep), np.searchsorted(known, rep, "right")
+        at = np.repeat(np.arange(len(rep)), last - first)  # an id with several texts is there for each
+        sketch = first[at] + np.arange(len(at)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)
+        rep, own, fine, size = rep[at], own[sketch], fine[sketch], sketched.column("n").to_numpy()[by_rep][sketch]
+        band, block, part, query, number = (rows.column(c).to_numpy()[at] for c in ("band", "block", "component", "query", "number"))
+        if not len(rep):
+            return pa.Table.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
         order = np.lexsort((query, block, band))
         heads = np.flatnonzero(np.concatenate([[True], (np.diff(band[order]) != 0) | (np.diff(block[order]) != 0)]))
         found = [np.zeros((0, 2), np.int64)]
@@ -257,13 +267,22 @@ def _open_pairs(members: DataFrame, whole: DataFrame, labels: DataFrame | None,
     rows = opened.count()
     if not rows:
         return None
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    columns = ("band", "number", "rep", "component")
-    data = opened.select(*columns, F.pmod(F.xxhash64("rep"), blocks).cast("int").alias("block"), F.lit(False).alias("query"))
-    asks = opened.filter("component <> main").select(*columns, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("query"))
-    both = data.unionByName(asks).join(whole.select("rep", "n", "registers", "fine"), "rep")
+    # bands of one group of copies have mostly the same least member: their blocks go to one task, and a
+    # document's registers go there once
+    sizes = opened.groupBy("pivot").agg(F.max("m").alias("most"))
+    opened = opened.join(sizes, "pivot")
+    blocks = F.ceil(F.col("most") / BLOCK).cast("int")
+    columns = ("pivot", "band", "number", "rep", "component")
+    # every block of members meets every block of askers: a task has at most BLOCK of each in a band
+    own, every = F.pmod(F.xxhash64("rep"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    data = opened.select(*columns, blocks.alias("_n"), own.alias("_m"), every.alias("_q"), F.lit(False).alias("query"))
+    asks = opened.filter("component <> main").select(*columns, blocks.alias("_n"), every.alias("_m"), own.alias("_q"), F.lit(True).alias("query"))
+    places = data.unionByName(asks).withColumn("block", F.col("_m") * F.col("_n").cast("long") + F.col("_q"))
     tasks = max(partitions(members.sparkSession), -(-rows // TASK_ROWS))
-    both = both.withColumn("task", F.pmod(F.xxhash64("band", "block"), F.lit(tasks)).cast("int"))
+    task = F.pmod(F.xxhash64("pivot", "block"), F.lit(tasks)).cast("int")
+    places = places.withColumn("task", task).drop("pivot", "_n", "_m", "_q")
+    sketches = places.select("task", "rep").distinct().join(whole.select("rep", "n", "registers", "fine"), "rep")
+    both = places.unionByName(sketches, allowMissingColumns=True)
     return both.groupBy("task").applyInArrow(_compare(best), "a long, b long").distinct()
 
 
@@ -289,7 +308,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = staged(_verified(asked, whole), "links")
     labels = components(links)
     for best in (BEST, None):
-        pairs = _open_pairs(members.select("band", "number", "rep"), whole, labels, best)
+        pairs = _open_pairs(members.select("band", "number", "rep", "pivot"), whole, labels, best)
         if pairs is None:
             break
         pairs = staged(pairs.join(asked, ["a", "b"], "left_anti"), "pairs")  # what was verified before did not link
