@@ -42,6 +42,7 @@ from portmart.llm import text as X
 from portmart.llm.components import components
 from portmart.llm.ngram_join import sets
 from portmart.llm.staging import partitions, staged
+from portmart.operators.joins import broadcast_if_small
 
 SHINGLE = 4
 PERCENT = 80
@@ -300,7 +301,9 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = dealt.groupBy("band").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("m"), F.min("number").alias("number"), *same).filter("m > 1")
     shared = shared.groupBy("pivot", "m", "d1", "d2").agg(F.min(F.struct("number", "band"))["band"].alias("band"))
     members = staged(dealt.join(shared.select("band", "pivot"), "band"), "bands")
-    texts = docs.withColumnRenamed("_id", "rep").join(members.select("rep").distinct(), "rep", "left_semi").mapInArrow(_whole_sets, "rep long, digest binary, hashes binary, fine binary")
+    # a list of ids of a checked size is broadcast, so texts are not shuffled; a longer one is joined plainly
+    shared_ids = broadcast_if_small(staged(members.select("rep").distinct(), "candidates"))
+    texts = docs.withColumnRenamed("_id", "rep").join(shared_ids, "rep", "left_semi").mapInArrow(_whole_sets, "rep long, digest binary, hashes binary, fine binary")
     whole = texts.groupBy("rep", "digest").agg(F.first("hashes").alias("hashes"), F.first("fine").alias("fine"))  # repeated rows
     whole = staged(whole.join(reps, ["rep", "digest"]).select("rep", "n", "registers", "hashes", "fine"), "sets")
     near = members.filter("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
