@@ -51,13 +51,27 @@ def _file_key(path: Column) -> Column:
     return F.array_join(wide, "")
 
 
+def _file_ranks(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, file_key): the rank of every file's name by its ``_file_key``. A name stands there in both spellings
+    of an empty host (``file:///a``, ``file:/a``), as a listing and a scan may differ in it."""
+    names = [(spelling, f) for f in files for spelling in sorted({f, re.sub("^([^:/]+):///", r"\1:/", f)})]
+    rank = F.dense_rank().over(Window.orderBy(_file_key(F.col("name"))))
+    return spark.createDataFrame(names, "file string, name string").select("file", rank.alias("file_key"))
+
+
 def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(line, file, file_key, block, seq) of every line under ``path``; ``LINE_ORDER`` sorts them by file
-    and place in it. One scan."""
-    file = F.col("_metadata.file_path")
-    return spark.read.text(path).select(
-        F.col("value").alias("line"), file.alias("file"), _file_key(file).alias("file_key"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
+    and place in it. ``file_key`` is the rank of the file's name among those that are read, so lines are sorted by
+    three numbers. One scan."""
+    text = spark.read.text(path)
+    lines = text.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"))
+    files = text.inputFiles()
+    ranks = _file_ranks(spark, files)
+    # one row per file: broadcast when the files are few, else a plain join
+    side = F.broadcast(ranks) if len(files) <= MAX_BROADCAST_SPLITS else ranks
+    unlisted = F.raise_error(F.concat(F.lit("not among the listed files: "), F.col("file"))).cast("int")
+    return lines.join(side, "file", "left").select("line", "file", F.coalesce("file_key", unlisted).alias("file_key"), "block", "seq")
 
 
 def read_numbered_lines(spark: SparkSession, path: str) -> DataFrame:

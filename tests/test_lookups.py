@@ -112,6 +112,24 @@ def test_line_order_sorts_part_numbers_as_numbers_with_one_scan(spark, tmp):
     assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
 
 
+def test_lines_are_ordered_by_numbers_alone(spark, tmp):
+    """What is sorted by does not hold the file's name, however long that is and whatever it is spelled with."""
+    from portmart.operators.lookups import COUNTRY_RULE, label_table
+    from portmart.sources.labels import LINE_ORDER, read_ordered_lines
+    import os
+    path = f"{tmp}/a b%20c=ü/" + "9a" * 60
+    os.makedirs(path)
+    for n in (2, 10, 1):
+        with open(f"{path}/part-{n}", "w") as fh:
+            fh.write("".join(f"{i} = '{n}'\n" for i in range(n)))
+    lines = read_ordered_lines(spark, path)
+    assert {dict(lines.dtypes)[c] for c in LINE_ORDER} <= {"int", "bigint"}
+    last = [r["line"] for r in lines.orderBy(*LINE_ORDER).collect()]
+    assert last == [f"{i} = '{n}'" for n in (1, 2, 10) for i in range(n)]
+    got = label_table(lines, COUNTRY_RULE, "code", "name", order=LINE_ORDER)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((str(i), "10") for i in range(10))
+
+
 def test_lookup_with_a_repeated_code_raises(spark):
     from portmart.operators.joins import lookup_join
     fact = spark.createDataFrame([(1, "a")], "id int, k string")
