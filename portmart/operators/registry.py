@@ -10,14 +10,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from portmart.operators.joins import estimated_bytes
 from portmart.operators.keys import with_dense_key
-from portmart.sinks.versions import Conflict, VersionedTables
+from portmart.session import staging_path
+from portmart.sinks.versions import Conflict, Version, VersionedTables
 
 _TABLE, _FIRST, _ID = "ids", "first_id", "id"
+FILE_BYTES = 32 << 20  # of staged keys that go to one task and file
 
 
 class KeyRegistry:
@@ -34,23 +37,30 @@ class KeyRegistry:
         """(key columns, id)."""
         return self.store.read(_TABLE).drop(_FIRST)
 
-    def _same(self, left: DataFrame, right: DataFrame) -> Column:
-        on = F.lit(True)
-        for k in self.keys.names:
-            on = on & left[_q(k)].eqNullSafe(right[_q(k)])
-        return on
+    def _unknown(self, df: DataFrame, now: Version) -> DataFrame:
+        """The distinct keys of ``df`` that have no id in ``now``: both sides are grouped by key, in one exchange."""
+        names = [F.col(_q(k)) for k in self.keys.names]
+        asked = df.select(*[F.col(_q(f.name)).cast(f.dataType).alias(f.name) for f in self.keys.fields])
+        if not now.rows(_TABLE):
+            return asked.distinct()
+        known = self.store.read(_TABLE, now).select(*names, _ID)
+        both = asked.withColumn(_ID, F.lit(None).cast("long")).unionByName(known)
+        return both.groupBy(*names).agg(F.max(_ID).alias(_ID)).filter(F.col(_ID).isNull()).select(*names)
 
     def register(self, df: DataFrame, attempts: int = 5) -> int:
         """Give an id to every key of ``df`` that has none; the number of new keys."""
-        asked = df.select(*[F.col(_q(f.name)).cast(f.dataType).alias(f.name) for f in self.keys.fields]).distinct()
         for _ in range(attempts):
             now = self.store.version()
-            known = self.store.read(_TABLE, now)
-            new = asked.join(known, self._same(asked, known), "left_anti")
             last = now.rows(_TABLE)  # ids have no gaps
-            rows = with_dense_key(new, _ID, self.keys.names).withColumn(_ID, (F.col(_ID) + last).cast("long")).withColumn(_FIRST, F.lit(last + 1).cast("long"))
+            ranged = staging_path(self.spark, "dense-key")
+            rows = with_dense_key(self._unknown(df, now), _ID, self.keys.names, stage_to=ranged)
+            rows = rows.withColumn(_ID, (F.col(_ID) + last).cast("long")).withColumn(_FIRST, F.lit(last + 1).cast("long"))
+            # the one folder is written from the staged ranges as they are; small ones go together
+            staged_bytes = estimated_bytes(self.spark.read.parquet(ranged))
+            if staged_bytes is not None:
+                rows = rows.coalesce(staged_bytes // FILE_BYTES + 1)
             try:
-                return self.store.publish({_TABLE: rows}, expect=now).rows(_TABLE) - last
+                return self.store.publish({_TABLE: rows}, expect=now, rebalance=False).rows(_TABLE) - last
             except Conflict:
                 continue
         raise RuntimeError(f"{self.store.root}: {attempts} registrations were overtaken")

@@ -112,10 +112,10 @@ class VersionedTables:
         out = self.spark.read.schema(stored).option("basePath", f"{self.root}/{table}").parquet(*folders)
         return out.select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
 
-    def _write(self, table: str, df: DataFrame, batch: str, sort: Iterable[str]) -> dict[str, dict]:
+    def _write(self, table: str, df: DataFrame, batch: str, sort: Iterable[str], rebalance: bool) -> dict[str, dict]:
         path = f"{self.root}/{table}/{_BATCH}={batch}"
         columns = [F.col(f"`{n}`") for n in self.schemas[table].fieldNames()]
-        write_partitioned(df.select(*columns), path, list(self.layout), mode="errorifexists", sort_within=list(sort))
+        write_partitioned(df.select(*columns), path, list(self.layout), mode="errorifexists", sort_within=list(sort), rebalance=rebalance)
         # rows per folder, from the files' footers
         folder = F.regexp_extract(F.col("_metadata.file_path"), "/((?:[^/=]+=[^/]*/){%d})[^/]+$" % len(self.layout), 1)
         written = self.spark.read.schema(self.schemas[table]).parquet(path).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("rows")).collect()
@@ -123,12 +123,13 @@ class VersionedTables:
         return {unquote(r["folder"]).rstrip("/"): {"batch": batch, "rows": r["rows"]} for r in written}
 
     def publish(self, tables: Mapping[str, DataFrame], sort_within: Mapping[str, Iterable[str]] | None = None, attempts: int = 10,
-                expect: Version | None = None) -> Version:
+                expect: Version | None = None, rebalance: bool = True) -> Version:
         """Replace the months of ``tables`` in all of them at once. A month that any of the frames
         holds is replaced as a whole in every table, also where the new rows are none. With ``expect`` the new
-        version must follow that one: Conflict if another came between."""
+        version must follow that one: Conflict if another came between. ``rebalance=False`` writes the frames in the
+        partitions they have (``writers.write_partitioned``)."""
         batch = uuid.uuid4().hex
-        new = {name: self._write(name, df, batch, (sort_within or {}).get(name, ())) for name, df in tables.items()}
+        new = {name: self._write(name, df, batch, (sort_within or {}).get(name, ()), rebalance) for name, df in tables.items()}
         touched = {folder for months in new.values() for folder in months}
         for attempt in range(attempts):
             now = self.version()

@@ -17,16 +17,17 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "overwrite",
                       max_records_per_file: int = 5_000_000, dynamic: bool = False,
-                      sort_within: Sequence[str] = ()) -> None:
+                      sort_within: Sequence[str] = (), rebalance: bool = True) -> None:
     """Parquet sink split into ``partition_by`` directories (A10).
 
     ``rebalance`` shuffles by the partition columns so each directory gets few files, and lets
     AQE split a partition value holding a large share of the rows into several tasks (and
     coalesce small ones); ``maxRecordsPerFile`` caps file size. ``dynamic=True`` overwrites only
     the partitions present in ``df`` (H20). ``sort_within`` clusters rows inside each file, so
-    Parquet min/max statistics let filters on those columns skip row groups.
+    Parquet min/max statistics let filters on those columns skip row groups. ``rebalance=False``
+    leaves the shuffle out, for rows whose partitions fit the directories already.
     """
-    out = df.hint("rebalance", *partition_by)
+    out = df.hint("rebalance", *partition_by) if rebalance else df
     if sort_within:
         out = out.sortWithinPartitions(*partition_by, *sort_within)
     writer = (out.write.mode(mode)

@@ -145,3 +145,21 @@ def test_small_result_to_the_driver(spark):
     got = preview(df, 3)
     assert got.columns.tolist() == ["id", "twice"] and got["twice"].tolist() == [0, 2, 4]
     assert len(preview(df.limit(2))) == 2 and "GlobalLimit" in df.limit(3)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_registration_asks_once_and_keeps_repeats_and_nulls_apart(spark, tmp):
+    """Keys that are null or repeat, over two registrations; one exchange tells the new ones, and the folder is
+    written as the ranges are, without another one."""
+    from portmart.sinks.writers import write_partitioned
+    reg = KeyRegistry(spark, f"{tmp}/ids", KEYS)
+    names = KEYS.names
+    first = spark.createDataFrame([tuple(v if i == 0 else None for i in range(len(names))) for v in ("b", None, "b", None)], KEYS)
+    assert reg.register(first) == 2
+    more = spark.createDataFrame([tuple(v if i == 0 else None for i in range(len(names))) for v in ("c", "b", None, "a", "a")], KEYS)
+    plan = reg._unknown(more, reg.store.version())._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert reg.register(more) == 2 and reg.register(more) == 0
+    assert {r[names[0]]: r["id"] for r in reg.read().collect()} == {None: 1, "b": 2, "a": 3, "c": 4}
+    assert all(len([f for f in os.listdir(d) if f.endswith(".parquet")]) == 1 for d, _, fs in os.walk(f"{tmp}/ids/ids") if any(f.endswith(".parquet") for f in fs))
+    write_partitioned(spark.range(99, numPartitions=3).selectExpr("id", "1 AS p"), f"{tmp}/plain", ["p"], rebalance=False)
+    assert len([f for f in os.listdir(f"{tmp}/plain/p=1") if f.endswith(".parquet")]) == 3
