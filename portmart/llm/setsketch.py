@@ -18,10 +18,12 @@ when 100 * |A and B| >= PERCENT * |A or B|; a class is what links connect.
    a test leaves out 1 pair in 10 ** 8.
 4. Every member of a band is estimated against the band's least member, and verified on whole sets;
    links contract the members, so a group of copies of any size is few classes after as many checks as members.
-5. Bands that still hold several classes are compared in blocks of BLOCK members: members outside the
-   band's largest class against all members of other classes, within the task that holds the block. A pair is judged
-   in its first common band only, and only pairs that pass the estimate leave the task, to be verified. First each
-   member's BEST candidates of a block are, and what links contracts the classes; then all that are left.
+5. Bands that still hold several classes are compared: members outside the band's largest class against all members of
+   other classes, in blocks of BLOCK, within the task that holds a block. Bands with the same least member are one
+   group, in which a document is one row. A pair is judged in its first common band only, and only pairs that pass the
+   estimate leave the task, to be verified. First each member's BEST candidates of its own block are, which takes two
+   rows a member in a group of any size, and what links contracts the classes; then all that are left, where a
+   group of members that do not link takes a row for each block of the other side.
 
 Defined cases: null and empty texts have no shingles and no links; repeated rows share a class, and so
 do the texts of one id that is the least of their sets; a null id is a class of its own and links nothing; very long texts are sets as
@@ -210,35 +212,42 @@ def _compare(best: int | None):
     task; of each query only the ``best`` likeliest in a block, if given."""
 
     def run(rows: pa.Table) -> pa.Table:
-        # rows with registers come once a document, however many of its bands are here; the others point to them
+        # rows with registers come once a document, however many of its blocks are here; the others point to them
         sketched = rows.filter(rows.column("registers").is_valid())
         rows = rows.filter(rows.column("registers").is_null())
         by_rep = np.argsort(sketched.column("rep").to_numpy(), kind="stable")
         known = sketched.column("rep").to_numpy()[by_rep]
-        own, fine = _read_registers(sketched.column("registers"))[by_rep], _read_fine(sketched.column("fine"))[by_rep]
+        own, fine, sizes = _read_registers(sketched.column("registers"))[by_rep], _read_fine(sketched.column("fine"))[by_rep], sketched.column("n").to_numpy()[by_rep]
+        bands = np.ascontiguousarray(own[:, :BANDS * ROWS]).view(f"u{2 * ROWS}")  # one number a band
         rep = rows.column("rep").to_numpy()
         first, last = np.searchsorted(known, rep), np.searchsorted(known, rep, "right")
         at = np.repeat(np.arange(len(rep)), last - first)  # an id with several texts is there for each
         sketch = first[at] + np.arange(len(at)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)
-        rep, own, fine, size = rep[at], own[sketch], fine[sketch], sketched.column("n").to_numpy()[by_rep][sketch]
-        band, block, part, query, number = (rows.column(c).to_numpy()[at] for c in ("band", "block", "component", "query", "number"))
+        rep = rep[at]
+        pivot, block, part, query, mask, ask = (rows.column(c).to_numpy()[at] for c in ("pivot", "block", "component", "query", "mask", "ask"))
         if not len(rep):
             return pa.Table.from_arrays([pa.array([], pa.int64())] * 2, names=["a", "b"])
-        order = np.lexsort((query, block, band))
-        heads = np.flatnonzero(np.concatenate([[True], (np.diff(band[order]) != 0) | (np.diff(block[order]) != 0)]))
+        order = np.lexsort((query, block, pivot))
+        heads = np.flatnonzero(np.concatenate([[True], (np.diff(pivot[order]) != 0) | (np.diff(block[order]) != 0)]))
         found = [np.zeros((0, 2), np.int64)]
         for a, b in zip(heads, [*heads[1:], len(order)]):
             mine = order[a:b]
             points, queries = mine[~query[mine]], mine[query[mine]]
             for q in queries:
-                near = points[part[points] != part[q]]
+                common = mask[points] & ask[q]
+                if best is None:  # of two that ask in a band the greater one is enough
+                    common = np.where(rep[points] > rep[q], common & ~ask[points], common)
+                near = points[(common != 0) & (part[points] != part[q])]
                 if not len(near):
                     continue
-                same = own[near] == own[q]
-                first = same[:, :BANDS * ROWS].reshape(len(near), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                at = np.flatnonzero(first == number[q])
-                at = at[likely(size[near[at]], np.full(len(at), size[q]), (own[near[at]] > own[q]).sum(axis=1), (own[near[at]] < own[q]).sum(axis=1))]
-                equal = (fine[near[at]] == fine[q]).sum(axis=1)
+                mate, me = sketch[near], sketch[q]
+                shared = bands[mate] == bands[me]
+                first = shared.argmax(axis=1)
+                asks = ask[q] if best is not None else np.where(rep[near] > rep[q], ask[q] & ~ask[near], ask[q])
+                at = np.flatnonzero(shared[np.arange(len(near)), first] & ((asks >> first) & 1 == 1))
+                x, y = own[mate[at]], own[me]
+                at = at[likely(sizes[mate[at]], np.full(len(at), sizes[me]), (x > y).sum(axis=1), (x < y).sum(axis=1))]
+                equal = (fine[mate[at]] == fine[me]).sum(axis=1)
                 left = likely_by_fine(equal)
                 at, equal = at[left], equal[left]
                 if best is not None and len(at) > best:
@@ -259,29 +268,37 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
 
 
 def _open_pairs(members: DataFrame, whole: DataFrame, labels: DataFrame | None, best: int | None) -> DataFrame | None:
-    """Pairs of different classes in one band that the estimate leaves (of each member the ``best`` in a block, if
+    """Pairs of different classes in one band that the estimate leaves (of each member the ``best`` in its own block, if
     given); None if no band has two classes."""
     of = _labelled(members, labels)
     per = of.groupBy("band", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = per.groupBy("band").agg(F.max(F.struct("c", "component")).alias("_m"), F.sum("c").alias("m"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
-    opened = staged(of.join(main.select("band", "m", F.col("_m.component").alias("main")), "band"), "open")
-    rows = opened.count()
+    main = per.groupBy("band").agg(F.max(F.struct("c", "component")).alias("_m"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    opened = of.join(main.select("band", F.col("_m.component").alias("main")), "band")
+    # bands of one group of copies have mostly the same least member: a document is there once, with the numbers of its
+    # bands as bits, and of those it asks in
+    bit = F.expr("shiftleft(1L, number)")
+    asking = F.bit_or(F.when(F.col("component") != F.col("main"), bit).otherwise(F.lit(0).cast("long")))
+    opened = staged(opened.groupBy("pivot", "rep", "component").agg(F.bit_or(bit).alias("mask"), asking.alias("ask")), "open")
+    # few groups need several blocks, so their sizes are few as well
+    count = lambda one: F.ceil(F.count(one) / BLOCK).cast("int")
+    sizes = opened.groupBy("pivot").agg(count(F.lit(1)).alias("_points"), count(F.when(F.col("ask") != 0, 1)).alias("_askers")).filter("_points > 1")
+    opened = opened.join(broadcast_if_small(staged(sizes, "sizes")), "pivot", "left").withColumns(
+        {"_points": F.coalesce("_points", F.lit(1)), "_askers": F.greatest(F.coalesce("_askers", F.lit(1)), F.lit(1))})
+    asks = F.col("ask") != 0
+    point, asker = (F.pmod(F.xxhash64("rep"), F.col(c)).cast("int") for c in ("_points", "_askers"))
+    place = lambda m, q, query: F.struct((m * F.col("_askers").cast("long") + q).alias("block"), F.lit(query).alias("query"))
+    if best is None:  # every block of members meets every block of askers
+        data = F.transform(F.sequence(F.lit(0), F.col("_askers") - 1), lambda q: place(point, q, False))
+        queries = F.transform(F.sequence(F.lit(0), F.col("_points") - 1), lambda m: place(m, asker, True))
+    else:  # a member asks in its own block
+        data, queries = (F.array(place(point, F.lit(0), query)) for query in (False, True))
+    places = opened.withColumn("_place", F.explode(F.concat(data, F.filter(queries, lambda _: asks))))
+    places = staged(places.select("pivot", "_place.block", "rep", "component", "_place.query", "mask", "ask"), "places")
+    rows = places.count()
     if not rows:
         return None
-    # bands of one group of copies have mostly the same least member: their blocks go to one task, and a
-    # document's registers go there once
-    sizes = opened.groupBy("pivot").agg(F.max("m").alias("most"))
-    opened = opened.join(sizes, "pivot")
-    blocks = F.ceil(F.col("most") / BLOCK).cast("int")
-    columns = ("pivot", "band", "number", "rep", "component")
-    # every block of members meets every block of askers: a task has at most BLOCK of each in a band
-    own, every = F.pmod(F.xxhash64("rep"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
-    data = opened.select(*columns, blocks.alias("_n"), own.alias("_m"), every.alias("_q"), F.lit(False).alias("query"))
-    asks = opened.filter("component <> main").select(*columns, blocks.alias("_n"), every.alias("_m"), own.alias("_q"), F.lit(True).alias("query"))
-    places = data.unionByName(asks).withColumn("block", F.col("_m") * F.col("_n").cast("long") + F.col("_q"))
     tasks = max(partitions(members.sparkSession), -(-rows // TASK_ROWS))
-    task = F.pmod(F.xxhash64("pivot", "block"), F.lit(tasks)).cast("int")
-    places = places.withColumn("task", task).drop("pivot", "_n", "_m", "_q")
+    places = places.withColumn("task", F.pmod(F.xxhash64("pivot", "block"), F.lit(tasks)).cast("int"))
     sketches = places.select("task", "rep").distinct().join(whole.select("rep", "n", "registers", "fine"), "rep")
     both = places.unionByName(sketches, allowMissingColumns=True)
     return both.groupBy("task").applyInArrow(_compare(best), "a long, b long").distinct()

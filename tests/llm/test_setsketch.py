@@ -125,3 +125,25 @@ def test_fine_registers_tell_near_misses():
         return out
     assert kept(0.8) == 60 and kept(0.9) == 60 and kept(0.68) < 6
     assert S.likely_by_fine(np.array([0, S.FAMILIES * S.M])).tolist() == [False, True]
+
+
+def test_rows_of_a_group_follow_its_size(spark, monkeypatch):
+    """A group of members that do not link, in many bands: a document is one row of it, and asks in its own block
+    first; only the last comparison takes a row for each block of the other side."""
+    def counted(best):
+        def run(rows):
+            import pyarrow as pa
+            placed = rows.filter(rows.column("registers").is_null())
+            return pa.table({"a": pa.array([placed.num_rows], pa.int64()), "b": pa.array([rows.column("task")[0].as_py()], pa.int64())})
+        return run
+
+    ensure_importable(spark)
+    monkeypatch.setattr(S, "BLOCK", 10)
+    monkeypatch.setattr(S, "_compare", counted)
+
+    def placed(n, best):
+        members = spark.range(n).selectExpr("id AS rep", "explode(sequence(0, 47)) AS number").selectExpr("CAST(number AS bigint) AS band", "number", "rep", "0L AS pivot")
+        whole = spark.range(n).selectExpr("id AS rep", "7L AS n", "CAST('x' AS binary) AS registers", "CAST('x' AS binary) AS fine")
+        return S._open_pairs(members, whole, None, best).agg(F.sum("a")).first()[0]
+    assert placed(40, 2) == 40 + 39 and placed(80, 2) == 80 + 79
+    assert placed(40, None) == 4 * (40 + 39)
