@@ -20,7 +20,7 @@ from portmart.session import staging_path
 from portmart.sinks.versions import Conflict, Version, VersionedTables
 
 _TABLE, _FIRST, _ID = "ids", "first_id", "id"
-FILE_BYTES = 32 << 20  # of staged keys that go to one task and file
+FILE_BYTES = 16 << 20  # of staged keys that go to one task and file
 
 
 class KeyRegistry:

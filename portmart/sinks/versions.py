@@ -116,9 +116,10 @@ class VersionedTables:
         path = f"{self.root}/{table}/{_BATCH}={batch}"
         columns = [F.col(f"`{n}`") for n in self.schemas[table].fieldNames()]
         write_partitioned(df.select(*columns), path, list(self.layout), mode="errorifexists", sort_within=list(sort), rebalance=rebalance)
-        # rows per folder, from the files' footers
-        folder = F.regexp_extract(F.col("_metadata.file_path"), "/((?:[^/=]+=[^/]*/){%d})[^/]+$" % len(self.layout), 1)
-        written = self.spark.read.schema(self.schemas[table]).parquet(path).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("rows")).collect()
+        # rows per file, and of these few per folder: a pattern over every row's path would cost more than the write
+        files = self.spark.read.schema(self.schemas[table]).parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows"))
+        folder = F.regexp_extract("file", "/((?:[^/=]+=[^/]*/){%d})[^/]+$" % len(self.layout), 1)
+        written = files.groupBy(folder.alias("folder")).agg(F.sum("rows").alias("rows")).collect()
         from urllib.parse import unquote
         return {unquote(r["folder"]).rstrip("/"): {"batch": batch, "rows": r["rows"]} for r in written}
 
